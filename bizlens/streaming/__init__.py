@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference's jobs are all batch queries over complete tables: no watermark,
+no event-time window and no stateful operator occurs in any of them. Nothing
+here is needed for parity; every job in :mod:`bizlens.plans` is a pure
+DataFrame -> DataFrame function, so it can also be applied per micro-batch
+with ``writeStream.foreachBatch`` where a caller wants that.
+"""
