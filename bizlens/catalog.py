@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bizlens.plans import loyalty
+from bizlens.plans import cleaning, lists, loyalty, orders
 from bizlens.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,17 +49,83 @@ def _loyalty() -> dict[str, Query]:
     }
 
 
+PRICES = {1: 12, 2: 10}
+PIZZA_COLUMNS = {1: "carnivore", 2: "garden"}
+
+
+def _orders() -> dict[str, Query]:
+    from bizlens.sources import dimensions as dims
+
+    def O(sp, d):
+        return cleaning.clean_orders(b.v_orders_raw(sp, d))
+
+    def D(sp, d):
+        return cleaning.clean_deliveries(b.v_deliveries_raw(sp, d))
+
+    def N(sp, d):
+        return b.v_pizza_names(sp, d)
+
+    def R(sp, d):
+        return b.v_pizza_recipes(sp, d)
+
+    def T(sp, d):
+        return b.v_toppings(sp, d)
+
+    def clean_deliveries(sp, d):
+        return D(sp, d).withColumn("distance", F.col("distance").cast("double"))
+
+    def ratings(sp, d):
+        return orders.ratings(D(sp, d), b.v_order_customers(sp, d))
+
+    return {
+        "inspect_values": lambda sp, d: cleaning.inspect_values(b.v_orders_raw(sp, d), "exclusions"),
+        "clean_orders": O,
+        "clean_deliveries": clean_deliveries,
+        "items_ordered": lambda sp, d: orders.items_ordered(O(sp, d)),
+        "unique_orders": lambda sp, d: orders.unique_orders(O(sp, d)),
+        "successful_by_runner": lambda sp, d: orders.successful_by_runner(D(sp, d)),
+        "delivered_by_type": lambda sp, d: orders.delivered_by_type(O(sp, d), D(sp, d), N(sp, d)),
+        "type_pivot_by_customer": lambda sp, d: orders.type_pivot_by_customer(O(sp, d), PIZZA_COLUMNS),
+        "largest_delivery": lambda sp, d: orders.largest_delivery(O(sp, d), D(sp, d)),
+        "changes_by_customer": lambda sp, d: orders.changes_by_customer(O(sp, d), D(sp, d)),
+        "both_changes": lambda sp, d: orders.both_changes(O(sp, d), D(sp, d)),
+        "orders_by_hour": lambda sp, d: orders.orders_by_hour(O(sp, d)),
+        "orders_by_weekday": lambda sp, d: orders.orders_by_weekday(O(sp, d)),
+        "signups_by_week": lambda sp, d: orders.signups_by_week(b.v_runners(sp, d)),
+        "avg_pickup_minutes": lambda sp, d: orders.avg_pickup_minutes(O(sp, d), D(sp, d)),
+        "prep_time_by_size": lambda sp, d: orders.prep_time_by_size(O(sp, d), D(sp, d)),
+        "avg_distance": lambda sp, d: orders.avg_distance(O(sp, d), D(sp, d)),
+        "delivery_spread": lambda sp, d: orders.delivery_spread(O(sp, d), D(sp, d)),
+        "speed_by_delivery": lambda sp, d: orders.speed_by_delivery(D(sp, d)),
+        "success_rate": lambda sp, d: orders.success_rate(D(sp, d)),
+        "standard_ingredients": lambda sp, d: lists.standard_ingredients(R(sp, d), N(sp, d), T(sp, d),
+                                                                         b.v_orders_raw(sp, d)),
+        "top_extra": lambda sp, d: lists.top_extra(O(sp, d), T(sp, d)),
+        "top_exclusion": lambda sp, d: lists.top_exclusion(O(sp, d), T(sp, d)),
+        "order_item_label": lambda sp, d: lists.order_item_label(O(sp, d), N(sp, d), T(sp, d)),
+        "order_ingredient_list": lambda sp, d: lists.order_ingredient_list(O(sp, d), N(sp, d), R(sp, d), T(sp, d)),
+        "ingredient_totals": lambda sp, d: lists.ingredient_totals(O(sp, d), D(sp, d), R(sp, d), T(sp, d)),
+        "revenue": lambda sp, d: orders.revenue(O(sp, d), D(sp, d), PRICES),
+        "revenue_with_extras": lambda sp, d: orders.revenue_with_extras(O(sp, d), D(sp, d), PRICES, 1),
+        "ratings_table": lambda sp, d: orders.ratings_table(D(sp, d), b.v_order_customers(sp, d)),
+        "delivery_report": lambda sp, d: orders.delivery_report(O(sp, d), D(sp, d), ratings(sp, d)),
+        "net_profit": lambda sp, d: orders.net_profit(O(sp, d), D(sp, d), PRICES, "0.30"),
+        "extend_menu": lambda sp, d: lists.extend_menu(N(sp, d), R(sp, d), O(sp, d), *dims.NEW_PIZZA),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (_loyalty,):
+    for part in (_loyalty, _orders):
         out.update(part())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from bizlens.oracle import loyalty as o1
+    from bizlens.oracle import orders as o2
 
     out: dict[str, str] = {}
-    for mod in (o1,):
+    for mod in (o1, o2):
         out.update(mod.SQL)
     return out

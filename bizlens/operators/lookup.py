@@ -1,0 +1,48 @@
+"""Id -> name lookups for ids held in array columns.
+
+When the dimension is proven small (at most ``max_rows`` rows, checked with a
+bounded ``limit``), it is embedded in the plan as a map literal and the
+arrays are translated in place with ``transform`` -- a projection, no
+explode and no shuffle. Beyond that bound the caller falls back to
+explode + join + regroup.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_EMBEDDED_ROWS = 5000
+
+
+def small_map(dim: DataFrame, key: str, value: str, max_rows: int = MAX_EMBEDDED_ROWS) -> Column | None:
+    """A ``map<key, value>`` literal of the dimension, or None if it is too big."""
+    rows = dim.select(key, value).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    if not rows:
+        return F.create_map().cast(f"map<{dim.schema[key].dataType.simpleString()},"
+                                   f"{dim.schema[value].dataType.simpleString()}>")
+    keys = F.array(*[F.lit(r[0]) for r in rows])
+    vals = F.array(*[F.lit(r[1]) for r in rows])
+    return F.map_from_arrays(keys, vals)
+
+
+def translate_ids(df: DataFrame, line_keys: list[str], ids: Column, dim: DataFrame, key: str, value: str,
+                  out: str) -> DataFrame:
+    """Add ``out``: array<struct<id, name>> for the ids of each row that exist
+    in ``dim`` (order of ``ids`` kept, unknown ids dropped)."""
+    m = small_map(dim, key, value)
+    if m is not None:
+        pairs = F.transform(ids, lambda i: F.struct(i.alias("id"), F.try_element_at(m, i).alias("name")))
+        return df.withColumn(out, F.filter(F.coalesce(pairs, F.array()), lambda s: s["name"].isNotNull()))
+    # Large dimension: explode, equi-join, regroup per line.
+    exploded = df.select(*line_keys, F.posexplode(ids).alias("_pos", "_id"))
+    named = exploded.join(dim.select(F.col(key).alias("_id"), F.col(value).alias("_name")), "_id")
+    packed = named.groupBy(*line_keys).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", F.col("_id").alias("id"), F.col("_name").alias("name"))))
+        .alias("_p"))
+    packed = packed.select(*line_keys, F.transform("_p", lambda s: F.struct(s["id"].alias("id"),
+                                                                           s["name"].alias("name"))).alias(out))
+    empty = F.array().cast("array<struct<id:int,name:string>>")
+    return df.join(packed, line_keys, "left").withColumn(out, F.coalesce(F.col(out), empty))
