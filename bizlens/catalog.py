@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.plans import cleaning, lists, loyalty, orders
+from bizlens.plans import cleaning, journeys, ledger, lists, loyalty, orders
 from bizlens.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,18 +114,46 @@ def _orders() -> dict[str, Query]:
     }
 
 
+def _ledger() -> dict[str, Query]:
+    def N(sp, d):
+        return b.v_customer_nodes(sp, d)
+
+    def R(sp, d):
+        return b.v_regions(sp, d)
+
+    def T(sp, d):
+        return b.v_customer_transactions(sp, d)
+
+    return {
+        "customer_journey": lambda sp, d: journeys.customer_journey(b.v_subscriptions(sp, d), b.v_plans(sp, d)),
+        "unique_nodes": lambda sp, d: ledger.unique_nodes(N(sp, d)),
+        "nodes_per_region": lambda sp, d: ledger.nodes_per_region(N(sp, d), R(sp, d)),
+        "customers_per_region": lambda sp, d: ledger.customers_per_region(N(sp, d), R(sp, d)),
+        "avg_reallocation_days": lambda sp, d: ledger.avg_reallocation_days(N(sp, d)),
+        "reallocation_percentiles": lambda sp, d: ledger.reallocation_percentiles(N(sp, d), R(sp, d)),
+        "txn_summary": lambda sp, d: ledger.txn_summary(T(sp, d)),
+        "avg_deposits": lambda sp, d: ledger.avg_deposits(T(sp, d)),
+        "active_customers_by_month": lambda sp, d: ledger.active_customers_by_month(T(sp, d)),
+        "monthly_net": lambda sp, d: ledger.monthly_net(T(sp, d)),
+        "running_month_balance": lambda sp, d: ledger.running_month_balance(T(sp, d)),
+        "growth_share": lambda sp, d: ledger.growth_share(T(sp, d)),
+        "data_allocation": lambda sp, d: ledger.data_allocation(T(sp, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (_loyalty, _orders):
+    for part in (_loyalty, _orders, _ledger):
         out.update(part())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from bizlens.oracle import loyalty as o1
+    from bizlens.oracle import ledger as o4
     from bizlens.oracle import orders as o2
 
     out: dict[str, str] = {}
-    for mod in (o1, o2):
+    for mod in (o1, o2, o4):
         out.update(mod.SQL)
     return out
