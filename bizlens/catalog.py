@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.plans import cleaning, journeys, ledger, lists, loyalty, orders
+from bizlens.plans import cleaning, journeys, ledger, lists, loyalty, orders, periods
 from bizlens.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,9 +141,37 @@ def _ledger() -> dict[str, Query]:
     }
 
 
+PIVOT = "1998-06-15"
+PIVOT_YEAR = 1998
+
+
+def _periods() -> dict[str, Query]:
+    def C(sp, d):
+        return cleaning.clean_weekly_sales(b.v_weekly_sales_raw(sp, d))
+
+    out: dict[str, Query] = {
+        "clean_weekly_sales": C,
+        "weekday_used": lambda sp, d: periods.weekday_used(C(sp, d)),
+        "missing_weeks": lambda sp, d: periods.missing_weeks(C(sp, d)),
+        "transactions_by_year": lambda sp, d: periods.transactions_by_year(C(sp, d)),
+        "transactions_by_region_month": lambda sp, d: periods.transactions_by_region_month(C(sp, d)),
+        "platform_share_by_month": lambda sp, d: periods.platform_share_by_month(C(sp, d)),
+        "demographic_share_by_year": lambda sp, d: periods.demographic_share_by_year(C(sp, d)),
+        "segment_rank": lambda sp, d: periods.segment_rank(C(sp, d)),
+        "avg_txn_correct_vs_naive": lambda sp, d: periods.avg_txn_correct_vs_naive(C(sp, d)),
+        "before_after_4w": lambda sp, d: periods.before_after(C(sp, d), PIVOT, 4),
+        "before_after_12w": lambda sp, d: periods.before_after(C(sp, d), PIVOT, 12),
+        "before_after_by_year": lambda sp, d: periods.compare_periods(C(sp, d), "calendar_year", PIVOT, 12),
+    }
+    for dim in ("region", "platform", "age_band", "demographic", "customer_type"):
+        out[f"before_after_by_{dim}"] = (
+            lambda sp, d, _dim=dim: periods.compare_periods(C(sp, d), _dim, PIVOT, 12, PIVOT_YEAR))
+    return out
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (_loyalty, _orders, _ledger):
+    for part in (_loyalty, _orders, _ledger, _periods):
         out.update(part())
     return out
 
@@ -152,8 +180,9 @@ def oracle_sql() -> dict[str, str]:
     from bizlens.oracle import loyalty as o1
     from bizlens.oracle import ledger as o4
     from bizlens.oracle import orders as o2
+    from bizlens.oracle import periods as o5
 
     out: dict[str, str] = {}
-    for mod in (o1, o2, o4):
+    for mod in (o1, o2, o4, o5):
         out.update(mod.SQL)
     return out
