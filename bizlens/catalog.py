@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.plans import cleaning, journeys, ledger, lists, loyalty, orders, periods
+from bizlens.plans import cleaning, funnel, journeys, ledger, lists, loyalty, orders, periods
 from bizlens.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,9 +169,47 @@ def _periods() -> dict[str, Query]:
     return out
 
 
+def _funnel() -> dict[str, Query]:
+    def E(sp, d):
+        return b.v_events(sp, d, with_sequence=False)
+
+    def U(sp, d):
+        return b.v_users(sp, d)
+
+    def T(sp, d):
+        return b.v_event_identifier(sp, d)
+
+    def P(sp, d):
+        return b.v_page_hierarchy(sp, d)
+
+    def F_(sp, d):
+        return funnel.product_funnel(E(sp, d), T(sp, d), P(sp, d))
+
+    return {
+        "user_count": lambda sp, d: funnel.user_count(U(sp, d)),
+        "avg_cookies": lambda sp, d: funnel.avg_cookies(U(sp, d)),
+        "visits_by_month": lambda sp, d: funnel.visits_by_month(U(sp, d), E(sp, d)),
+        "events_by_type": lambda sp, d: funnel.events_by_type(E(sp, d), T(sp, d)),
+        "purchase_visit_pct": lambda sp, d: funnel.purchase_visit_pct(E(sp, d), T(sp, d)),
+        "checkout_no_purchase_pct": lambda sp, d: funnel.checkout_no_purchase_pct(E(sp, d), T(sp, d), P(sp, d)),
+        "top_pages": lambda sp, d: funnel.top_pages(E(sp, d), T(sp, d), P(sp, d)),
+        "category_views_adds": lambda sp, d: funnel.category_views_adds(E(sp, d), T(sp, d), P(sp, d)),
+        "top_purchased_products": lambda sp, d: funnel.top_purchased_products(E(sp, d), T(sp, d), P(sp, d)),
+        "product_funnel": lambda sp, d: funnel.store_product_funnel(E(sp, d), T(sp, d), P(sp, d)),
+        "category_funnel": lambda sp, d: funnel.category_funnel(E(sp, d), T(sp, d), P(sp, d)),
+        "funnel_leaders": lambda sp, d: funnel.funnel_leaders(F_(sp, d)),
+        "most_abandoned": lambda sp, d: funnel.most_abandoned(F_(sp, d)),
+        "best_view_to_purchase": lambda sp, d: funnel.best_view_to_purchase(F_(sp, d)),
+        "avg_view_to_cart": lambda sp, d: funnel.avg_view_to_cart(F_(sp, d)),
+        "avg_cart_to_purchase": lambda sp, d: funnel.avg_cart_to_purchase(F_(sp, d)),
+        "visit_campaigns": lambda sp, d: funnel.visit_campaigns(
+            b.v_events(sp, d), U(sp, d), T(sp, d), P(sp, d), b.v_campaign_identifier(sp, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (_loyalty, _orders, _ledger, _periods):
+    for part in (_loyalty, _orders, _ledger, _periods, _funnel):
         out.update(part())
     return out
 
@@ -180,9 +218,10 @@ def oracle_sql() -> dict[str, str]:
     from bizlens.oracle import loyalty as o1
     from bizlens.oracle import ledger as o4
     from bizlens.oracle import orders as o2
+    from bizlens.oracle import funnel as o6
     from bizlens.oracle import periods as o5
 
     out: dict[str, str] = {}
-    for mod in (o1, o2, o4, o5):
+    for mod in (o1, o2, o4, o5, o6):
         out.update(mod.SQL)
     return out
