@@ -26,7 +26,7 @@ def ordered_join(value: Column, order: Column, sep: str = ", ") -> Column:
     caller's grouping key (a line, a visit), never a global list.
     """
     pairs = F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))
-    joined = F.array_join(F.transform(F.array_sort(pairs), lambda s: s["v"]), sep)
+    joined = F.array_join(F.transform(F.sort_array(pairs), lambda s: s["v"]), sep)
     return F.when(F.size(pairs) > 0, joined)
 
 

@@ -40,7 +40,7 @@ def translate_ids(df: DataFrame, line_keys: list[str], ids: Column, dim: DataFra
     exploded = df.select(*line_keys, F.posexplode(ids).alias("_pos", "_id"))
     named = exploded.join(dim.select(F.col(key).alias("_id"), F.col(value).alias("_name")), "_id")
     packed = named.groupBy(*line_keys).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", F.col("_id").alias("id"), F.col("_name").alias("name"))))
+        F.sort_array(F.collect_list(F.struct("_pos", F.col("_id").alias("id"), F.col("_name").alias("name"))))
         .alias("_p"))
     packed = packed.select(*line_keys, F.transform("_p", lambda s: F.struct(s["id"].alias("id"),
                                                                            s["name"].alias("name"))).alias(out))

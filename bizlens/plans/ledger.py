@@ -152,30 +152,43 @@ def growth_share(txn: DataFrame, threshold: float = 5.0) -> DataFrame:
 
 def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -> DataFrame:
     """Monthly data need when each customer gets the mean balance of the last
-    ``window_rows`` ledger rows (a daily calendar row, or one row per
-    transaction on days that have them).
-
-    Per customer: a daily calendar from first to last transaction
-    (``sequence`` exploded map-side after a per-customer min/max), the
-    transactions left-joined on (customer, day), the running balance (peers on
-    a day share it), the moving mean over rows; no allocation before row
-    ``min_rows``, negative means clamp to 0. Then the max per customer-month
-    and the sum per month.
+    ``window_rows`` ledger rows; no allocation before row ``min_rows`` and
+    negative means clamp to 0. Then the max per customer-month and the sum
+    per month.
+
+    The ledger has one row per calendar day from a customer's first to last
+    transaction day, except that a day with k transactions has k rows; all
+    rows of a day carry the day's closing balance.
+
+    Plan: transactions are reduced to one row per (customer, day) -- count and
+    net amount -- and the running balance and next transaction day come from
+    a window over those days. The calendar is then generated in place
+    (``array_repeat`` for the k rows of a transaction day, ``sequence`` for the
+    empty days up to the next one) *after* the last shuffle, so no calendar
+    row is ever shuffled or joined; the moving mean reuses the same
+    partitioning (customer) and only sorts.
     """
     signed = txn.select("customer_id", F.col("txn_date").alias("day"), _signed(txn).alias("amt"))
-    bounds = signed.groupBy("customer_id").agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
-    cal = bounds.select("customer_id", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    rows = cal.join(signed, ["customer_id", "day"], "left")
+    days = signed.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("_k"), F.sum("amt").alias("_net"))
     w = Window.partitionBy("customer_id").orderBy("day")
-    rows = rows.withColumn("balance", F.sum("amt").over(w))
+    days = days.select(
+        "customer_id", "day", "_k",
+        F.sum("_net").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("balance"),
+        F.lead("day").over(w).alias("_next"),
+    )
+    gap = F.when(F.datediff("_next", "day") > 1, F.sequence(F.date_add("day", 1), F.date_sub("_next", 1)))
+    rows = F.concat(F.array_repeat(F.col("day"), F.col("_k").cast("int")),
+                    F.coalesce(gap, F.array().cast("array<date>")))
+    ledger = days.select("customer_id", F.col("balance").cast("double").alias("balance"),
+                         F.explode(rows).alias("day"))
     framed = w.rowsBetween(-(window_rows - 1), 0)
-    rows = rows.select(
+    scored = ledger.select(
         "customer_id", "day",
-        F.avg(F.col("balance").cast("double")).over(framed).alias("_avg"),
+        F.avg("balance").over(framed).alias("_avg"),
         F.row_number().over(w).alias("_row"),
     )
     storage = (F.when(F.col("_row") < min_rows, F.lit(None).cast("double"))
                .when(F.col("_avg") < 0, F.lit(0.0)).otherwise(F.col("_avg")))
-    per_month = rows.groupBy("customer_id", F.trunc("day", "month").alias("month")).agg(
+    per_month = scored.groupBy("customer_id", F.trunc("day", "month").alias("month")).agg(
         F.max(storage).alias("_alloc"))
     return per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation"))

@@ -18,6 +18,7 @@ from bizlens.functions.text import id_list
 from bizlens.operators.aggregate import ordered_join
 from bizlens.operators.lookup import translate_ids
 from bizlens.operators.ranking import keep_rank_one
+from bizlens.sources.dimensions import literal_table
 
 LINE_KEYS = ["order_id", "line_number", "part_key", "supp_key"]
 
@@ -62,9 +63,9 @@ def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -
     """``<name> - Exclude a, b - Extra c, d`` per item; NULL parts are skipped,
     so a plain item keeps its trailing blank, as written."""
     df = orders.join(F.broadcast(names), "pizza_id", "left")
-    df = translate_ids(df, LINE_KEYS, F.array_sort(_ids("exclusions")), toppings, "topping_id", "topping_name",
+    df = translate_ids(df, LINE_KEYS, F.sort_array(_ids("exclusions")), toppings, "topping_id", "topping_name",
                        "_xn")
-    df = translate_ids(df, LINE_KEYS, F.array_sort(_ids("extras")), toppings, "topping_id", "topping_name", "_en")
+    df = translate_ids(df, LINE_KEYS, F.sort_array(_ids("extras")), toppings, "topping_id", "topping_name", "_en")
     xn = F.transform("_xn", lambda s: s["name"])
     en = F.transform("_en", lambda s: s["name"])
     label = F.concat_ws(
@@ -87,10 +88,11 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
     df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras"), "_r": _ids("toppings")})
     df = df.withColumn("_base", F.array_except("_r", "_x"))
     df = translate_ids(df, LINE_KEYS, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
+    df = df.filter(F.size("_n") > 0)
     labels = F.transform("_n", lambda s: F.when(
         F.array_contains("_base", s["id"]) & F.array_contains("_e", s["id"]),
         F.concat(F.lit("2x"), s["name"])).otherwise(s["name"]))
-    df = df.withColumn("_l", F.array_sort(labels)).filter(F.size("_l") > 0)
+    df = df.withColumn("_l", F.sort_array(labels))
     return df.select("order_id", "line_number",
                      F.concat(F.col("pizza_name"), F.lit(": "), F.array_join("_l", ", ")).alias("ingredient_list"))
 
@@ -127,9 +129,10 @@ def extend_menu(names: DataFrame, recipes: DataFrame, orders: DataFrame, new_id:
     items = orders.join(F.broadcast(recipes), "pizza_id")
     used = items.select(F.explode(F.array_union(F.array_union(_ids("toppings"), _ids("extras")),
                                                 _ids("exclusions"))).alias("t")).distinct()
-    recipe = used.agg(F.array_join(F.array_sort(F.collect_list("t")), ", ").alias("toppings")).select(
+    recipe = used.agg(F.array_join(F.sort_array(F.collect_list("t")), ", ").alias("toppings")).select(
         F.lit(new_id).cast("int").alias("pizza_id"), "toppings")
     spark = names.sparkSession
-    new_names = names.unionByName(spark.createDataFrame([(new_id, new_name)], names.schema))
+    added = literal_table(spark, [(new_id, new_name)], [("pizza_id", "INT"), ("pizza_name", "STRING")])
+    new_names = names.unionByName(added)
     new_recipes = recipes.unionByName(recipe)
     return new_names.join(new_recipes, "pizza_id", "left").select("pizza_id", "pizza_name", "toppings")

@@ -1,7 +1,8 @@
 """Literal dimension tables.
 
-Small fixed lookups are built with ``createDataFrame`` (a local relation whose
-size is known when the plan is built, so broadcasting them is always safe).
+Small fixed lookups are built as SQL ``VALUES`` -- a local relation whose size
+is known when the plan is built (so broadcasting them is always safe) and
+which needs no Python worker to scan.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values. The label texts below are part of the questions' definitions
@@ -90,64 +90,49 @@ CAMPAIGNS = [
 NEW_PIZZA = (3, "Everything")
 
 
+def _lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, dt.datetime):
+        return "'" + v.strftime("%Y-%m-%d %H:%M:%S") + "'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(v)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], columns: list[tuple[str, str]]) -> DataFrame:
+    """``SELECT CAST(...) ... FROM VALUES (...)`` for a fixed list of rows."""
+    values = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in rows)
+    raw = [f"c{i}" for i in range(len(columns))]
+    sel = ", ".join(f"CAST({r} AS {t}) AS {n}" for r, (n, t) in zip(raw, columns))
+    return spark.sql(f"SELECT {sel} FROM VALUES {values} AS t({', '.join(raw)})")
+
+
 def event_types(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("event_type", T.IntegerType(), False),
-        T.StructField("event_name", T.StringType(), False),
-    ])
-    return spark.createDataFrame(EVENT_TYPES, schema)
+    return literal_table(spark, EVENT_TYPES, [("event_type", "INT"), ("event_name", "STRING")])
 
 
 def plans(spark: SparkSession) -> DataFrame:
-    from decimal import Decimal
-
-    schema = T.StructType([
-        T.StructField("plan_id", T.IntegerType(), False),
-        T.StructField("plan_name", T.StringType(), False),
-        T.StructField("price", T.DecimalType(5, 2), True),
-    ])
-    rows = [(i, n, Decimal(p) if p is not None else None) for i, n, p in PLANS]
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, PLANS, [("plan_id", "INT"), ("plan_name", "STRING"), ("price", "DECIMAL(5,2)")])
 
 
 def pizza_names(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("pizza_id", T.IntegerType(), False),
-        T.StructField("pizza_name", T.StringType(), False),
-    ])
-    return spark.createDataFrame(PIZZA_NAMES, schema)
+    return literal_table(spark, PIZZA_NAMES, [("pizza_id", "INT"), ("pizza_name", "STRING")])
 
 
 def pizza_recipes(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("pizza_id", T.IntegerType(), False),
-        T.StructField("toppings", T.StringType(), False),
-    ])
-    return spark.createDataFrame(PIZZA_RECIPES, schema)
+    return literal_table(spark, PIZZA_RECIPES, [("pizza_id", "INT"), ("toppings", "STRING")])
 
 
 def toppings(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("topping_id", T.IntegerType(), False),
-        T.StructField("topping_name", T.StringType(), False),
-    ])
-    return spark.createDataFrame(TOPPINGS, schema)
+    return literal_table(spark, TOPPINGS, [("topping_id", "INT"), ("topping_name", "STRING")])
 
 
 def pages(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("page_id", T.IntegerType(), False),
-        T.StructField("page_name", T.StringType(), False),
-        T.StructField("product_category", T.StringType(), True),
-        T.StructField("product_id", T.IntegerType(), True),
-    ])
-    return spark.createDataFrame(PAGES, schema)
+    return literal_table(spark, PAGES, [("page_id", "INT"), ("page_name", "STRING"),
+                                        ("product_category", "STRING"), ("product_id", "INT")])
 
 
 def campaigns(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("campaign_name", T.StringType(), False),
-        T.StructField("start_date", T.TimestampNTZType(), False),
-        T.StructField("end_date", T.TimestampNTZType(), False),
-    ])
-    return spark.createDataFrame(CAMPAIGNS, schema)
+    return literal_table(spark, CAMPAIGNS, [("campaign_name", "STRING"), ("start_date", "TIMESTAMP_NTZ"),
+                                            ("end_date", "TIMESTAMP_NTZ")])
