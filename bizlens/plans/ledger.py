@@ -151,6 +151,76 @@ def growth_share(txn: DataFrame, threshold: float = 5.0) -> DataFrame:
 
 
 def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -> DataFrame:
+    """Monthly data need when each customer gets the mean balance of the last
+    ``window_rows`` ledger rows; no allocation before row ``min_rows``,
+    negative means clamp to 0; then the max per customer-month and the sum
+    per month.
+
+    The ledger has one row per calendar day from a customer's first to last
+    transaction day, except that a day with k transactions has k rows; all
+    rows of a day carry the day's closing balance.
+
+    Computed without materialising that ledger. It is a run-length sequence:
+    run j = transaction day d_j with n_j = k_j + (empty days until the next
+    transaction day) rows, all holding balance B_j. For a row position t the
+    moving sum is sum_i overlap(run_i, [t - w + 1, t]) * B_i over the last
+    w + 1 runs (every run has at least one row). Inside one run the moving
+    mean is linear in t between the points where the window's oldest row
+    crosses a run boundary, so its maximum over any range of positions is
+    attained at the range ends or at those boundary points; the clamp at 0
+    is monotone. Per (run, month) only these few candidate positions are
+    evaluated. Work and shuffle grow with transaction days, not calendar
+    days, and every window runs over per-(customer, day) rows.
+    """
+    w_rows = window_rows
+    signed = txn.select("customer_id", F.col("txn_date").alias("day"), _signed(txn).alias("amt"))
+    days = signed.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("k"), F.sum("amt").alias("_net"))
+    w = Window.partitionBy("customer_id").orderBy("day")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    runs = days.select(
+        "customer_id", "day", "k",
+        F.sum("_net").over(upto).cast("decimal(30,2)").alias("b"),
+        F.lead("day").over(w).alias("_next"),
+    )
+    runs = runs.withColumn("n", F.col("k") + F.coalesce(F.datediff("_next", "day") - 1, F.lit(0)))
+    runs = runs.withColumn("p", F.sum("n").over(upto))
+    runs = runs.withColumn("s", F.col("p") - F.col("n") + 1)
+    hist = F.collect_list(F.struct((F.col("s") - 1).alias("lo"), F.col("p").alias("hi"), F.col("b").alias("b"))
+                          ).over(w.rowsBetween(-w_rows - 1, 0))
+    runs = runs.withColumn("_h", hist)
+    last_day = F.date_add("day", (F.col("n") - F.col("k")).cast("int"))
+    months = F.sequence(F.trunc("day", "month"), F.trunc(last_day, "month"), F.expr("INTERVAL 1 MONTH"))
+    per = runs.select("customer_id", "day", "k", "n", "p", "s", "_h", last_day.alias("_last"),
+                      F.explode(months).alias("month"))
+
+    def pos_of(date_col):  # first position carrying ``date_col`` (a date inside the run, after day)
+        return F.col("s") + F.col("k") - 1 + F.datediff(date_col, F.col("day"))
+
+    a = F.when(F.col("month") <= F.col("day"), F.col("s")).otherwise(pos_of(F.col("month")))
+    month_end = F.last_day("month")
+    b = F.when(month_end >= F.col("_last"), F.col("p")).otherwise(pos_of(month_end))
+    per = per.withColumn("_a", F.greatest(a, F.lit(min_rows).cast("long"))).withColumn("_b", b)
+    bounds = F.transform("_h", lambda h: h["hi"] + w_rows)
+    bounds2 = F.transform("_h", lambda h: h["hi"] + w_rows + 1)
+    cands = F.concat(F.array(F.col("_a"), F.col("_b"), F.lit(w_rows - 1).cast("long"), F.lit(w_rows).cast("long")),
+                     bounds, bounds2)
+    cands = F.filter(cands, lambda t: (t >= F.col("_a")) & (t <= F.col("_b")))
+
+    def mean_at(t):
+        lo = t - w_rows
+        total = F.aggregate(
+            "_h", F.lit(0).cast("decimal(30,2)"),
+            lambda acc, h: (acc + (F.greatest(F.lit(0).cast("long"), F.least(h["hi"], t) - F.greatest(h["lo"], lo))
+                                   * h["b"])).cast("decimal(30,2)"))
+        return total / F.least(t, F.lit(w_rows).cast("long"))
+
+    best = F.array_max(F.transform(cands, lambda t: F.greatest(mean_at(t).cast("double"), F.lit(0.0))))
+    per_month = per.select("customer_id", "month", best.alias("_v")).groupBy("customer_id", "month").agg(
+        F.max("_v").alias("_alloc"))
+    return per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation"))
+
+
+def data_allocation_expanded(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -> DataFrame:
     """Monthly data need when each customer gets the mean balance of the last
     ``window_rows`` ledger rows; no allocation before row ``min_rows`` and
     negative means clamp to 0. Then the max per customer-month and the sum

@@ -112,3 +112,11 @@ def test_reallocation_stats(spark):
         for name, p in (("median", 0.5), ("percentile_80", 0.8), ("percentile_95", 0.95)):
             want = s[max(math.ceil(p * len(s)), 1) - 1]
             assert getattr(got[f"R{reg}"], name) == want
+
+
+def test_run_length_equals_expanded(txn):
+    a = dict(rows(ledger.data_allocation(txn)))
+    b = dict(rows(ledger.data_allocation_expanded(txn)))
+    assert set(a) == set(b)
+    for k in a:
+        assert (a[k] is None and b[k] is None) or a[k] == pytest.approx(b[k], abs=1e-6)
