@@ -103,11 +103,18 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
 
     A topping that no delivered item has in its recipe or exclusions totals
     NULL (the recipe count has no ELSE branch), as written.
+
+    An item's contribution depends only on (product, exclusions, extras), so
+    items are first counted per distinct combination (a partial aggregate);
+    the list arithmetic then runs once per combination, weighted by its count.
     """
     done = deliveries.filter(F.col("pickup_time").isNotNull() & F.col("distance").isNotNull()
                              & F.col("duration").isNotNull()).select("order_id")
-    items = orders.join(done, "order_id", "left_semi").join(F.broadcast(recipes), "pizza_id")
-    items = items.select(_ids("exclusions").alias("_x"), _ids("extras").alias("_e"), _ids("toppings").alias("_r"))
+    combos = (orders.join(done, "order_id", "left_semi")
+              .groupBy("pizza_id", "exclusions", "extras").agg(F.count(F.lit(1)).alias("_w"))
+              .join(F.broadcast(recipes), "pizza_id"))
+    combos = combos.select("_w", _ids("exclusions").alias("_x"), _ids("extras").alias("_e"),
+                           _ids("toppings").alias("_r"))
     contrib = F.concat(
         F.transform(F.array_union("_r", "_x"), lambda i: F.struct(
             i.alias("topping_id"), F.when(F.array_contains("_x", i), 0).otherwise(1).alias("ct"),
@@ -115,8 +122,9 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
         F.transform("_e", lambda i: F.struct(i.alias("topping_id"), F.lit(None).cast("int").alias("ct"),
                                              F.lit(1).alias("ce"))),
     )
-    ex = items.select(F.explode(contrib).alias("c")).select("c.*")
-    agg = ex.groupBy("topping_id").agg(F.sum("ct").alias("_ct"), F.sum("ce").alias("_ce"))
+    ex = combos.select("_w", F.explode(contrib).alias("c")).select("_w", "c.*")
+    agg = ex.groupBy("topping_id").agg(F.sum(F.col("ct") * F.col("_w")).alias("_ct"),
+                                       F.sum(F.col("ce") * F.col("_w")).alias("_ce"))
     out = F.broadcast(toppings).join(agg, "topping_id", "left")
     total = F.col("_ct") + F.coalesce(F.col("_ce"), F.lit(0))
     return out.select("topping_name", total.cast("bigint").alias("total_ingredients"))
@@ -126,9 +134,9 @@ def extend_menu(names: DataFrame, recipes: DataFrame, orders: DataFrame, new_id:
     """Add a product whose recipe is every topping used by any ordered item
     (recipe, extra or exclusion), appended to both dimensions, then
     names LEFT JOIN recipes."""
-    items = orders.join(F.broadcast(recipes), "pizza_id")
-    used = items.select(F.explode(F.array_union(F.array_union(_ids("toppings"), _ids("extras")),
-                                                _ids("exclusions"))).alias("t")).distinct()
+    combos = orders.select("pizza_id", "exclusions", "extras").distinct().join(F.broadcast(recipes), "pizza_id")
+    used = combos.select(F.explode(F.array_union(F.array_union(_ids("toppings"), _ids("extras")),
+                                                 _ids("exclusions"))).alias("t")).distinct()
     recipe = used.agg(F.array_join(F.sort_array(F.collect_list("t")), ", ").alias("toppings")).select(
         F.lit(new_id).cast("int").alias("pizza_id"), "toppings")
     spark = names.sparkSession

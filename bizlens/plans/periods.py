@@ -37,9 +37,9 @@ def missing_weeks(clean: DataFrame, step_days: int = 7) -> DataFrame:
     ``sequence``; observed dates are removed with a left anti join on
     distinct dates (NULL-free keys, so NOT IN semantics are kept).
     """
-    bounds = clean.agg(F.min("dates_week").alias("_a"), F.max("dates_week").alias("_b"))
-    series = bounds.select(F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {step_days} DAYS"))).alias("dates_week"))
     seen = clean.select("dates_week").filter(F.col("dates_week").isNotNull()).distinct()
+    bounds = seen.agg(F.min("dates_week").alias("_a"), F.max("dates_week").alias("_b"))
+    series = bounds.select(F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {step_days} DAYS"))).alias("dates_week"))
     return series.join(seen, "dates_week", "left_anti")
 
 
