@@ -79,7 +79,8 @@ def segment_rank(clean: DataFrame, platform: str | None = None) -> DataFrame:
     is a rank, as written). The rank window sees one row per segment."""
     src = clean if platform is None else clean.filter(F.col("platform") == platform)
     agg = src.groupBy("age_band", "demographic").agg(F.sum("sales").cast("bigint").alias("total_sales"))
-    return agg.withColumn("cumulative_sales", F.rank().over(Window.orderBy(F.col("total_sales").desc())))
+    return agg.withColumn("cumulative_sales",
+                          F.rank().over(Window.orderBy(F.col("total_sales").desc())).cast("bigint"))
 
 
 def avg_txn_correct_vs_naive(clean: DataFrame) -> DataFrame:
