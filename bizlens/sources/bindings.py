@@ -12,10 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bizlens.sources import dimensions as dims
+from bizlens.sources.schemas import TABLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one source table with its declared schema (see :mod:`bizlens.sources.schemas`)."""
+    reader = spark.read
+    if name in TABLES:
+        reader = reader.schema(TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(key: Column, mapping: list[tuple[int, object]]) -> Column:

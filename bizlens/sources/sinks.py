@@ -34,3 +34,29 @@ def append(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(table_path(spark, name))
+
+
+def register_views(spark: SparkSession, sf_dir: str, cache: bool = False) -> list[str]:
+    """Register every canonical view (``v_*``) and the cleaned tables as
+    session temp views, so questions can also be asked with ``spark.sql``.
+
+    ``createOrReplaceTempView`` replaces on rerun (the temp-table idiom);
+    ``cache=True`` caches the cleaned tables, which most jobs read.
+    """
+    from bizlens.plans import cleaning
+    from bizlens.sources import bindings as b
+
+    names = []
+    for attr in dir(b):
+        if attr.startswith("v_"):
+            getattr(b, attr)(spark, sf_dir).createOrReplaceTempView(attr)
+            names.append(attr)
+    cleaned = {
+        "clean_orders": cleaning.clean_orders(b.v_orders_raw(spark, sf_dir)),
+        "clean_deliveries": cleaning.clean_deliveries(b.v_deliveries_raw(spark, sf_dir)),
+        "clean_weekly_sales": cleaning.clean_weekly_sales(b.v_weekly_sales_raw(spark, sf_dir)),
+    }
+    for name, df in cleaned.items():
+        (df.cache() if cache else df).createOrReplaceTempView(name)
+        names.append(name)
+    return names
