@@ -1,11 +1,11 @@
 """First / last rows per key, ranks and top-k -- shaped so that a hot key
 never has to be sorted inside one task.
 
-* ``rows_at_extreme`` replaces ``RANK() ... = 1``: a partial-aggregated
-  min/max per key, then an equi-join back on (key, value).
-* ``rank_by_value`` replaces ``RANK() OVER (PARTITION BY k ORDER BY v)`` for a
-  low-cardinality order column (a date): counts per (key, value) are
-  aggregated first, the window then runs over distinct values only.
+* ``rows_at_extreme`` replaces ``RANK() ... = 1`` and ``rank_by_value``
+  replaces ``RANK() OVER (PARTITION BY k ORDER BY v)``: identical rows are
+  collapsed to (row, count) with a partial aggregate, the window runs over
+  those distinct rows only (bounded per key by dates x products, not by
+  volume), and the rows are expanded back -- one pass over the input.
 * ``top_k`` is a global ``ORDER BY ... LIMIT`` with a deterministic
   tie-break (TakeOrderedAndProject: per-partition top-k, then a merge).
 """
@@ -18,11 +18,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _grouped(df: DataFrame) -> tuple[list[str], DataFrame]:
+    """Identical rows collapsed to one row with a multiplicity ``_n``."""
+    cols = df.columns
+    return cols, df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _expand(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Undo :func:`_grouped`: each row repeated ``_n`` times."""
+    return df.select(*cols, F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_r")).drop("_r")
+
+
 def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, how: str = "min") -> DataFrame:
-    """All rows whose ``value`` equals the per-key min (or max): RANK = 1 with ties."""
-    agg = F.min(value) if how == "min" else F.max(value)
-    ext = df.groupBy(*keys).agg(agg.alias(value))
-    return df.join(ext, [*keys, value], "inner")
+    """All rows whose ``value`` equals the per-key min (or max): RANK = 1 with ties.
+
+    Identical rows are first collapsed with a count (partial aggregation), so
+    the per-key window sees at most one row per distinct (value, other
+    columns) -- e.g. dates x products for a customer -- however hot the key.
+    One pass over the input; the original multiset is restored at the end.
+    """
+    cols, g = _grouped(df)
+    ext = (F.min(value) if how == "min" else F.max(value)).over(Window.partitionBy(*keys))
+    kept = g.withColumn("_x", ext).filter(F.col(value) == F.col("_x"))
+    return _expand(kept, cols)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
@@ -38,12 +56,20 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Se
 
 def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank",
                   descending: bool = False) -> DataFrame:
-    """``RANK() OVER (PARTITION BY keys ORDER BY value)`` attached to every row."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    """``RANK() OVER (PARTITION BY keys ORDER BY value)`` attached to every row.
+
+    Rank = 1 + number of rows of the key with a strictly smaller value. Rows
+    are collapsed to (distinct row, count) first; the running count over the
+    value order minus the count of the value's peers gives the rank, then the
+    rows are expanded back. One pass, bounded window input per key.
+    """
+    cols, g = _grouped(df)
     order = F.col(value).desc() if descending else F.col(value).asc()
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(*keys, value, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(out))
-    return df.join(ranks, [*keys, value], "inner")
+    w = Window.partitionBy(*keys).orderBy(order)
+    upto = F.sum("_n").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    peers = F.sum("_n").over(w.rangeBetween(Window.currentRow, Window.currentRow))
+    ranked = g.withColumn(out, upto - peers + 1)
+    return _expand(ranked, [*cols, out])
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
