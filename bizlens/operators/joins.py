@@ -16,7 +16,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def point_in_interval_join(facts: DataFrame, ts: str, intervals: DataFrame, start: str, end: str,
-                           how: str = "left") -> DataFrame:
+                           how: str = "left", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``facts JOIN intervals ON facts.ts BETWEEN start AND end``.
 
     Each interval is expanded into the calendar days it touches, so the join
@@ -28,4 +28,4 @@ def point_in_interval_join(facts: DataFrame, ts: str, intervals: DataFrame, star
     days = intervals.withColumn("_iv_day", F.explode(F.sequence(F.to_date(start), F.to_date(end))))
     f = facts.withColumn("_f_day", F.to_date(ts))
     cond = (F.col("_f_day") == F.col("_iv_day")) & F.col(ts).between(F.col(start), F.col(end))
-    return f.join(bounded_broadcast(days), cond, how).drop("_f_day", "_iv_day")
+    return f.join(bounded_broadcast(days, max_broadcast_rows), cond, how).drop("_f_day", "_iv_day")

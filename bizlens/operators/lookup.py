@@ -29,10 +29,11 @@ def small_map(dim: DataFrame, key: str, value: str, max_rows: int = MAX_EMBEDDED
 
 
 def translate_ids(df: DataFrame, line_keys: list[str], ids: Column, dim: DataFrame, key: str, value: str,
-                  out: str) -> DataFrame:
+                  out: str, max_embedded_rows: int = MAX_EMBEDDED_ROWS) -> DataFrame:
     """Add ``out``: array<struct<id, name>> for the ids of each row that exist
-    in ``dim`` (order of ``ids`` kept, unknown ids dropped)."""
-    m = small_map(dim, key, value)
+    in ``dim`` (order of ``ids`` kept, unknown ids dropped). ``line_keys`` must
+    identify a row (used only by the large-dimension path)."""
+    m = small_map(dim, key, value, max_embedded_rows)
     if m is not None:
         pairs = F.transform(ids, lambda i: F.struct(i.alias("id"), F.try_element_at(m, i).alias("name")))
         return df.withColumn(out, F.filter(F.coalesce(pairs, F.array()), lambda s: s["name"].isNotNull()))
