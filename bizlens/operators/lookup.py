@@ -28,22 +28,28 @@ def small_map(dim: DataFrame, key: str, value: str, max_rows: int = MAX_EMBEDDED
     return F.map_from_arrays(keys, vals)
 
 
-def translate_ids(df: DataFrame, line_keys: list[str], ids: Column, dim: DataFrame, key: str, value: str,
-                  out: str, max_embedded_rows: int = MAX_EMBEDDED_ROWS) -> DataFrame:
+def translate_ids(df: DataFrame, ids: Column, dim: DataFrame, key: str, value: str, out: str,
+                  max_embedded_rows: int = MAX_EMBEDDED_ROWS) -> DataFrame:
     """Add ``out``: array<struct<id, name>> for the ids of each row that exist
-    in ``dim`` (order of ``ids`` kept, unknown ids dropped). ``line_keys`` must
-    identify a row (used only by the large-dimension path)."""
+    in ``dim`` (order of ``ids`` kept, unknown ids dropped)."""
     m = small_map(dim, key, value, max_embedded_rows)
     if m is not None:
         pairs = F.transform(ids, lambda i: F.struct(i.alias("id"), F.try_element_at(m, i).alias("name")))
         return df.withColumn(out, F.filter(F.coalesce(pairs, F.array()), lambda s: s["name"].isNotNull()))
-    # Large dimension: explode, equi-join, regroup per line.
-    exploded = df.select(*line_keys, F.posexplode(ids).alias("_pos", "_id"))
+    # Large dimension: every row gets a stable id (positions inside a reliable
+    # checkpoint do not change on recomputation), then explode, equi-join and
+    # regroup per row id. Rows need not have a unique key.
+    from bizlens.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    base = df.checkpoint(eager=True).withColumn("_rid", F.monotonically_increasing_id())
+    exploded = base.select("_rid", F.posexplode(ids).alias("_pos", "_id"))
     named = exploded.join(dim.select(F.col(key).alias("_id"), F.col(value).alias("_name")), "_id")
-    packed = named.groupBy(*line_keys).agg(
+    packed = named.groupBy("_rid").agg(
         F.sort_array(F.collect_list(F.struct("_pos", F.col("_id").alias("id"), F.col("_name").alias("name"))))
         .alias("_p"))
-    packed = packed.select(*line_keys, F.transform("_p", lambda s: F.struct(s["id"].alias("id"),
-                                                                           s["name"].alias("name"))).alias(out))
-    empty = F.array().cast("array<struct<id:int,name:string>>")
-    return df.join(packed, line_keys, "left").withColumn(out, F.coalesce(F.col(out), empty))
+    packed = packed.select("_rid", F.transform("_p", lambda s: F.struct(s["id"].alias("id"),
+                                                                       s["name"].alias("name"))).alias(out))
+    empty = F.array().cast(f"array<struct<id:{dim.schema[key].dataType.simpleString()},"
+                           f"name:{dim.schema[value].dataType.simpleString()}>>")
+    return base.join(packed, "_rid", "left").withColumn(out, F.coalesce(F.col(out), empty)).drop("_rid")

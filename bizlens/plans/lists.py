@@ -20,9 +20,6 @@ from bizlens.operators.lookup import translate_ids
 from bizlens.operators.ranking import keep_rank_one
 from bizlens.sources.dimensions import literal_table
 
-LINE_KEYS = ["order_id", "line_number", "part_key", "supp_key"]
-
-
 def _ids(c: str) -> Column:
     return F.coalesce(F.array_distinct(id_list(c)), F.array().cast("array<int>"))
 
@@ -63,9 +60,8 @@ def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -
     """``<name> - Exclude a, b - Extra c, d`` per item; NULL parts are skipped,
     so a plain item keeps its trailing blank, as written."""
     df = orders.join(F.broadcast(names), "pizza_id", "left")
-    df = translate_ids(df, LINE_KEYS, F.sort_array(_ids("exclusions")), toppings, "topping_id", "topping_name",
-                       "_xn")
-    df = translate_ids(df, LINE_KEYS, F.sort_array(_ids("extras")), toppings, "topping_id", "topping_name", "_en")
+    df = translate_ids(df, F.sort_array(_ids("exclusions")), toppings, "topping_id", "topping_name", "_xn")
+    df = translate_ids(df, F.sort_array(_ids("extras")), toppings, "topping_id", "topping_name", "_en")
     xn = F.transform("_xn", lambda s: s["name"])
     en = F.transform("_en", lambda s: s["name"])
     label = F.concat_ws(
@@ -87,7 +83,7 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
     df = orders.join(F.broadcast(recipes), "pizza_id").join(F.broadcast(names), "pizza_id")
     df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras"), "_r": _ids("toppings")})
     df = df.withColumn("_base", F.array_except("_r", "_x"))
-    df = translate_ids(df, LINE_KEYS, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
+    df = translate_ids(df, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
     df = df.filter(F.size("_n") > 0)
     labels = F.transform("_n", lambda s: F.when(
         F.array_contains("_base", s["id"]) & F.array_contains("_e", s["id"]),
