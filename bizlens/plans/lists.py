@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bizlens.functions.text import id_list
 from bizlens.operators.aggregate import ordered_join
-from bizlens.operators.lookup import translate_ids
+from bizlens.operators.lookup import small_map, translate_ids
 from bizlens.operators.ranking import keep_rank_one
 from bizlens.sources.dimensions import literal_table
 
@@ -111,6 +111,18 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
               .join(F.broadcast(recipes), "pizza_id"))
     combos = combos.select("_w", _ids("exclusions").alias("_x"), _ids("extras").alias("_e"),
                            _ids("toppings").alias("_r"))
+    names = small_map(toppings, "topping_id", "topping_name")
+    if names is not None:
+        # Every combination scores every topping (no rows at all when nothing was delivered).
+        per = F.transform(F.map_keys(names), lambda i: F.struct(
+            i.alias("topping_id"),
+            F.when(F.array_contains("_x", i), 0).when(F.array_contains("_r", i), 1).alias("ct"),
+            F.when(F.array_contains("_e", i), 1).otherwise(0).alias("ce")))
+        ex = combos.select("_w", F.explode(per).alias("c")).select("_w", "c.*")
+        agg = ex.groupBy("topping_id").agg(F.sum(F.col("ct") * F.col("_w")).alias("_ct"),
+                                           F.sum(F.col("ce") * F.col("_w")).alias("_ce"))
+        return agg.join(F.broadcast(toppings), "topping_id").select(
+            "topping_name", (F.col("_ct") + F.col("_ce")).cast("bigint").alias("total_ingredients"))
     contrib = F.concat(
         F.transform(F.array_union("_r", "_x"), lambda i: F.struct(
             i.alias("topping_id"), F.when(F.array_contains("_x", i), 0).otherwise(1).alias("ct"),

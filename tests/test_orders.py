@@ -103,3 +103,9 @@ def test_dense_ids(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("k"))
     got = [(r.k, r.id) for r in with_dense_id(df, ["k"]).orderBy("k").collect()]
     assert [i for _, i in got] == list(range(1, 5001))
+
+
+def test_ingredient_totals_nothing_delivered(data, spark):
+    o, d = data
+    none = d.filter("order_id < 0")
+    assert lists.ingredient_totals(o, none, dims.pizza_recipes(spark), dims.toppings(spark)).count() == 0
