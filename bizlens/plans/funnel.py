@@ -61,10 +61,24 @@ def purchase_visit_pct(events: DataFrame, event_types: DataFrame) -> DataFrame:
 
 
 def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: DataFrame,
-                             checkout_page: str = "Checkout") -> DataFrame:
+                             checkout_page: str = "Checkout", restricted: bool = False) -> DataFrame:
     """100 - 100 * purchase visits / checkout page views (as written: the
-    denominator counts view *events*, the numerator distinct visits)."""
+    denominator counts view *events*, the numerator distinct visits).
+
+    ``restricted=True`` answers the question literally: among distinct visits
+    that viewed the checkout page, the share without a purchase event (one
+    aggregate per visit, then one global aggregate).
+    """
     e = _typed(events, event_types).join(F.broadcast(pages.select("page_id", "page_name")), "page_id", "left")
+    if restricted:
+        per_visit = e.groupBy("visit_id").agg(
+            F.max((F.col("event_name") == "Page View") & (F.col("page_name") == checkout_page)).alias("_c"),
+            F.max(F.col("event_name") == "Purchase").alias("_p"))
+        seen = per_visit.filter(F.col("_c"))
+        agg = seen.agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(~F.coalesce(F.col("_p"), F.lit(False)), 1))
+                       .alias("_np"))
+        return agg.select(rounded(F.col("_np").cast("decimal(38,6)") * 100 / F.col("_n"), 2)
+                          .alias("not_purchase_event"))
     checkout_views = F.count(F.when((F.col("event_name") == "Page View") & (F.col("page_name") == checkout_page),
                                     F.col("visit_id")))
     purchase_visits = F.countDistinct(F.when(F.col("event_name") == "Purchase", F.col("visit_id")))
@@ -107,7 +121,8 @@ def top_purchased_products(events: DataFrame, event_types: DataFrame, pages: Dat
     return top_k(named, [F.col("number_of_purchases").desc(), F.col("page_name").asc()], n)
 
 
-def _funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
+def _funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame, keys: list[str],
+            keep_all: bool = False) -> DataFrame:
     """Views, cart adds, abandoned and purchased adds per ``keys``.
 
     Every cart add is flagged with whether its visit purchased (a left join
@@ -126,17 +141,20 @@ def _funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame, keys: l
         sum_if(add & ~bought).cast("bigint").alias("abandoned"),
         sum_if(add & bought).cast("bigint").alias("purchased"),
     )
-    return agg.filter((F.col("abandoned") > 0) & (F.col("purchased") > 0))
+    return agg if keep_all else agg.filter((F.col("abandoned") > 0) & (F.col("purchased") > 0))
 
 
-def product_funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame) -> DataFrame:
-    f = _funnel(events, event_types, pages, ["product_id", "page_name"])
+def product_funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Per product; ``keep_all=True`` keeps products lacking abandoned or
+    purchased adds (with 0) instead of dropping them."""
+    f = _funnel(events, event_types, pages, ["product_id", "page_name"], keep_all)
     return f.select(F.col("page_name").alias("product_name"), "number_of_views", "added_to_cart", "abandoned",
                     "purchased")
 
 
-def category_funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame) -> DataFrame:
-    f = _funnel(events, event_types, pages, ["product_category"])
+def category_funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame,
+                    keep_all: bool = False) -> DataFrame:
+    f = _funnel(events, event_types, pages, ["product_category"], keep_all)
     return f.select("product_category", "number_of_views", "added_to_cart", "abandoned", "purchased")
 
 
@@ -172,41 +190,60 @@ def best_view_to_purchase(funnel: DataFrame) -> DataFrame:
     return top_k(r, [F.col("purchase_per_view").desc(), F.col("product_name").asc()], 1)
 
 
-def avg_view_to_cart(funnel: DataFrame) -> DataFrame:
-    ratio = F.col("added_to_cart").cast("decimal(38,6)") * 100 / F.col("number_of_views")
-    return funnel.agg(rounded(F.avg(ratio), 2).alias("avg_cart_per_view"))
+def _conversion(funnel: DataFrame, num: str, den: str, out: str, ratio_of_sums: bool) -> DataFrame:
+    """Mean of per-product ratios (as written) or, with ``ratio_of_sums``,
+    the ratio of the totals."""
+    if ratio_of_sums:
+        value = F.sum(num).cast("decimal(38,6)") * 100 / F.sum(den)
+    else:
+        value = F.avg(F.col(num).cast("decimal(38,6)") * 100 / F.col(den))
+    return funnel.agg(rounded(value, 2).alias(out))
+
 
+def avg_view_to_cart(funnel: DataFrame, ratio_of_sums: bool = False) -> DataFrame:
+    return _conversion(funnel, "added_to_cart", "number_of_views", "avg_cart_per_view", ratio_of_sums)
 
-def avg_cart_to_purchase(funnel: DataFrame) -> DataFrame:
-    ratio = F.col("purchased").cast("decimal(38,6)") * 100 / F.col("added_to_cart")
-    return funnel.agg(rounded(F.avg(ratio), 2).alias("avg_purchase_per_cart"))
+
+def avg_cart_to_purchase(funnel: DataFrame, ratio_of_sums: bool = False) -> DataFrame:
+    return _conversion(funnel, "purchased", "added_to_cart", "avg_purchase_per_cart", ratio_of_sums)
 
 
 def visit_campaigns(events: DataFrame, users: DataFrame, event_types: DataFrame, pages: DataFrame,
-                    campaigns: DataFrame, name_chars: int | None = 1) -> DataFrame:
+                    campaigns: DataFrame, name_chars: int | None = 1, by_visit_start: bool = False,
+                    purchase_flag: bool = False) -> DataFrame:
     """One row per (user, visit, campaign) with event counts and the cart-add
     page names in sequence order.
 
-    The campaign is matched per *event* time (a visit crossing a campaign
-    boundary splits into two rows), as written. ``name_chars=1`` keeps the
-    one-character cast of the names; ``None`` keeps full names.
+    As written, the campaign is matched per *event* time (a visit crossing a
+    campaign boundary splits into two rows), ``purchase`` counts purchase
+    events and ``name_chars=1`` keeps the one-character cast of the names.
+    Options: ``by_visit_start=True`` matches each visit once, on its start
+    time; ``purchase_flag=True`` makes ``purchase`` a 1/0 flag;
+    ``name_chars=None`` keeps full names.
     """
     e = (events.join(users, "cookie_id")
          .join(F.broadcast(event_types), "event_type")
          .join(F.broadcast(pages.select("page_id", "page_name")), "page_id"))
-    e = point_in_interval_join(e, "event_time", campaigns.select("campaign_name", "start_date", "end_date"),
-                               "start_date", "end_date", "left")
+    camp = campaigns.select("campaign_name", "start_date", "end_date")
+    keys = ["user_id", "visit_id"]
+    if not by_visit_start:
+        e = point_in_interval_join(e, "event_time", camp, "start_date", "end_date", "left")
+        keys.append("campaign_name")
     t = F.col("event_type")
     cart_name = F.when(t == CART_ADD, F.col("page_name"))
     if name_chars is not None:
         cart_name = F.substring(cart_name, 1, name_chars)
-    return e.groupBy("user_id", "visit_id", "campaign_name").agg(
+    purchase = F.max(F.when(t == PURCHASE, 1).otherwise(0)) if purchase_flag else sum_if(t == PURCHASE)
+    out = e.groupBy(*keys).agg(
         F.min("event_time").alias("visit_start_time"),
         sum_if(t == VIEW).cast("bigint").alias("page_views"),
         sum_if(t == CART_ADD).cast("bigint").alias("cart_adds"),
-        sum_if(t == PURCHASE).cast("bigint").alias("purchase"),
+        purchase.cast("bigint").alias("purchase"),
         sum_if(t == IMPRESSION).cast("bigint").alias("impression"),
         sum_if(t == CLICK).cast("bigint").alias("click"),
         ordered_join(cart_name, F.col("sequence_number")).alias("cart_products"),
-    ).select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase", "campaign_name",
-             "impression", "click", "cart_products")
+    )
+    if by_visit_start:
+        out = point_in_interval_join(out, "visit_start_time", camp, "start_date", "end_date", "left")
+    return out.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase",
+                      "campaign_name", "impression", "click", "cart_products")

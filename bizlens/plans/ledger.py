@@ -90,22 +90,27 @@ def avg_deposits(txn: DataFrame) -> DataFrame:
                    rounded(F.avg("_s"), 1).alias("average_total_deposit"))
 
 
-def _month_keys(date_col: str = "txn_date") -> list[Column]:
+def _month_keys(date_col: str = "txn_date", with_year: bool = False) -> list[Column]:
+    """(month_, month_name). As asked, months carry no year, so the same month
+    of different years merges; ``with_year=True`` keys by calendar month
+    (first day of the month, and 'January 2020' style names)."""
+    if with_year:
+        return [F.trunc(date_col, "month").alias("month_"), F.date_format(date_col, "MMMM yyyy").alias("month_name")]
     return [F.month(date_col).alias("month_"), month_name(date_col).alias("month_name")]
 
 
-def active_customers_by_month(txn: DataFrame, min_deposits: int = 2) -> DataFrame:
+def active_customers_by_month(txn: DataFrame, min_deposits: int = 2, with_year: bool = False) -> DataFrame:
     t = F.col("txn_type")
-    per = txn.groupBy("customer_id", *_month_keys()).agg(
+    per = txn.groupBy("customer_id", *_month_keys(with_year=with_year)).agg(
         sum_if(t == "deposit").alias("d"), sum_if(t == "purchase").alias("p"), sum_if(t == "withdrawal").alias("w"))
     ok = per.filter((F.col("d") >= min_deposits) & ((F.col("p") >= 1) | (F.col("w") >= 1)))
     return ok.groupBy("month_", "month_name").agg(F.count("customer_id").alias("customer_count")).select(
         "month_name", "customer_count")
 
 
-def monthly_net(txn: DataFrame) -> DataFrame:
+def monthly_net(txn: DataFrame, with_year: bool = False) -> DataFrame:
     t, a = F.col("txn_type"), F.col("txn_amount")
-    per = txn.groupBy("customer_id", *_month_keys()).agg(
+    per = txn.groupBy("customer_id", *_month_keys(with_year=with_year)).agg(
         sum_if(t == "deposit", a).alias("d"), sum_if(t == "purchase", a).alias("p"),
         sum_if(t == "withdrawal", a).alias("w"))
     return per.select("customer_id", "month_name",
@@ -116,25 +121,25 @@ def _signed(txn: DataFrame) -> Column:
     return F.when(F.col("txn_type") == "deposit", F.col("txn_amount")).otherwise(-F.col("txn_amount"))
 
 
-def _monthly_running(txn: DataFrame) -> DataFrame:
-    per = txn.groupBy("customer_id", *_month_keys()).agg(F.sum(_signed(txn)).alias("txn_amount"))
+def _monthly_running(txn: DataFrame, with_year: bool = False) -> DataFrame:
+    per = txn.groupBy("customer_id", *_month_keys(with_year=with_year)).agg(F.sum(_signed(txn)).alias("txn_amount"))
     w = Window.partitionBy("customer_id").orderBy("month_").rowsBetween(Window.unboundedPreceding, 0)
     return per.withColumn("balance", F.sum("txn_amount").over(w))
 
 
-def running_month_balance(txn: DataFrame) -> DataFrame:
+def running_month_balance(txn: DataFrame, with_year: bool = False) -> DataFrame:
     """Net amount per customer-month and the running balance over months.
-    The window input is one row per customer-month (at most 12)."""
-    r = _monthly_running(txn)
+    The window input is one row per customer-month (at most 12 as asked)."""
+    r = _monthly_running(txn, with_year)
     return r.select("customer_id", "month_", "month_name", F.col("txn_amount").cast("double").alias("txn_amount"),
                     F.col("balance").cast("double").alias("balance"))
 
 
-def growth_share(txn: DataFrame, threshold: float = 5.0) -> DataFrame:
+def growth_share(txn: DataFrame, threshold: float = 5.0, with_year: bool = False) -> DataFrame:
     """Share (%) of customers whose last monthly balance grew by more than
     ``threshold`` percent over the previous month (no previous month counts as
     no growth; a previous balance of 0 gives balance x 100)."""
-    r = _monthly_running(txn)
+    r = _monthly_running(txn, with_year)
     w = Window.partitionBy("customer_id").orderBy("month_")
     prev = F.lag("balance").over(w)
     r = r.withColumn("_prev", prev)
@@ -150,7 +155,7 @@ def growth_share(txn: DataFrame, threshold: float = 5.0) -> DataFrame:
                             / F.count(F.lit(1)), 2).alias("growth_percentage"))
 
 
-def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -> DataFrame:
+def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, per_day: bool = False) -> DataFrame:
     """Monthly data need when each customer gets the mean balance of the last
     ``window_rows`` ledger rows; no allocation before row ``min_rows``,
     negative means clamp to 0; then the max per customer-month and the sum
@@ -174,7 +179,8 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -
     """
     w_rows = window_rows
     signed = txn.select("customer_id", F.col("txn_date").alias("day"), _signed(txn).alias("amt"))
-    days = signed.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("k"), F.sum("amt").alias("_net"))
+    rows_per_day = F.min(F.lit(1)).cast("long") if per_day else F.count(F.lit(1))
+    days = signed.groupBy("customer_id", "day").agg(rows_per_day.alias("k"), F.sum("amt").alias("_net"))
     w = Window.partitionBy("customer_id").orderBy("day")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     runs = days.select(
@@ -220,7 +226,8 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -
     return per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation"))
 
 
-def data_allocation_expanded(txn: DataFrame, window_rows: int = 31, min_rows: int = 30) -> DataFrame:
+def data_allocation_expanded(txn: DataFrame, window_rows: int = 31, min_rows: int = 30,
+                             per_day: bool = False) -> DataFrame:
     """Monthly data need when each customer gets the mean balance of the last
     ``window_rows`` ledger rows; no allocation before row ``min_rows`` and
     negative means clamp to 0. Then the max per customer-month and the sum
@@ -241,6 +248,8 @@ def data_allocation_expanded(txn: DataFrame, window_rows: int = 31, min_rows: in
     signed = txn.select("customer_id", F.col("txn_date").alias("day"), _signed(txn).alias("amt"))
     days = signed.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("_k"), F.sum("amt").alias("_net"))
     w = Window.partitionBy("customer_id").orderBy("day")
+    if per_day:
+        days = days.withColumn("_k", F.lit(1).cast("long"))
     days = days.select(
         "customer_id", "day", "_k",
         F.sum("_net").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("balance"),

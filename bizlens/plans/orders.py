@@ -102,12 +102,15 @@ def _seconds_between(start: str, end: str) -> Column:
     return F.timestamp_diff("SECOND", F.col(start), F.col(end))
 
 
-def _minute_field(total_seconds: Column, n: Column) -> Column:
-    """Minute field of the average interval: floor(avg / 60) mod 60, exact."""
-    return ((F.floor(total_seconds / (n * 60))) % 60).cast("bigint")
+def _minute_field(total_seconds: Column, n: Column, field: bool = True) -> Column:
+    """Minute field of the average interval: floor(avg / 60) mod 60, exact;
+    ``field=False`` gives whole minutes of the average instead."""
+    minutes = F.floor(total_seconds / (n * 60))
+    return (minutes % 60 if field else minutes).cast("bigint")
 
 
-def avg_pickup_minutes(orders: DataFrame, deliveries: DataFrame, grain: str = "item") -> DataFrame:
+def avg_pickup_minutes(orders: DataFrame, deliveries: DataFrame, grain: str = "item",
+                       minute_field: bool = True) -> DataFrame:
     """Minute field of the mean order-to-pickup time per runner.
 
     ``grain='item'`` weights each order by its item count (the join is at
@@ -119,16 +122,18 @@ def avg_pickup_minutes(orders: DataFrame, deliveries: DataFrame, grain: str = "i
     secs = _seconds_between("order_time", "pickup_time")
     agg = j.groupBy("runner_id").agg(
         F.sum(secs * w).alias("_s"), F.sum(F.when(secs.isNotNull(), w)).alias("_n"))
-    return agg.select("runner_id", _minute_field(F.col("_s"), F.col("_n")).alias("average_arrival_minutes"))
+    return agg.select("runner_id", _minute_field(F.col("_s"), F.col("_n"), minute_field)
+                      .alias("average_arrival_minutes"))
 
 
-def prep_time_by_size(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
+def prep_time_by_size(orders: DataFrame, deliveries: DataFrame, minute_field: bool = True) -> DataFrame:
     per_order = orders.groupBy("order_id", "order_time").agg(F.count("pizza_id").alias("pizza_order_count"))
     d = deliveries.filter(F.col("pickup_time").isNotNull()).select("order_id", "pickup_time")
     j = per_order.join(d, "order_id")
     secs = _seconds_between("order_time", "pickup_time")
     agg = j.groupBy("pizza_order_count").agg(F.sum(secs).alias("_s"), F.count(secs).alias("_n"))
-    return agg.select("pizza_order_count", _minute_field(F.col("_s"), F.col("_n")).alias("average_time"))
+    return agg.select("pizza_order_count", _minute_field(F.col("_s"), F.col("_n"), minute_field)
+                      .alias("average_time"))
 
 
 def avg_distance(orders: DataFrame, deliveries: DataFrame, grain: str = "item") -> DataFrame:

@@ -120,3 +120,16 @@ def test_run_length_equals_expanded(txn):
     assert set(a) == set(b)
     for k in a:
         assert (a[k] is None and b[k] is None) or a[k] == pytest.approx(b[k], abs=1e-6)
+
+
+def test_options(txn, spark):
+    from bizlens.plans import orders  # noqa: F401
+
+    day = dict(rows(ledger.data_allocation(txn, window_rows=30, per_day=True)))
+    day_ref = dict(rows(ledger.data_allocation_expanded(txn, window_rows=30, per_day=True)))
+    assert set(day) == set(day_ref)
+    for k in day:
+        assert (day[k] is None and day_ref[k] is None) or day[k] == pytest.approx(day_ref[k], abs=1e-6)
+    months = ledger.running_month_balance(txn, with_year=True)
+    assert dict(months.dtypes)["month_"] == "date"
+    assert ledger.growth_share(txn, with_year=True).count() == 1

@@ -89,3 +89,19 @@ def test_visit_campaigns_split(clicks, spark):
         ("v1", "Cocoa Week", 1, 0, 1, 0, None),
         ("v2", "New Year Brew", 0, 3, 0, 1, "G, B, E"),
     ], key=lambda t: tuple(map(str, t)))
+
+
+def test_funnel_options(clicks, spark):
+    ev, users = clicks
+    types, pages = dims.event_types(spark), dims.pages(spark)
+    all_products = funnel.product_funnel(ev, types, pages, keep_all=True)
+    assert ("Black Tea", 0, 1, 1, 0) in rows(all_products)
+    f = funnel.product_funnel(ev, types, pages)
+    # Espresso 0 views -> division by zero gives NULL ratio and is skipped by AVG; ratio of sums: 4 adds / 1 view
+    assert rows(funnel.avg_cart_to_purchase(f)) == [(50.0,)]
+    assert rows(funnel.avg_view_to_cart(f, ratio_of_sums=True)) == [(400.0,)]
+    once = rows(funnel.visit_campaigns(ev, users, types, pages, dims.campaigns(spark), by_visit_start=True,
+                                       purchase_flag=True), "visit_id", "campaign_name", "purchase", "cart_adds")
+    assert once == [("v1", "Midwinter Tasting", 1, 2), ("v2", "New Year Brew", 0, 3)]
+    # restricted: v1 viewed checkout (page 12) and purchased -> 0% without purchase
+    assert rows(funnel.checkout_no_purchase_pct(ev, types, pages, restricted=True)) == [(0.0,)]
