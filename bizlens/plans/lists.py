@@ -84,13 +84,17 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
     df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras"), "_r": _ids("toppings")})
     df = df.withColumn("_base", F.array_except("_r", "_x"))
     df = translate_ids(df, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
-    df = df.filter(F.size("_n") > 0)
     labels = F.transform("_n", lambda s: F.when(
         F.array_contains("_base", s["id"]) & F.array_contains("_e", s["id"]),
         F.concat(F.lit("2x"), s["name"])).otherwise(s["name"]))
     df = df.withColumn("_l", F.sort_array(labels))
-    return df.select("order_id", "line_number",
-                     F.concat(F.col("pizza_name"), F.lit(": "), F.array_join("_l", ", ")).alias("ingredient_list"))
+    # Items left with no topping produce no row. An explode of a 0/1-element
+    # array drops them without a Filter: a Filter would be pushed below the
+    # projection (into the recipe join) and evaluate the list pipeline twice.
+    joined = F.when(F.size("_l") > 0, F.array(F.array_join("_l", ", ")))
+    out = df.select("order_id", "line_number", "pizza_name", F.explode(joined).alias("_j"))
+    return out.select("order_id", "line_number",
+                      F.concat(F.col("pizza_name"), F.lit(": "), F.col("_j")).alias("ingredient_list"))
 
 
 def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFrame,
