@@ -33,12 +33,12 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
     when neither is set -- a local test run -- create one and register it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="bizlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)  # so that DataFrame.checkpoint() writes there
     return path.rstrip("/")
 
 
