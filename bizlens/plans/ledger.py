@@ -60,12 +60,13 @@ def _gap_histogram(nodes: DataFrame) -> DataFrame:
     """
     days = nodes.groupBy("customer_id", "start_date", "region_id").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy("customer_id").orderBy("start_date", "region_id")
-    gaps = days.select("region_id", "_c", F.datediff("start_date", F.lag("start_date").over(w)).alias("gap"))
-    first = gaps.filter(F.col("gap").isNotNull()).select("region_id", "gap", F.lit(1).alias("w"))
-    zeros = gaps.filter(F.col("_c") > 1).select(
-        "region_id", F.lit(0).alias("gap"),
-        (F.col("_c") - 1).alias("w"))
-    return first.unionByName(zeros)
+    gap = F.datediff("start_date", F.lag("start_date").over(w))
+    gaps = days.select("region_id", "_c", gap.alias("gap"))
+    # one pass: each day yields (gap to the previous day, 1) and (0, count - 1)
+    parts = F.filter(F.array(F.struct(F.col("gap").alias("gap"), F.lit(1).cast("bigint").alias("w")),
+                             F.struct(F.lit(0).alias("gap"), (F.col("_c") - 1).alias("w"))),
+                     lambda p: p["gap"].isNotNull() & (p["w"] > 0))
+    return gaps.select("region_id", F.explode(parts).alias("p")).select("region_id", "p.gap", "p.w")
 
 
 def reallocation_percentiles(nodes: DataFrame, regions: DataFrame,

@@ -2,8 +2,10 @@
 
 Inputs: ``sales(customer_id, order_date, product_id)``,
 ``menu(product_id, product_name, price)``, ``members(customer_id, join_date)``.
-The menu is a dimension (one row per product) and is joined last, after the
-facts have been reduced, wherever the question allows it.
+The menu is a dimension (one row per product): it is broadcast behind a
+bounded count (a shuffle on product_id would put all facts on as many
+partitions as there are products) and joined after the facts have been
+reduced wherever the question allows it.
 """
 
 from __future__ import annotations
@@ -13,10 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.joins import bounded_broadcast
 from bizlens.operators.ranking import first_by, rank_by_value, rows_at_extreme, top_k
 
 
 def spend_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
+    menu = bounded_broadcast(menu)
     return (
         sales.join(menu.select("product_id", "price"), "product_id")
         .groupBy("customer_id")
@@ -30,6 +34,7 @@ def visit_days(sales: DataFrame) -> DataFrame:
 
 def first_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """First purchase per customer; ties on the date broken by product_id."""
+    menu = bounded_broadcast(menu)
     first = first_by(sales, ["customer_id"], ["order_date", "product_id"])
     return first.join(menu.select("product_id", "product_name"), "product_id").select(
         "customer_id", "order_date", "product_name"
@@ -37,6 +42,7 @@ def first_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 
 def top_item(sales: DataFrame, menu: DataFrame, n: int = 1) -> DataFrame:
+    menu = bounded_broadcast(menu)
     counts = sales.groupBy("product_id").agg(F.count("product_id").alias("purchases"))
     named = counts.join(menu.select("product_id", "product_name"), "product_id")
     return top_k(named, [F.col("purchases").desc(), F.col("product_name").asc()], n).select(
@@ -46,6 +52,7 @@ def top_item(sales: DataFrame, menu: DataFrame, n: int = 1) -> DataFrame:
 
 def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Most bought product(s) per customer, ties kept (DENSE_RANK = 1)."""
+    menu = bounded_broadcast(menu)
     counts = sales.groupBy("customer_id", "product_id").agg(F.count("product_id").alias("product_count"))
     best = rows_at_extreme(counts, ["customer_id"], "product_count", "max")
     return best.join(menu.select("product_id", "product_name"), "product_id").select(
@@ -60,18 +67,21 @@ def _member_rows(sales: DataFrame, members: DataFrame, menu: DataFrame, on_or_af
 
 
 def first_item_as_member(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
+    menu = bounded_broadcast(menu)
     rows = _member_rows(sales, members, menu, True).select("customer_id", "order_date", "product_id")
     first = rows_at_extreme(rows, ["customer_id"], "order_date", "min")
     return first.join(menu.select("product_id", "product_name"), "product_id").select("customer_id", "product_name")
 
 
 def last_item_before_member(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
+    menu = bounded_broadcast(menu)
     rows = _member_rows(sales, members, menu, False).select("customer_id", "order_date", "product_id")
     last = rows_at_extreme(rows, ["customer_id"], "order_date", "max")
     return last.join(menu.select("product_id", "product_name"), "product_id").select("customer_id", "product_name")
 
 
 def spend_before_member(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
+    menu = bounded_broadcast(menu)
     rows = _member_rows(sales, members, menu, False).join(menu, "product_id")
     return rows.groupBy("customer_id").agg(
         F.count("product_name").alias("total_items"), F.sum("price").cast("bigint").alias("amount_spent")
@@ -89,6 +99,7 @@ def points_by_item(sales: DataFrame, menu: DataFrame, bonus_ids: Sequence[int] =
     Points are a function of the product only, so they are attached after a
     count per (customer, product): the fact rows are never widened.
     """
+    menu = bounded_broadcast(menu)
     counts = sales.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("_n"))
     pts = menu.select("product_id", _points(F.col("price"), F.col("product_id"), bonus_ids, factor).alias("_pts"))
     scored = counts.join(pts, "product_id").withColumn("_p", F.col("_n") * F.col("_pts"))
@@ -99,6 +110,7 @@ def points_by_item(sales: DataFrame, menu: DataFrame, bonus_ids: Sequence[int] =
 def points_with_welcome_week(sales: DataFrame, members: DataFrame, menu: DataFrame, date_from: str,
                              date_to: str, bonus_ids: Sequence[int] = (1,), welcome_days: int = 6) -> DataFrame:
     """Double points on everything from the join date to join date + ``welcome_days``."""
+    menu = bounded_broadcast(menu)
     rows = (
         sales.filter(F.col("order_date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
         .join(members, "customer_id")
@@ -114,6 +126,7 @@ def points_with_welcome_week(sales: DataFrame, members: DataFrame, menu: DataFra
 
 
 def sales_with_member_flag(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
+    menu = bounded_broadcast(menu)
     rows = sales.join(menu, "product_id", "left").join(members, "customer_id", "left")
     member = F.when(F.col("order_date") >= F.col("join_date"), "Y").otherwise("N")
     return rows.select("customer_id", "order_date", "product_name", "price", member.alias("member"))
@@ -125,6 +138,7 @@ def member_order_rank(sales: DataFrame, members: DataFrame, menu: DataFrame,
 
     ``keep_non_members`` switches the member join to a left join.
     """
+    menu = bounded_broadcast(menu)
     how = "left" if keep_non_members else "inner"
     rows = sales.join(menu, "product_id").join(members, how=how, on="customer_id")
     rows = rows.withColumn("member", F.when(F.col("order_date") >= F.col("join_date"), "Y").otherwise("N"))

@@ -15,12 +15,19 @@ from bizlens.sources import dimensions as dims
 from bizlens.sources.schemas import TABLES
 
 
+# nation (25 rows) and region (5 rows) have a fixed size at every scale factor,
+# so they are always safe to broadcast; joining them by shuffle would put all
+# rows on at most 25 / 5 partitions.
+FIXED_SIZE = {"nation", "region"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one source table with its declared schema (see :mod:`bizlens.sources.schemas`)."""
     reader = spark.read
     if name in TABLES:
         reader = reader.schema(TABLES[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return F.broadcast(df) if name in FIXED_SIZE else df
 
 
 def _case(key: Column, mapping: list[tuple[int, object]]) -> Column:
@@ -51,7 +58,11 @@ def v_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    menu = v_menu(spark, sf_dir)
+    from bizlens.operators.joins import bounded_broadcast
+
+    # The menu has one row per part type: broadcast it (after a bounded count)
+    # rather than shuffling the part table on its handful of type values.
+    menu = bounded_broadcast(v_menu(spark, sf_dir))
     part_product = (
         table(spark, sf_dir, "part")
         .join(menu, F.col("p_type") == F.col("product_name"))
@@ -235,11 +246,15 @@ def v_weekly_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg = None
     for k, v in _SEGMENTS:
         seg = F.when(F.col("c_mktsegment") == k, v) if seg is None else seg.when(F.col("c_mktsegment") == k, v)
-    joined = (
-        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    # The order-side attributes are assembled first (orders-sized joins), so the
+    # lineitem-sized side is shuffled once, on the order key.
+    order_attrs = (
+        o.join(c, F.col("o_custkey") == F.col("c_custkey"))
         .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    joined = (
+        li.join(order_attrs, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.date_trunc("week", F.col("l_shipdate")).cast("date").alias("week_start"),
             F.col("r_name").alias("region"),
