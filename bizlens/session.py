@@ -8,11 +8,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int | None = None) -> SparkSession:
-    """A local session configured the way tests and bench.py run."""
+def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A local session configured the way tests and bench.py run.
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    without any UI)."""
     parts = shuffle_partitions or (cores if isinstance(cores, int) else 8)
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("bizlens")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
