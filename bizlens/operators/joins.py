@@ -9,8 +9,15 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it is proven to have at most ``max_rows`` rows
-    (a bounded ``limit`` count); otherwise leave the strategy to AQE."""
+    """Broadcast ``df`` only if it is proven to have at most ``max_rows`` rows;
+    otherwise leave the join strategy to AQE.
+
+    A local relation (literal rows, e.g. SQL ``VALUES``) carries its data in
+    the plan, so its size is known without running anything; any other input
+    is checked with a bounded ``limit`` count.
+    """
+    if df.isLocal():
+        return F.broadcast(df) if len(df.take(max_rows + 1)) <= max_rows else df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from bizlens.functions.dates import month_name
 from bizlens.functions.numeric import rounded
 from bizlens.operators.aggregate import ordered_join, sum_if
-from bizlens.operators.joins import point_in_interval_join
+from bizlens.operators.joins import bounded_broadcast, point_in_interval_join
 from bizlens.operators.ranking import top_k
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
@@ -26,7 +26,7 @@ VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
 
 def _typed(events: DataFrame, event_types: DataFrame) -> DataFrame:
     """Events whose type is known (inner join with the broadcast type table)."""
-    return events.join(F.broadcast(event_types), "event_type")
+    return events.join(bounded_broadcast(event_types), "event_type")
 
 
 def user_count(users: DataFrame) -> DataFrame:
@@ -48,13 +48,13 @@ def visits_by_month(users: DataFrame, events: DataFrame) -> DataFrame:
 
 def events_by_type(events: DataFrame, event_types: DataFrame) -> DataFrame:
     counts = events.groupBy("event_type").agg(F.count("event_type").alias("_n"))
-    return counts.join(F.broadcast(event_types), "event_type").groupBy("event_name").agg(
+    return counts.join(bounded_broadcast(event_types), "event_type").groupBy("event_name").agg(
         F.sum("_n").cast("bigint").alias("number_of_event"))
 
 
 def purchase_visit_pct(events: DataFrame, event_types: DataFrame) -> DataFrame:
     """Share of all visits with a purchase -- both distinct counts in one pass."""
-    e = events.join(F.broadcast(event_types), "event_type", "left")
+    e = events.join(bounded_broadcast(event_types), "event_type", "left")
     agg = e.agg(F.countDistinct(F.when(F.col("event_name") == "Purchase", F.col("visit_id"))).alias("_p"),
                 F.countDistinct("visit_id").alias("_v"))
     return agg.select(rounded(F.col("_p").cast("decimal(38,6)") * 100 / F.col("_v"), 2).alias("purchase_percent"))
@@ -69,7 +69,7 @@ def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: D
     that viewed the checkout page, the share without a purchase event (one
     aggregate per visit, then one global aggregate).
     """
-    e = _typed(events, event_types).join(F.broadcast(pages.select("page_id", "page_name")), "page_id", "left")
+    e = _typed(events, event_types).join(bounded_broadcast(pages.select("page_id", "page_name")), "page_id", "left")
     if restricted:
         per_visit = e.groupBy("visit_id").agg(
             F.max((F.col("event_name") == "Page View") & (F.col("page_name") == checkout_page)).alias("_c"),
@@ -90,7 +90,7 @@ def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: D
 def top_pages(events: DataFrame, event_types: DataFrame, pages: DataFrame, n: int = 3) -> DataFrame:
     views = _typed(events.filter(F.col("event_type") == VIEW), event_types)
     counts = views.groupBy("page_id").agg(F.count("page_id").alias("_n"))
-    named = counts.join(F.broadcast(pages), "page_id").groupBy("page_name").agg(
+    named = counts.join(bounded_broadcast(pages), "page_id").groupBy("page_name").agg(
         F.sum("_n").cast("bigint").alias("number_of_views"))
     return top_k(named, [F.col("number_of_views").desc(), F.col("page_name").asc()], n)
 
@@ -99,7 +99,7 @@ def category_views_adds(events: DataFrame, event_types: DataFrame, pages: DataFr
     e = _typed(events, event_types)
     counts = e.groupBy("page_id").agg(sum_if(F.col("event_type") == VIEW).alias("_v"),
                                       sum_if(F.col("event_type") == CART_ADD).alias("_a"))
-    named = counts.join(F.broadcast(pages), "page_id").filter(F.col("product_category") != "null")
+    named = counts.join(bounded_broadcast(pages), "page_id").filter(F.col("product_category") != "null")
     return named.groupBy("product_category").agg(F.sum("_v").cast("bigint").alias("number_of_views"),
                                                  F.sum("_a").cast("bigint").alias("cart_adds"))
 
@@ -115,7 +115,7 @@ def top_purchased_products(events: DataFrame, event_types: DataFrame, pages: Dat
     adds = _typed(events.filter(F.col("event_type") == CART_ADD), event_types)
     bought = adds.join(purchase_visits(events, event_types).select("visit_id"), "visit_id", "left_semi")
     counts = bought.groupBy("page_id").agg(F.count(F.lit(1)).alias("_n"))
-    prod = F.broadcast(pages.filter(F.col("product_id").isNotNull()))
+    prod = bounded_broadcast(pages.filter(F.col("product_id").isNotNull()))
     named = counts.join(prod, "page_id").groupBy("page_name", "product_category").agg(
         F.sum("_n").cast("bigint").alias("number_of_purchases"))
     return top_k(named, [F.col("number_of_purchases").desc(), F.col("page_name").asc()], n)
@@ -130,7 +130,7 @@ def _funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame, keys: l
     counts. Keys missing from either the abandoned or the purchased side are
     dropped, like the inner join of the three per-side aggregates.
     """
-    prod = F.broadcast(pages.filter(F.col("product_id").isNotNull() & F.col("product_category").isNotNull()))
+    prod = bounded_broadcast(pages.filter(F.col("product_id").isNotNull() & F.col("product_category").isNotNull()))
     e = _typed(events.filter(F.col("event_type").isin(VIEW, CART_ADD)), event_types).join(prod, "page_id")
     flagged = e.join(purchase_visits(events, event_types), "visit_id", "left")
     add = F.col("event_type") == CART_ADD
@@ -222,8 +222,8 @@ def visit_campaigns(events: DataFrame, users: DataFrame, event_types: DataFrame,
     ``name_chars=None`` keeps full names.
     """
     e = (events.join(users, "cookie_id")
-         .join(F.broadcast(event_types), "event_type")
-         .join(F.broadcast(pages.select("page_id", "page_name")), "page_id"))
+         .join(bounded_broadcast(event_types), "event_type")
+         .join(bounded_broadcast(pages.select("page_id", "page_name")), "page_id"))
     camp = campaigns.select("campaign_name", "start_date", "end_date")
     keys = ["user_id", "visit_id"]
     if not by_visit_start:

@@ -19,6 +19,7 @@ from bizlens.operators.aggregate import ordered_join
 from bizlens.operators.lookup import small_map, translate_ids
 from bizlens.operators.ranking import keep_rank_one
 from bizlens.sources.dimensions import literal_table
+from bizlens.operators.joins import bounded_broadcast
 
 def _ids(c: str) -> Column:
     return F.coalesce(F.array_distinct(id_list(c)), F.array().cast("array<int>"))
@@ -34,7 +35,7 @@ def standard_ingredients(recipes: DataFrame, names: DataFrame, toppings: DataFra
     if orders is not None:
         r = r.join(orders.select("pizza_id").distinct(), "pizza_id", "left_semi")
     ex = r.select("pizza_id", F.explode(id_list("toppings")).alias("topping_id"))
-    j = ex.join(F.broadcast(toppings), "topping_id").join(F.broadcast(names), "pizza_id")
+    j = ex.join(bounded_broadcast(toppings), "topping_id").join(bounded_broadcast(names), "pizza_id")
     return j.groupBy("pizza_name").agg(ordered_join(F.col("topping_name"), F.col("topping_id")).alias("ingredients"))
 
 
@@ -43,7 +44,7 @@ def top_listed(orders: DataFrame, toppings: DataFrame, column: str, out: str) ->
     (partial aggregation), names attached to the handful of counts after."""
     ids = orders.filter(F.col(column).isNotNull()).select(F.explode(id_list(column)).alias("topping_id"))
     counts = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("_n"))
-    named = counts.join(F.broadcast(toppings), "topping_id").groupBy(F.col("topping_name").alias(out)).agg(
+    named = counts.join(bounded_broadcast(toppings), "topping_id").groupBy(F.col("topping_name").alias(out)).agg(
         F.sum("_n").cast("bigint").alias("number_of_pizzas"))
     return keep_rank_one(named, [F.col("number_of_pizzas").desc()])
 
@@ -59,7 +60,7 @@ def top_exclusion(orders: DataFrame, toppings: DataFrame) -> DataFrame:
 def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """``<name> - Exclude a, b - Extra c, d`` per item; NULL parts are skipped,
     so a plain item keeps its trailing blank, as written."""
-    df = orders.join(F.broadcast(names), "pizza_id", "left")
+    df = orders.join(bounded_broadcast(names), "pizza_id", "left")
     df = translate_ids(df, F.sort_array(_ids("exclusions")), toppings, "topping_id", "topping_name", "_xn")
     df = translate_ids(df, F.sort_array(_ids("extras")), toppings, "topping_id", "topping_name", "_en")
     xn = F.transform("_xn", lambda s: s["name"])
@@ -80,7 +81,7 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
     ``2x`` marks a topping that is in the recipe (not excluded) *and* an
     extra; an excluded topping that is also an extra appears once, unmarked.
     """
-    df = orders.join(F.broadcast(recipes), "pizza_id").join(F.broadcast(names), "pizza_id")
+    df = orders.join(bounded_broadcast(recipes), "pizza_id").join(bounded_broadcast(names), "pizza_id")
     df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras"), "_r": _ids("toppings")})
     df = df.withColumn("_base", F.array_except("_r", "_x"))
     df = translate_ids(df, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
@@ -112,7 +113,7 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
                              & F.col("duration").isNotNull()).select("order_id")
     combos = (orders.join(done, "order_id", "left_semi")
               .groupBy("pizza_id", "exclusions", "extras").agg(F.count(F.lit(1)).alias("_w"))
-              .join(F.broadcast(recipes), "pizza_id"))
+              .join(bounded_broadcast(recipes), "pizza_id"))
     combos = combos.select("_w", _ids("exclusions").alias("_x"), _ids("extras").alias("_e"),
                            _ids("toppings").alias("_r"))
     names = small_map(toppings, "topping_id", "topping_name")
@@ -125,7 +126,7 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
         ex = combos.select("_w", F.explode(per).alias("c")).select("_w", "c.*")
         agg = ex.groupBy("topping_id").agg(F.sum(F.col("ct") * F.col("_w")).alias("_ct"),
                                            F.sum(F.col("ce") * F.col("_w")).alias("_ce"))
-        return agg.join(F.broadcast(toppings), "topping_id").select(
+        return agg.join(bounded_broadcast(toppings), "topping_id").select(
             "topping_name", (F.col("_ct") + F.col("_ce")).cast("bigint").alias("total_ingredients"))
     contrib = F.concat(
         F.transform(F.array_union("_r", "_x"), lambda i: F.struct(
@@ -137,7 +138,7 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
     ex = combos.select("_w", F.explode(contrib).alias("c")).select("_w", "c.*")
     agg = ex.groupBy("topping_id").agg(F.sum(F.col("ct") * F.col("_w")).alias("_ct"),
                                        F.sum(F.col("ce") * F.col("_w")).alias("_ce"))
-    out = F.broadcast(toppings).join(agg, "topping_id", "left")
+    out = bounded_broadcast(toppings).join(agg, "topping_id", "left")
     total = F.col("_ct") + F.coalesce(F.col("_ce"), F.lit(0))
     return out.select("topping_name", total.cast("bigint").alias("total_ingredients"))
 
@@ -146,7 +147,7 @@ def extend_menu(names: DataFrame, recipes: DataFrame, orders: DataFrame, new_id:
     """Add a product whose recipe is every topping used by any ordered item
     (recipe, extra or exclusion), appended to both dimensions, then
     names LEFT JOIN recipes."""
-    combos = orders.select("pizza_id", "exclusions", "extras").distinct().join(F.broadcast(recipes), "pizza_id")
+    combos = orders.select("pizza_id", "exclusions", "extras").distinct().join(bounded_broadcast(recipes), "pizza_id")
     used = combos.select(F.explode(F.array_union(F.array_union(_ids("toppings"), _ids("extras")),
                                                  _ids("exclusions"))).alias("t")).distinct()
     recipe = used.agg(F.array_join(F.sort_array(F.collect_list("t")), ", ").alias("toppings")).select(

@@ -21,6 +21,7 @@ from bizlens.functions.numeric import rounded
 from bizlens.operators.aggregate import sum_if
 from bizlens.operators.ranking import top_k
 from bizlens.sources import sinks
+from bizlens.operators.joins import bounded_broadcast
 
 
 def _delivered(deliveries: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def successful_by_runner(deliveries: DataFrame) -> DataFrame:
 def delivered_by_type(orders: DataFrame, deliveries: DataFrame, names: DataFrame) -> DataFrame:
     ok = orders.join(_delivered(deliveries).select("order_id"), "order_id", "left_semi")
     counts = ok.groupBy("pizza_id").agg(F.count("pizza_id").alias("delivered"))
-    return counts.join(F.broadcast(names), "pizza_id").groupBy("pizza_name").agg(
+    return counts.join(bounded_broadcast(names), "pizza_id").groupBy("pizza_name").agg(
         F.sum("delivered").cast("bigint").alias("delivered"))
 
 
