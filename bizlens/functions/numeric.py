@@ -22,3 +22,14 @@ def money(c: str | Column) -> Column:
 
 def as_bigint(c: Column) -> Column:
     return c.cast("bigint")
+
+
+def div(num: Column, den: Column) -> Column:
+    """Exact decimal quotient with at least 16 fractional digits.
+
+    Operands are cast to DECIMAL(24,4) / DECIMAL(20,2) so that Spark's
+    precision rules keep scale 16 (a DECIMAL(38,6) operand would leave only 6
+    digits, and a later ``round`` could then round an already rounded value).
+    Division by zero gives NULL (``try_divide``), as SQL ``NULLIF`` would.
+    """
+    return F.try_divide(num.cast("decimal(24,4)"), den.cast("decimal(20,2)"))

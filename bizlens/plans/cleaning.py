@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import parse_short_date, week_of_month
-from bizlens.functions.numeric import rounded
+from bizlens.functions.numeric import div, rounded
 from bizlens.functions.text import null_markers, strip_units
 from bizlens.sources import dimensions as dims
 
@@ -73,5 +73,5 @@ def clean_weekly_sales(weekly_raw: DataFrame, date_format: str = "d/M/yy",
         F.year("dates_week").alias("calendar_year"),
         age.otherwise(F.col("segment")).alias("age_band"),
         demo.otherwise(F.col("segment")).alias("demographic"),
-        rounded(F.col("sales").cast("decimal(38,6)") / F.col("transactions"), 2).alias("avg_transaction"),
+        rounded(div(F.col("sales"), F.col("transactions")), 2).alias("avg_transaction"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import month_name
-from bizlens.functions.numeric import rounded
+from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import ordered_join, sum_if
 from bizlens.operators.joins import bounded_broadcast, point_in_interval_join
 from bizlens.operators.ranking import top_k
@@ -35,7 +35,7 @@ def user_count(users: DataFrame) -> DataFrame:
 
 def avg_cookies(users: DataFrame) -> DataFrame:
     per = users.groupBy("user_id").agg(F.count("cookie_id").alias("_n"))
-    return per.agg(rounded(F.avg(F.col("_n").cast("decimal(38,6)")), 2).alias("avg_cookies"))
+    return per.agg(rounded(div(F.sum("_n"), F.count("_n")), 2).alias("avg_cookies"))
 
 
 def visits_by_month(users: DataFrame, events: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def purchase_visit_pct(events: DataFrame, event_types: DataFrame) -> DataFrame:
     e = events.join(bounded_broadcast(event_types), "event_type", "left")
     agg = e.agg(F.countDistinct(F.when(F.col("event_name") == "Purchase", F.col("visit_id"))).alias("_p"),
                 F.countDistinct("visit_id").alias("_v"))
-    return agg.select(rounded(F.col("_p").cast("decimal(38,6)") * 100 / F.col("_v"), 2).alias("purchase_percent"))
+    return agg.select(rounded(div(F.col("_p") * 100, F.col("_v")), 2).alias("purchase_percent"))
 
 
 def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: DataFrame,
@@ -77,13 +77,13 @@ def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: D
         seen = per_visit.filter(F.col("_c"))
         agg = seen.agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(~F.coalesce(F.col("_p"), F.lit(False)), 1))
                        .alias("_np"))
-        return agg.select(rounded(F.col("_np").cast("decimal(38,6)") * 100 / F.col("_n"), 2)
+        return agg.select(rounded(div(F.col("_np") * 100, F.col("_n")), 2)
                           .alias("not_purchase_event"))
     checkout_views = F.count(F.when((F.col("event_name") == "Page View") & (F.col("page_name") == checkout_page),
                                     F.col("visit_id")))
     purchase_visits = F.countDistinct(F.when(F.col("event_name") == "Purchase", F.col("visit_id")))
     agg = e.agg(checkout_views.alias("_c"), purchase_visits.alias("_p"))
-    return agg.select(rounded(100 - F.col("_p").cast("decimal(38,6)") * 100 / F.col("_c"), 2)
+    return agg.select(rounded(100 - div(F.col("_p") * 100, F.col("_c")), 2)
                       .alias("not_purchase_event"))
 
 
@@ -185,8 +185,7 @@ def most_abandoned(funnel: DataFrame) -> DataFrame:
 
 
 def best_view_to_purchase(funnel: DataFrame) -> DataFrame:
-    r = funnel.select("product_name", rounded(F.col("purchased").cast("decimal(38,6)") * 100
-                                              / F.col("number_of_views"), 2).alias("purchase_per_view"))
+    r = funnel.select("product_name", rounded(div(F.col("purchased") * 100, F.col("number_of_views")), 2).alias("purchase_per_view"))
     return top_k(r, [F.col("purchase_per_view").desc(), F.col("product_name").asc()], 1)
 
 
@@ -194,9 +193,9 @@ def _conversion(funnel: DataFrame, num: str, den: str, out: str, ratio_of_sums:
     """Mean of per-product ratios (as written) or, with ``ratio_of_sums``,
     the ratio of the totals."""
     if ratio_of_sums:
-        value = F.sum(num).cast("decimal(38,6)") * 100 / F.sum(den)
+        value = div(F.sum(num) * 100, F.sum(den))
     else:
-        value = F.avg(F.col(num).cast("decimal(38,6)") * 100 / F.col(den))
+        value = F.avg(div(F.col(num) * 100, F.col(den)))
     return funnel.agg(rounded(value, 2).alias(out))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import month_name
-from bizlens.functions.numeric import rounded
+from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import percentile_disc, sum_if
 
 
@@ -47,7 +47,7 @@ def avg_reallocation_days(nodes: DataFrame) -> DataFrame:
     """
     per = nodes.groupBy("customer_id").agg(
         F.datediff(F.max("start_date"), F.min("start_date")).alias("_span"), F.count("start_date").alias("_n"))
-    return per.agg(rounded(F.sum("_span").cast("decimal(38,6)") / F.sum(F.col("_n") - 1), 1)
+    return per.agg(rounded(div(F.sum("_span"), F.sum(F.col("_n") - 1)), 1)
                    .alias("average_reallocation_days"))
 
 
@@ -87,7 +87,7 @@ def txn_summary(txn: DataFrame) -> DataFrame:
 def avg_deposits(txn: DataFrame) -> DataFrame:
     per = txn.filter(F.col("txn_type") == "deposit").groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("txn_amount").alias("_s"))
-    return per.agg(rounded(F.avg(F.col("_n").cast("decimal(38,6)")), 1).alias("average_deposit_count"),
+    return per.agg(rounded(div(F.sum("_n"), F.count("_n")), 1).alias("average_deposit_count"),
                    rounded(F.avg("_s"), 1).alias("average_total_deposit"))
 
 
@@ -147,13 +147,13 @@ def growth_share(txn: DataFrame, threshold: float = 5.0, with_year: bool = False
     growth = (
         F.when(F.col("_prev").isNull(), F.lit(None))
         .when(F.col("_prev") == 0, F.col("balance") * 100)
-        .otherwise(F.round(((F.col("balance") - F.col("_prev")) / F.abs(F.col("_prev")) * 100)
+        .otherwise(F.round((div(F.col("balance") - F.col("_prev"), F.abs(F.col("_prev"))) * 100)
                            .cast("decimal(38,12)"), 1))
     )
     r = r.withColumn("_g", growth)
     last = r.groupBy("customer_id").agg(F.max_by("_g", "month_").alias("_g"))
-    return last.agg(rounded(F.sum(F.when(F.col("_g") > threshold, 1).otherwise(0)).cast("decimal(38,6)") * 100
-                            / F.count(F.lit(1)), 2).alias("growth_percentage"))
+    grew = F.sum(F.when(F.col("_g") > threshold, 1).otherwise(0))
+    return last.agg(rounded(div(grew * 100, F.count(F.lit(1))), 2).alias("growth_percentage"))
 
 
 def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, per_day: bool = False) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import day_name, week_label
-from bizlens.functions.numeric import rounded
+from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
 from bizlens.operators.ranking import top_k
 from bizlens.sources import sinks
@@ -143,7 +143,7 @@ def avg_distance(orders: DataFrame, deliveries: DataFrame, grain: str = "item")
     w = F.col("_items") if grain == "item" else F.lit(1)
     agg = j.groupBy("customer_id").agg(
         F.sum(F.col("distance") * w).alias("_s"), F.sum(F.when(F.col("distance").isNotNull(), w)).alias("_n"))
-    return agg.select("customer_id", rounded(F.col("_s") / F.col("_n"), 2).alias("distance_travelled"))
+    return agg.select("customer_id", rounded(div(F.col("_s"), F.col("_n")), 2).alias("distance_travelled"))
 
 
 def delivery_spread(orders: DataFrame, deliveries: DataFrame) -> DataFrame:

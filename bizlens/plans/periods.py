@@ -13,17 +13,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import day_name, month_name
-from bizlens.functions.numeric import rounded
+from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
 
 
 def _share(part: str, total: str) -> Column:
     """round(part / total, 2) * 100 -- whole percents, as written."""
-    return (F.round(F.col(part).cast("decimal(38,6)") / F.col(total), 2) * 100).cast("double")
+    return (F.round(div(F.col(part), F.col(total)).cast("decimal(38,12)"), 2) * 100).cast("double")
 
 
 def _pct_change(after: str, before: str) -> Column:
-    return rounded((F.col(after).cast("decimal(38,6)") / F.col(before) - 1) * 100, 2)
+    return rounded((div(F.col(after), F.col(before)) - 1) * 100, 2)
 
 
 def weekday_used(clean: DataFrame) -> DataFrame:
@@ -85,8 +85,8 @@ def segment_rank(clean: DataFrame, platform: str | None = None) -> DataFrame:
 
 def avg_txn_correct_vs_naive(clean: DataFrame) -> DataFrame:
     return clean.groupBy("calendar_year", "platform").agg(
-        rounded(F.sum(F.col("sales").cast("decimal(38,6)")) / F.sum("transactions"), 1).alias("correct_avg"),
-        rounded(F.avg(F.col("avg_transaction").cast("decimal(38,6)")), 1).alias("incorrect_avg"))
+        rounded(div(F.sum("sales"), F.sum("transactions")), 1).alias("correct_avg"),
+        rounded(div(F.sum(F.col("avg_transaction").cast("decimal(20,2)")), F.count("avg_transaction")), 1).alias("incorrect_avg"))
 
 
 def before_after(clean: DataFrame, pivot: str, weeks: int) -> DataFrame:
