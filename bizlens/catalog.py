@@ -202,8 +202,10 @@ def _funnel() -> dict[str, Query]:
         "best_view_to_purchase": lambda sp, d: funnel.best_view_to_purchase(F_(sp, d)),
         "avg_view_to_cart": lambda sp, d: funnel.avg_view_to_cart(F_(sp, d)),
         "avg_cart_to_purchase": lambda sp, d: funnel.avg_cart_to_purchase(F_(sp, d)),
+        # the binding numbers events per visit by (event_time, event_id): order by those directly
         "visit_campaigns": lambda sp, d: funnel.visit_campaigns(
-            b.v_events(sp, d), U(sp, d), T(sp, d), P(sp, d), b.v_campaign_identifier(sp, d)),
+            E(sp, d), U(sp, d), T(sp, d), P(sp, d), b.v_campaign_identifier(sp, d),
+            order_by=("event_time", "event_id")),
     }
 
 
