@@ -34,8 +34,9 @@ def clean_deliveries(deliveries_raw: DataFrame, distance_scale: int = 2) -> Data
     return d.select(
         "order_id",
         "runner_id",
-        F.try_to_timestamp(null_markers("pickup_time", ["null"]), F.lit("yyyy-MM-dd HH:mm:ss"))
-        .cast("timestamp_ntz").alias("pickup_time"),
+        # zone-less text -> TIMESTAMP_NTZ directly (parsing in the session zone
+        # would move wall-clock times that fall into a daylight-saving gap)
+        F.trim(null_markers("pickup_time", ["null"])).try_cast("timestamp_ntz").alias("pickup_time"),
         F.trim(distance).try_cast(f"decimal(10,{distance_scale})").alias("distance"),
         F.trim(duration).try_cast("int").alias("duration"),
         null_markers("cancellation").alias("cancellation"),

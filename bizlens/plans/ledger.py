@@ -96,7 +96,7 @@ def _month_keys(date_col: str = "txn_date", with_year: bool = False) -> list[Col
     of different years merges; ``with_year=True`` keys by calendar month
     (first day of the month, and 'January 2020' style names)."""
     if with_year:
-        return [F.trunc(date_col, "month").alias("month_"), F.date_format(date_col, "MMMM yyyy").alias("month_name")]
+        return [F.trunc(date_col, "month").alias("month_"), F.date_format(F.to_date(date_col), "MMMM yyyy").alias("month_name")]
     return [F.month(date_col).alias("month_"), month_name(date_col).alias("month_name")]
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.functions.dates import day_name, week_label
+from bizlens.functions.dates import day_name, seconds_between, week_label
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
 from bizlens.operators.joins import bounded_broadcast
@@ -100,13 +100,13 @@ def signups_by_week(runners: DataFrame, offset_days: int = 4, anchor: str | None
 
 
 def _seconds_between(start: str, end: str) -> Column:
-    return F.timestamp_diff("SECOND", F.col(start), F.col(end))
+    return seconds_between(start, end)
 
 
 def _minute_field(total_seconds: Column, n: Column, field: bool = True) -> Column:
     """Minute field of the average interval: floor(avg / 60) mod 60, exact;
     ``field=False`` gives whole minutes of the average instead."""
-    minutes = F.floor(total_seconds / (n * 60))
+    minutes = F.floor(div(total_seconds, n * 60))
     return (minutes % 60 if field else minutes).cast("bigint")
 
 
@@ -236,7 +236,7 @@ def delivery_report(orders: DataFrame, deliveries: DataFrame, rating: DataFrame)
          .join(rating.select("order_id", "rating"), "order_id"))
     return j.select(
         "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
-        _seconds_between("order_time", "pickup_time").alias("wait_seconds"),
+        _seconds_between("order_time", "pickup_time").cast("bigint").alias("wait_seconds"),
         "duration",
         rounded(F.col("distance") * 60 / F.col("duration"), 1).alias("average_speed"),
         F.col("pizzas").cast("bigint").alias("pizzas"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bizlens.functions.dates import short_date_text, week_start
 from bizlens.sources import dimensions as dims
 from bizlens.sources.schemas import TABLES
 
@@ -143,7 +144,7 @@ def v_deliveries_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         k.alias("order_id"),
         (F.col("o_custkey") % 8 + 1).cast("int").alias("runner_id"),
-        F.when(cancelled, null_txt).otherwise(F.date_format(pickup, "yyyy-MM-dd HH:mm:ss")).alias("pickup_time"),
+        F.when(cancelled, null_txt).otherwise(pickup.cast("string")).alias("pickup_time"),
         F.when(cancelled, null_txt).otherwise(dist_txt).alias("distance"),
         F.when(cancelled, null_txt).otherwise(dur_txt).alias("duration"),
         F.when(cancelled, F.when(k % 2 == 0, F.lit("Restaurant Cancellation")).otherwise(F.lit("Customer Cancellation")))
@@ -256,7 +257,7 @@ def v_weekly_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (
         li.join(order_attrs, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            F.date_trunc("week", F.col("l_shipdate")).cast("date").alias("week_start"),
+            week_start("l_shipdate").alias("week_start"),
             F.col("r_name").alias("region"),
             F.when(F.col("o_orderstatus") == "O", "Shopify").otherwise("Retail").alias("platform"),
             seg.alias("segment"),
@@ -268,7 +269,7 @@ def v_weekly_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined.groupBy("week_start", "region", "platform", "segment", "customer_type")
         .agg(F.count(F.lit(1)).alias("transactions"), F.round(F.sum("amount"), 0).cast("bigint").alias("sales"))
         .select(
-            F.date_format("week_start", "d/M/yy").alias("week_date"),
+            short_date_text("week_start").alias("week_date"),
             "region", "platform", "segment", "customer_type", "transactions", "sales",
         )
     )
