@@ -197,7 +197,7 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, p
     runs = runs.withColumn("_h", hist)
     last_day = F.date_add("day", (F.col("n") - F.col("k")).cast("int"))
     months = F.sequence(F.trunc("day", "month"), F.trunc(last_day, "month"), F.expr("INTERVAL 1 MONTH"))
-    per = runs.select("customer_id", "day", "k", "n", "p", "s", "_h", last_day.alias("_last"),
+    per = runs.select("customer_id", "day", "k", "n", "p", "s", "b", "_h", last_day.alias("_last"),
                       F.explode(months).alias("month"))
 
     def pos_of(date_col):  # first position carrying ``date_col`` (a date inside the run, after day)
@@ -221,7 +221,13 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, p
                                    * h["b"])).cast("decimal(30,2)"))
         return total / F.least(t, F.lit(w_rows).cast("long"))
 
-    best = F.array_max(F.transform(cands, lambda t: F.greatest(mean_at(t).cast("double"), F.lit(0.0))))
+    # Positions whose whole window lies inside the run all average to the run's
+    # balance; only the first positions of a run need the candidate evaluation
+    # (CASE branches are evaluated lazily).
+    evaluated = F.array_max(F.transform(cands, lambda t: F.greatest(mean_at(t).cast("double"), F.lit(0.0))))
+    best = (F.when(F.col("_a") > F.col("_b"), F.lit(None).cast("double"))
+            .when(F.col("_a") - (w_rows - 1) >= F.col("s"), F.greatest(F.col("b").cast("double"), F.lit(0.0)))
+            .otherwise(evaluated))
     per_month = per.select("customer_id", "month", best.alias("_v")).groupBy("customer_id", "month").agg(
         F.max("_v").alias("_alloc"))
     return per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation"))
