@@ -48,10 +48,13 @@ def week_label(c: str | Column, offset_days: int = 4) -> Column:
 
 
 def short_date_text(c: str | Column) -> Column:
-    """``d/M/yy`` text of a date (no zero padding, two-digit year)."""
-    d = F.to_date(_col(c))
-    return F.concat_ws("/", F.dayofmonth(d).cast("string"), F.month(d).cast("string"),
-                       F.lpad((F.year(d) % 100).cast("string"), 2, "0"))
+    """``d/M/yy`` text of a date (no zero padding, two-digit year).
+
+    Formatting a DATE is zone-safe for its date fields: the value is placed at
+    local midnight, and a daylight-saving shift there moves it forward within
+    the same day.
+    """
+    return F.date_format(F.to_date(_col(c)), "d/M/yy")
 
 
 def parse_short_date(c: str | Column, fmt: str = "d/M/yy") -> Column:
