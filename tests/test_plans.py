@@ -35,3 +35,33 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["product_name", "number_of_views", "added_to_cart", "abandoned", "purchased"]
     assert df.count() >= 0
+
+
+_PASS_THROUGH = ("Project", "Filter", "Sort ", "Sort[", "WholeStageCodegen", "ColumnarToRow", "InputAdapter",
+                 "AQEShuffleRead", "ShuffleQueryStage", "WindowGroupLimit")
+_BOUNDED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "LocalTableScan")
+
+
+def _single_partition_inputs(plan: str) -> list[str]:
+    """For each ``Exchange SinglePartition``, the first operator below it that is
+    not a projection / filter / sort."""
+    lines = plan.split("\n")
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        for below in lines[i + 1:]:
+            op = below.lstrip(" :+-*()0123456789")
+            if not op.startswith(_PASS_THROUGH):
+                found.append(op[:60])
+                break
+    return found
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_single_partition_only_over_reduced_data(spark, name):
+    """Every single-partition step (global aggregate, unpartitioned window,
+    global rank) reads rows that were already aggregated -- never raw facts."""
+    plan = _plan(E.queries()[name](spark, SF))
+    for op in _single_partition_inputs(plan):
+        assert op.startswith(_BOUNDED), (name, op)
