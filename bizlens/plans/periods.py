@@ -95,8 +95,8 @@ def before_after(clean: DataFrame, pivot: str, weeks: int) -> DataFrame:
     Week offset = round((date - pivot) / 7) + 1, so the pivot's own week is
     the first "after" week.
     """
-    off = F.round(F.datediff("dates_week", F.lit(pivot).cast("date")).cast("decimal(12,1)") / 7, 0) + 1
-    s = clean.select(off.alias("_w"), "sales").filter(F.col("_w").between(1 - weeks, weeks))
+    off = (F.round(F.datediff("dates_week", F.lit(pivot).cast("date")).cast("decimal(12,1)") / 7, 0) + 1).cast("int")
+    s = clean.select(off.alias("_w"), "sales").filter(F.col("_w").isin(list(range(1 - weeks, weeks + 1))))
     agg = s.agg(sum_if(F.col("_w").between(1 - weeks, 0), F.col("sales"), None).cast("bigint").alias("previous_dates"),
                 sum_if(F.col("_w").between(1, weeks), F.col("sales"), None).cast("bigint").alias("after_dates"))
     return agg.select("previous_dates", "after_dates",
@@ -110,7 +110,9 @@ def compare_periods(clean: DataFrame, dim: str, pivot: str, weeks: int = 12, yea
     periods only. ``year`` restricts to one calendar year."""
     base = dt.date.fromisoformat(pivot).isocalendar()[1]
     wk = F.col("tot_week_number")
-    src = clean.filter(wk.between(base - weeks, base + weeks - 1))
+    # IN over the week numbers rather than BETWEEN: Catalyst pushes this filter
+    # down to the fact rows, and IN evaluates the (parsed) week once per row.
+    src = clean.filter(wk.isin(list(range(base - weeks, base + weeks))))
     if year is not None:
         src = src.filter(F.col("calendar_year") == year)
     agg = src.groupBy(dim).agg(
