@@ -128,13 +128,19 @@ def avg_pickup_minutes(orders: DataFrame, deliveries: DataFrame, grain: str = "i
 
 
 def prep_time_by_size(orders: DataFrame, deliveries: DataFrame, minute_field: bool = True) -> DataFrame:
+    """Minute field of the mean order-to-pickup time per order size.
+
+    Orders without a pickup are skipped by the aggregates themselves (SUM and
+    COUNT ignore NULL); sizes with no pickup at all are dropped afterwards, on
+    the aggregated count -- a filter on the pickup column would be pushed
+    into the cleaning expressions and evaluate them again.
+    """
     per_order = orders.groupBy("order_id", "order_time").agg(F.count("pizza_id").alias("pizza_order_count"))
-    d = deliveries.filter(F.col("pickup_time").isNotNull()).select("order_id", "pickup_time")
-    j = per_order.join(d, "order_id")
+    j = per_order.join(deliveries.select("order_id", "pickup_time"), "order_id")
     secs = _seconds_between("order_time", "pickup_time")
     agg = j.groupBy("pizza_order_count").agg(F.sum(secs).alias("_s"), F.count(secs).alias("_n"))
-    return agg.select("pizza_order_count", _minute_field(F.col("_s"), F.col("_n"), minute_field)
-                      .alias("average_time"))
+    return agg.filter(F.col("_n") > 0).select(
+        "pizza_order_count", _minute_field(F.col("_s"), F.col("_n"), minute_field).alias("average_time"))
 
 
 def avg_distance(orders: DataFrame, deliveries: DataFrame, grain: str = "item") -> DataFrame:
@@ -147,16 +153,20 @@ def avg_distance(orders: DataFrame, deliveries: DataFrame, grain: str = "item")
 
 
 def delivery_spread(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
-    d = deliveries.filter(F.col("duration").isNotNull()).join(orders.select("order_id"), "order_id", "left_semi")
+    """Longest minus shortest duration (MAX / MIN skip NULL durations)."""
+    d = deliveries.select("order_id", "duration").join(orders.select("order_id"), "order_id", "left_semi")
     return d.agg((F.max("duration") - F.min("duration")).cast("bigint").alias("delivery_difference"))
 
 
 def speed_by_delivery(deliveries: DataFrame) -> DataFrame:
-    d = deliveries.filter(F.col("distance").isNotNull() & F.col("duration").isNotNull())
+    """Average speed per (runner, order, distance, duration) for deliveries
+    with both distance and duration. A NULL distance or duration makes the
+    speed NULL, so such groups are dropped on the aggregated value instead of
+    filtering the (text-cleaned) inputs."""
     speed = F.col("distance") * 60 / F.col("duration")
-    return d.groupBy("runner_id", "order_id", "distance", "duration").agg(
+    return deliveries.groupBy("runner_id", "order_id", "distance", "duration").agg(
         rounded(F.avg(speed), 2).alias("average_speed_kmh")
-    ).select(
+    ).filter(F.col("average_speed_kmh").isNotNull()).select(
         "runner_id", "order_id",
         F.col("distance").cast("double").alias("distance_in_km"),
         F.col("duration").alias("duration_in_minutes"),
