@@ -82,8 +82,10 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
     ``2x`` marks a topping that is in the recipe (not excluded) *and* an
     extra; an excluded topping that is also an extra appears once, unmarked.
     """
-    df = orders.join(bounded_broadcast(recipes), "pizza_id").join(bounded_broadcast(names), "pizza_id")
-    df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras"), "_r": _ids("toppings")})
+    # recipe lists are parsed once per recipe (dimension side), not per item
+    parsed = recipes.select("pizza_id", _ids("toppings").alias("_r"))
+    df = orders.join(bounded_broadcast(parsed), "pizza_id").join(bounded_broadcast(names), "pizza_id")
+    df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras")})
     df = df.withColumn("_base", F.array_except("_r", "_x"))
     df = translate_ids(df, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
     labels = F.transform("_n", lambda s: F.when(
