@@ -29,15 +29,21 @@ def _expand(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols, F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_r")).drop("_r")
 
 
-def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, how: str = "min") -> DataFrame:
+def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, how: str = "min",
+                    weight: str | None = None) -> DataFrame:
     """All rows whose ``value`` equals the per-key min (or max): RANK = 1 with ties.
 
     Identical rows are first collapsed with a count (partial aggregation), so
     the per-key window sees at most one row per distinct (value, other
     columns) -- e.g. dates x products for a customer -- however hot the key.
     One pass over the input; the original multiset is restored at the end.
+    ``weight`` names a multiplicity column of an input that is already
+    collapsed (its rows stand for ``weight`` identical rows each).
     """
-    cols, g = _grouped(df)
+    if weight is None:
+        cols, g = _grouped(df)
+    else:
+        cols, g = [c for c in df.columns if c != weight], df.withColumnRenamed(weight, "_n")
     ext = (F.min(value) if how == "min" else F.max(value)).over(Window.partitionBy(*keys))
     kept = g.withColumn("_x", ext).filter(F.col(value) == F.col("_x"))
     return _expand(kept, cols)
@@ -55,15 +61,19 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Se
 
 
 def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank",
-                  descending: bool = False) -> DataFrame:
+                  descending: bool = False, weight: str | None = None) -> DataFrame:
     """``RANK() OVER (PARTITION BY keys ORDER BY value)`` attached to every row.
 
     Rank = 1 + number of rows of the key with a strictly smaller value. Rows
     are collapsed to (distinct row, count) first; the running count over the
     value order minus the count of the value's peers gives the rank, then the
     rows are expanded back. One pass, bounded window input per key.
+    ``weight`` names a multiplicity column of an already collapsed input.
     """
-    cols, g = _grouped(df)
+    if weight is None:
+        cols, g = _grouped(df)
+    else:
+        cols, g = [c for c in df.columns if c != weight], df.withColumnRenamed(weight, "_n")
     order = F.col(value).desc() if descending else F.col(value).asc()
     w = Window.partitionBy(*keys).orderBy(order)
     upto = F.sum("_n").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))

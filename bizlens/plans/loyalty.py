@@ -19,6 +19,20 @@ from bizlens.operators.joins import bounded_broadcast
 from bizlens.operators.ranking import first_by, rank_by_value, rows_at_extreme, top_k
 
 
+def _collapsed(sales: DataFrame) -> DataFrame:
+    """Sales as (customer_id, order_date, product_id, _n): identical rows
+    counted with a partial aggregate before any join. A hot customer then
+    costs at most (days x products) rows in the member joins, ranks and
+    extremes that follow; rows are re-expanded only where the output is
+    per sale."""
+    return sales.groupBy("customer_id", "order_date", "product_id").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _expanded(df: DataFrame, weight: str = "_n") -> DataFrame:
+    cols = [c for c in df.columns if c != weight]
+    return df.select(*cols, F.explode(F.array_repeat(F.lit(0), F.col(weight).cast("int"))).alias("_r")).drop("_r")
+
+
 def spend_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
     menu = bounded_broadcast(menu)
     return (
@@ -60,32 +74,31 @@ def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     )
 
 
-def _member_rows(sales: DataFrame, members: DataFrame, menu: DataFrame, on_or_after: bool) -> DataFrame:
-    joined = sales.join(members, "customer_id")
+def _member_rows(sales: DataFrame, members: DataFrame, on_or_after: bool) -> DataFrame:
+    """Collapsed sales of members, on/after or before their join date."""
+    joined = _collapsed(sales).join(members, "customer_id")
     cond = F.col("order_date") >= F.col("join_date") if on_or_after else F.col("order_date") < F.col("join_date")
-    return joined.filter(cond)
+    return joined.filter(cond).select("customer_id", "order_date", "product_id", "_n")
 
 
 def first_item_as_member(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
     menu = bounded_broadcast(menu)
-    rows = _member_rows(sales, members, menu, True).select("customer_id", "order_date", "product_id")
-    first = rows_at_extreme(rows, ["customer_id"], "order_date", "min")
+    first = rows_at_extreme(_member_rows(sales, members, True), ["customer_id"], "order_date", "min", weight="_n")
     return first.join(menu.select("product_id", "product_name"), "product_id").select("customer_id", "product_name")
 
 
 def last_item_before_member(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
     menu = bounded_broadcast(menu)
-    rows = _member_rows(sales, members, menu, False).select("customer_id", "order_date", "product_id")
-    last = rows_at_extreme(rows, ["customer_id"], "order_date", "max")
+    last = rows_at_extreme(_member_rows(sales, members, False), ["customer_id"], "order_date", "max", weight="_n")
     return last.join(menu.select("product_id", "product_name"), "product_id").select("customer_id", "product_name")
 
 
 def spend_before_member(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
     menu = bounded_broadcast(menu)
-    rows = _member_rows(sales, members, menu, False).join(menu, "product_id")
+    rows = _member_rows(sales, members, False).join(menu, "product_id")
     return rows.groupBy("customer_id").agg(
-        F.count("product_name").alias("total_items"), F.sum("price").cast("bigint").alias("amount_spent")
-    )
+        F.sum(F.when(F.col("product_name").isNotNull(), F.col("_n"))).cast("bigint").alias("total_items"),
+        F.sum(F.col("price") * F.col("_n")).cast("bigint").alias("amount_spent"))
 
 
 def _points(price, product_id, bonus_ids: Sequence[int], factor: int, base: int = 10):
@@ -111,8 +124,9 @@ def points_with_welcome_week(sales: DataFrame, members: DataFrame, menu: DataFra
                              date_to: str, bonus_ids: Sequence[int] = (1,), welcome_days: int = 6) -> DataFrame:
     """Double points on everything from the join date to join date + ``welcome_days``."""
     menu = bounded_broadcast(menu)
+    in_range = F.col("order_date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date"))
     rows = (
-        sales.filter(F.col("order_date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
+        _collapsed(sales.filter(in_range))
         .join(members, "customer_id")
         .join(menu.select("product_id", "price"), "product_id")
     )
@@ -122,14 +136,16 @@ def points_with_welcome_week(sales: DataFrame, members: DataFrame, menu: DataFra
         .when(F.col("product_id").isin(*bonus_ids), F.col("price") * 20)
         .otherwise(F.col("price") * 10)
     )
-    return rows.groupBy("customer_id").agg(F.sum(pts).cast("bigint").alias("total_points"))
+    return rows.groupBy("customer_id").agg(F.sum(pts * F.col("_n")).cast("bigint").alias("total_points"))
 
 
 def sales_with_member_flag(sales: DataFrame, members: DataFrame, menu: DataFrame) -> DataFrame:
+    """Every sale with product, price and member flag (one row per sale)."""
     menu = bounded_broadcast(menu)
-    rows = sales.join(menu, "product_id", "left").join(members, "customer_id", "left")
+    rows = _collapsed(sales).join(menu, "product_id", "left").join(members, "customer_id", "left")
     member = F.when(F.col("order_date") >= F.col("join_date"), "Y").otherwise("N")
-    return rows.select("customer_id", "order_date", "product_name", "price", member.alias("member"))
+    flagged = rows.select("customer_id", "order_date", "product_name", "price", member.alias("member"), "_n")
+    return _expanded(flagged)
 
 
 def member_order_rank(sales: DataFrame, members: DataFrame, menu: DataFrame,
@@ -140,10 +156,10 @@ def member_order_rank(sales: DataFrame, members: DataFrame, menu: DataFrame,
     """
     menu = bounded_broadcast(menu)
     how = "left" if keep_non_members else "inner"
-    rows = sales.join(menu, "product_id").join(members, how=how, on="customer_id")
+    rows = _collapsed(sales).join(menu, "product_id").join(members, how=how, on="customer_id")
     rows = rows.withColumn("member", F.when(F.col("order_date") >= F.col("join_date"), "Y").otherwise("N"))
-    ranked = rank_by_value(rows.select("customer_id", "member", "order_date", "product_name", "price"),
-                           ["customer_id", "member"], "order_date", out="_rank")
+    ranked = rank_by_value(rows.select("customer_id", "member", "order_date", "product_name", "price", "_n"),
+                           ["customer_id", "member"], "order_date", out="_rank", weight="_n")
     return ranked.select(
         "customer_id", "order_date", "product_name", "price", "member",
         F.when(F.col("member") == "Y", F.col("_rank")).cast("bigint").alias("ranking"),
