@@ -49,15 +49,15 @@ SUBSCRIPTIONS = [(1, 0, "2020-08-01"), (1, 1, "2020-08-08"), (2, 0, "2020-09-20"
 
 
 @pytest.fixture(scope="module")
-def diner(spark):
+def loyalty_seed(spark):
     sales = literal_table(spark, SALES, [("customer_id", "STRING"), ("order_date", "DATE"), ("product_id", "INT")])
     menu = literal_table(spark, MENU, [("product_id", "INT"), ("product_name", "STRING"), ("price", "INT")])
     members = literal_table(spark, MEMBERS, [("customer_id", "STRING"), ("join_date", "DATE")])
     return sales, menu, members
 
 
-def test_case1(diner):
-    s, m, b = diner
+def test_case1(loyalty_seed):
+    s, m, b = loyalty_seed
     assert rows(loyalty.spend_per_customer(s, m)) == [("A", 76), ("B", 74), ("C", 36)]
     assert rows(loyalty.visit_days(s)) == [("A", 4), ("B", 6), ("C", 2)]
     assert rows(loyalty.first_item(s, m), "customer_id", "product_name") == [("A", "sushi"), ("B", "curry"),
