@@ -7,20 +7,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import exact_dedup, sharding
+from bizlens.llm import exact_dedup, language_id, packing, sharding
 from bizlens.llm.staging import documents
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers (on every node)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_of_documents(documents(spark, sf_dir))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op4_exact_dedup, op5_language_id, op9_best_fit_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
