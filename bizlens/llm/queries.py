@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import exact_dedup, language_id, packing, sharding
+from bizlens.llm import byte_bpe, exact_dedup, language_id, packing, sharding
 from bizlens.llm.staging import documents
 
 
@@ -18,6 +18,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"),
+                               public_tokenizers.PATTERN)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(documents(spark, sf_dir))
 
@@ -35,7 +42,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op5_language_id, op9_best_fit_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_language_id, op9_best_fit_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

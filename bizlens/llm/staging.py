@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from bizlens.session import shared_dir
 
-#: Input bytes that one reducer group of packed rows should hold, about.
-GROUP_BYTES = 32 << 20
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -51,20 +48,17 @@ def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def staged_buckets(df: DataFrame, name: str, key: str, buckets: int, sort_by: Sequence[str] = ()) -> DataFrame:
+def staged_buckets(df: DataFrame, name: str, key: str, buckets: int,
+                   partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` as a table bucketed by ``key``: later joins and groups on the key
     read the files as they lie, without moving them again."""
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd").option("path", run_path(spark, name)).bucketBy(buckets, key)
-    (writer.sortBy(*sort_by) if sort_by else writer).format("parquet").saveAsTable(table)
+    (writer.partitionBy(*partition_by) if partition_by else writer).format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
-def drop_table(df_or_name: str, spark: SparkSession) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {df_or_name}")
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
