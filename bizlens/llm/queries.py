@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import byte_bpe, exact_dedup, language_id, packing, sharding
+from bizlens.llm import byte_bpe, exact_dedup, language_id, packing, sharding, spotsigs
 from bizlens.llm.staging import documents
 
 
@@ -33,6 +33,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_of_documents(documents(spark, sf_dir))
 
 
+def op6_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_documents(documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -42,7 +46,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_language_id, op9_best_fit_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op9_best_fit_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
