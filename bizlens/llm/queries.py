@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import byte_bpe, exact_dedup, language_id, packing, sharding, spotsigs
+from bizlens.llm import byte_bpe, exact_dedup, language_id, packing, sharding, spotsigs, toxicity
 from bizlens.llm.staging import documents
 
 
@@ -37,6 +37,10 @@ def op6_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_of_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -46,7 +50,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op9_best_fit_packing, op10_sharding)}
+    return {f.__name__: f for f in (
+        op1_byte_bpe, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op7_toxicity, op9_best_fit_packing,
+        op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
