@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import byte_bpe, exact_dedup, language_id, minhash, packing, sharding, spotsigs, toxicity
+from bizlens.llm import byte_bpe, exact_dedup, language_id, minhash, packing, sharding, spotsigs, suffix_dedup, toxicity
 from bizlens.llm.staging import documents
 
 
@@ -25,6 +25,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_of_documents(documents(spark, sf_dir))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -55,7 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op7_toxicity, op9_best_fit_packing,
+        op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op7_toxicity, op9_best_fit_packing,
         op10_sharding)}
 
 
