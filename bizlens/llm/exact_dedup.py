@@ -78,7 +78,8 @@ def dedup(docs: DataFrame, index_path: str | None = None, batches: int = 2) -> D
         index.add(rows.filter(F.col("doc_id").between(top - step + 1, top)))
     index.add(rows.filter("doc_id IS NULL"))
     sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
-    groups = sizes.join(index.read().hint("merge"), "digest")
+    # written, so that the join below shuffles both sides plainly and Spark can split the rows of a hot text
+    groups = staging.staged(sizes.join(index.read().hint("merge"), "digest"), "groups")
     return rows.join(groups, "digest").select(
         "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
