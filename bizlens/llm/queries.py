@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import byte_bpe, exact_dedup, language_id, minhash, packing, sharding, spotsigs, suffix_dedup, toxicity
+from bizlens.llm import byte_bpe, exact_dedup, language_id, line_dedup, minhash, packing, sharding, spotsigs, suffix_dedup, toxicity
 from bizlens.llm.staging import documents
 
 
@@ -49,6 +49,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_of_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.lines_of_documents(documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -59,7 +63,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op7_toxicity, op9_best_fit_packing,
+        op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op7_toxicity, op8_line_dedup, op9_best_fit_packing,
         op10_sharding)}
 
 
