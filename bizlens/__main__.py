@@ -1,7 +1,7 @@
 """Run one registered job from the command line.
 
     python -m bizlens list
-    python -m bizlens run <job> [--sf-dir DIR] [--rows N] [--explain]
+    python -m bizlens run <job> [--sf-dir DIR] [--rows N] [--sort] [--explain]
     python -m bizlens sql <job>          # print the job's oracle SQL
 """
 
@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     run.add_argument("--rows", type=int, default=20)
     run.add_argument("--explain", action="store_true", help="print the formatted physical plan")
+    run.add_argument("--sort", action="store_true", help="sort the result of a job with a row per fact, too")
     sql = sub.add_parser("sql", help="print the job's oracle SQL")
     sql.add_argument("job")
     args = parser.parse_args(argv)
@@ -37,6 +38,8 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = local_session(8)
     df = catalog.queries()[args.job](spark, args.sf_dir)
+    if args.sort:
+        df = catalog.sorted_rows(args.job, df)
     if args.explain:
         df.explain("formatted")
     df.show(args.rows, truncate=False)

@@ -37,3 +37,10 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "id",
     return tagged.join(F.broadcast(offsets), "_pid").select(
         *df.columns, (F.col("_off") + F.col("_pos") + 1).alias(id_col)
     )
+
+
+def check_dense_id(df: DataFrame, id_col: str = "id") -> None:
+    """Raises unless the ids of ``df`` are 1..n, each once."""
+    n, low, high, different = df.agg(F.count(F.lit(1)), F.min(id_col), F.max(id_col), F.countDistinct(id_col)).first()
+    if n and (low, high, different) != (1, n, n):
+        raise ValueError(f"{id_col}: {different} different values from {low} to {high} in {n} rows")

@@ -5,34 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it is proven to have at most ``max_rows`` rows;
-    otherwise leave the join strategy to AQE.
-
-    A local relation (literal rows, e.g. SQL ``VALUES``) carries its data in
-    the plan, so its size is known without running anything; any other input
-    is checked with a bounded ``limit`` count.
-    """
-    if df.isLocal():
-        return F.broadcast(df) if len(df.take(max_rows + 1)) <= max_rows else df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def point_in_interval_join(facts: DataFrame, ts: str, intervals: DataFrame, start: str, end: str,
-                           how: str = "left", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                           how: str = "left") -> DataFrame:
     """``facts JOIN intervals ON facts.ts BETWEEN start AND end``.
 
-    Each interval is expanded into the calendar days it touches, so the join
-    becomes an equi-join on the day plus the exact BETWEEN as a residual
-    condition: a hash join (broadcast when the expanded intervals are proven
-    small) instead of a nested loop over every (fact, interval) pair. A fact
-    matching several intervals is repeated once per interval.
+    Each interval is expanded into the calendar days it touches between the
+    facts' first and last day (an open end, 9999-12-31, costs no more than the
+    facts' calendar), so the join becomes an equi-join on the day plus the exact
+    BETWEEN as a residual condition: a hash join (broadcast when Spark knows the
+    expanded intervals to be small) instead of a nested loop over every (fact,
+    interval) pair. A fact matching several intervals is repeated once per
+    interval.
     """
-    days = intervals.withColumn("_iv_day", F.explode(F.sequence(F.to_date(start), F.to_date(end))))
-    f = facts.withColumn("_f_day", F.to_date(ts))
+    day = F.to_date(ts)
+    bounds = facts.select(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    first, last = bounds["first"], bounds["last"]
+    days = F.sequence(F.greatest(F.to_date(start), first), F.least(F.to_date(end), last))
+    touched = F.when((F.to_date(start) <= last) & (F.to_date(end) >= first) & (F.col(start) <= F.col(end)), days)
+    iv = intervals.withColumn("_iv_day", F.explode(touched))
+    f = facts.withColumn("_f_day", day)
     cond = (F.col("_f_day") == F.col("_iv_day")) & F.col(ts).between(F.col(start), F.col(end))
-    return f.join(bounded_broadcast(days, max_broadcast_rows), cond, how).drop("_f_day", "_iv_day")
+    return f.join(iv, cond, how).drop("_f_day", "_iv_day")

@@ -2,12 +2,12 @@
 never has to be sorted inside one task.
 
 * ``rows_at_extreme`` replaces ``RANK() ... = 1`` and ``rank_by_value``
-  replaces ``RANK() OVER (PARTITION BY k ORDER BY v)``: identical rows are
-  collapsed to (row, count) with a partial aggregate, the window runs over
-  those distinct rows only (bounded per key by dates x products, not by
-  volume), and the rows are expanded back -- one pass over the input.
+  replaces ``RANK() OVER (PARTITION BY k ORDER BY v)``: the extreme, or the
+  ranks of the distinct values, come from a partial aggregate and join back to
+  the rows; Spark can split a hot key in that join. No row is ever copied.
 * ``top_k`` is a global ``ORDER BY ... LIMIT`` with a deterministic
   tie-break (TakeOrderedAndProject: per-partition top-k, then a merge).
+* ``in_order`` sorts a result with explicit NULL placement.
 """
 
 from __future__ import annotations
@@ -18,35 +18,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _grouped(df: DataFrame) -> tuple[list[str], DataFrame]:
-    """Identical rows collapsed to one row with a multiplicity ``_n``."""
-    cols = df.columns
-    return cols, df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+def _attach(df: DataFrame, found: DataFrame, keys: Sequence[str], carry: str) -> DataFrame:
+    """Joins ``carry`` of ``found`` (one row per ``keys``) to ``df``; NULL keys match."""
+    right = found.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], carry)
+    cond = None
+    for i, k in enumerate(keys):
+        same = df[k].eqNullSafe(F.col(f"_{i}"))
+        cond = same if cond is None else cond & same
+    return df.join(right, cond).select(*df.columns, carry)
 
 
-def _expand(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Undo :func:`_grouped`: each row repeated ``_n`` times."""
-    return df.select(*cols, F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_r")).drop("_r")
-
-
-def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, how: str = "min",
-                    weight: str | None = None) -> DataFrame:
-    """All rows whose ``value`` equals the per-key min (or max): RANK = 1 with ties.
-
-    Identical rows are first collapsed with a count (partial aggregation), so
-    the per-key window sees at most one row per distinct (value, other
-    columns) -- e.g. dates x products for a customer -- however hot the key.
-    One pass over the input; the original multiset is restored at the end.
-    ``weight`` names a multiplicity column of an input that is already
-    collapsed (its rows stand for ``weight`` identical rows each).
-    """
-    if weight is None:
-        cols, g = _grouped(df)
-    else:
-        cols, g = [c for c in df.columns if c != weight], df.withColumnRenamed(weight, "_n")
-    ext = (F.min(value) if how == "min" else F.max(value)).over(Window.partitionBy(*keys))
-    kept = g.withColumn("_x", ext).filter(F.col(value) == F.col("_x"))
-    return _expand(kept, cols)
+def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, how: str = "min") -> DataFrame:
+    """All rows whose ``value`` equals the per-key min (or max): RANK = 1 with ties."""
+    extreme = df.groupBy(*keys).agg((F.min if how == "min" else F.max)(value).alias("_x"))
+    return _attach(df, extreme, keys, "_x").filter(F.col(value) == F.col("_x")).drop("_x")
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
@@ -60,26 +45,20 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Se
     return df.groupBy(*keys).agg(m).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in fields])
 
 
+def ranks_of_values(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank",
+                    descending: bool = False) -> DataFrame:
+    """(keys, value, rank): the SQL rank of every distinct value of a key, from
+    the counts per value (a window over distinct values only)."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(F.col(value).desc() if descending else F.col(value).asc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return counts.select(*keys, value, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias(out))
+
+
 def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank",
-                  descending: bool = False, weight: str | None = None) -> DataFrame:
-    """``RANK() OVER (PARTITION BY keys ORDER BY value)`` attached to every row.
-
-    Rank = 1 + number of rows of the key with a strictly smaller value. Rows
-    are collapsed to (distinct row, count) first; the running count over the
-    value order minus the count of the value's peers gives the rank, then the
-    rows are expanded back. One pass, bounded window input per key.
-    ``weight`` names a multiplicity column of an already collapsed input.
-    """
-    if weight is None:
-        cols, g = _grouped(df)
-    else:
-        cols, g = [c for c in df.columns if c != weight], df.withColumnRenamed(weight, "_n")
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    w = Window.partitionBy(*keys).orderBy(order)
-    upto = F.sum("_n").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    peers = F.sum("_n").over(w.rangeBetween(Window.currentRow, Window.currentRow))
-    ranked = g.withColumn(out, upto - peers + 1)
-    return _expand(ranked, [*cols, out])
+                  descending: bool = False) -> DataFrame:
+    """``RANK() OVER (PARTITION BY keys ORDER BY value)`` attached to every row."""
+    return _attach(df, ranks_of_values(df, keys, value, out, descending), [*keys, value], out)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -91,3 +70,10 @@ def keep_rank_one(df: DataFrame, order: Sequence[Column], dense: bool = False) -
     (one row per product / segment), never on raw facts."""
     fn = F.dense_rank() if dense else F.rank()
     return df.withColumn("_r", fn.over(Window.orderBy(*order))).filter("_r = 1").drop("_r")
+
+
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """The result sorted by columns, ``-name`` for descending: NULLs last going
+    up and first going down, whatever the engine's default."""
+    return df.orderBy(*[F.col(k[1:]).desc_nulls_first() if k.startswith("-") else F.col(k).asc_nulls_last()
+                        for k in keys])

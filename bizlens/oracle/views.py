@@ -31,21 +31,26 @@ VIEWS: dict[str, str] = {
         SELECT CAST(rn AS INTEGER) AS product_id, p_type AS product_name, CAST(rn * 100 AS INTEGER) AS price
         FROM (SELECT p_type, row_number() OVER (ORDER BY p_type) AS rn FROM (SELECT DISTINCT p_type FROM part) d) m""",
     "v_sales": """
-        SELECT o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date, m.product_id
+        SELECT o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date, m.product_id, m.product_name, m.price
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         JOIN part p ON l.l_partkey = p.p_partkey JOIN v_menu m ON p.p_type = m.product_name""",
     "v_members": """
         SELECT o_custkey AS customer_id, MIN(CAST(o_orderdate AS DATE)) AS join_date
         FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey""",
+    "v_order_lines": """
+        SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS part_key, l_suppkey AS supp_key,
+               CAST(l_partkey % 2 + 1 AS INTEGER) AS pizza_id,
+               CASE l_suppkey % 5 WHEN 0 THEN 'null' WHEN 1 THEN '' WHEN 2 THEN NULL
+                    WHEN 3 THEN format('{}', l_partkey % 9 + 1)
+                    ELSE format('{}, {}', l_partkey % 9 + 1, (l_partkey + 4) % 9 + 1) END AS exclusions,
+               CASE l_partkey % 7 WHEN 0 THEN 'null' WHEN 1 THEN '' WHEN 6 THEN '' WHEN 2 THEN NULL
+                    WHEN 3 THEN format('{}', l_suppkey % 9 + 1)
+                    ELSE format('{}, {}', l_suppkey % 9 + 1, (l_suppkey + 2) % 9 + 1) END AS extras
+        FROM lineitem""",
     "v_orders_raw": """
-        SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_number, l.l_partkey AS part_key,
-               l.l_suppkey AS supp_key, o.o_custkey AS customer_id, CAST(l.l_partkey % 2 + 1 AS INTEGER) AS pizza_id,
-               CASE l.l_suppkey % 5 WHEN 0 THEN 'null' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '4'
-                    WHEN 4 THEN '2, 6' END AS exclusions,
-               CASE l.l_partkey % 7 WHEN 0 THEN 'null' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '1'
-                    WHEN 4 THEN '1, 5' WHEN 5 THEN '1, 4' WHEN 6 THEN '' END AS extras,
-               o.o_orderdate + to_minutes(o.o_orderkey % 1440) AS order_time
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+        SELECT v.order_id, v.line_number, v.part_key, v.supp_key, o.o_custkey AS customer_id, v.pizza_id,
+               v.exclusions, v.extras, o.o_orderdate + to_minutes(o.o_orderkey % 1440) AS order_time
+        FROM v_order_lines v JOIN orders o ON v.order_id = o.o_orderkey""",
     "v_order_customers": "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders",
     "v_deliveries_raw": """
         SELECT o_orderkey AS order_id, CAST(o_custkey % 8 + 1 AS INTEGER) AS runner_id,
@@ -63,16 +68,21 @@ VIEWS: dict[str, str] = {
                                                 WHEN 3 THEN ' minute' WHEN 4 THEN '' END
                END AS duration,
                CASE WHEN o_orderkey % 9 = 0 THEN
-                         CASE WHEN o_orderkey % 2 = 0 THEN 'Restaurant Cancellation' ELSE 'Customer Cancellation' END
+                         CASE WHEN o_orderkey % 2 = 0 THEN 'Called off by the kitchen' ELSE 'Called off by the guest' END
                     ELSE CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'null' END
                END AS cancellation
         FROM orders""",
     "v_runners": """
         SELECT s_suppkey AS runner_id, CAST(DATE '2021-01-01' + CAST(s_suppkey % 21 AS INTEGER) AS DATE) AS registration_date
         FROM supplier""",
-    "v_pizza_names": _values(dims.PIZZA_NAMES, ["pizza_id", "pizza_name"], ["INTEGER", "VARCHAR"]),
-    "v_pizza_recipes": _values(dims.PIZZA_RECIPES, ["pizza_id", "toppings"], ["INTEGER", "VARCHAR"]),
-    "v_toppings": _values(dims.TOPPINGS, ["topping_id", "topping_name"], ["INTEGER", "VARCHAR"]),
+    "v_pizza_names": "SELECT product_id AS pizza_id, product_name AS pizza_name FROM v_menu",
+    "v_toppings": """
+        SELECT CAST(rank() OVER (ORDER BY b) AS INTEGER) AS topping_id, b AS topping_name
+        FROM (SELECT DISTINCT p_brand AS b FROM part) brands""",
+    "v_pizza_recipes": """
+        SELECT pizza_id, array_to_string(list_sort(list(DISTINCT topping_id)), ', ') AS toppings
+        FROM part JOIN v_pizza_names ON p_type = pizza_name JOIN v_toppings ON p_brand = topping_name
+        WHERE p_size <= 5 GROUP BY pizza_id""",
     "v_plans": _values(dims.PLANS, ["plan_id", "plan_name", "price"], ["INTEGER", "VARCHAR", "DECIMAL(5,2)"]),
     "v_subscriptions": """
         SELECT DISTINCT o_custkey AS customer_id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS plan_id,
@@ -122,7 +132,10 @@ VIEWS: dict[str, str] = {
                                      ["VARCHAR", "TIMESTAMP", "TIMESTAMP"]),
 }
 
-DEPS: dict[str, list[str]] = {"v_sales": ["v_menu"]}
+DEPS: dict[str, list[str]] = {
+    "v_sales": ["v_menu"], "v_orders_raw": ["v_order_lines"], "v_pizza_names": ["v_menu"],
+    "v_pizza_recipes": ["v_pizza_names", "v_toppings"],
+}
 
 
 def with_views(body: str, views: list[str], ctes: list[tuple[str, str]] = ()) -> str:

@@ -43,6 +43,13 @@ def clean_deliveries(deliveries_raw: DataFrame, distance_scale: int = 2) -> Data
     )
 
 
+def store_weekly_sales(weekly_raw: DataFrame, name: str = "clean_weekly_sales") -> DataFrame:
+    """``CREATE TABLE clean_weekly_sales AS``: the other period jobs read the stored table."""
+    from bizlens.sources import sinks
+
+    return sinks.materialise(clean_weekly_sales(weekly_raw), name)
+
+
 def clean_weekly_sales(weekly_raw: DataFrame, date_format: str = "d/M/yy",
                        week_number: str = "month") -> DataFrame:
     """Typed weekly sales with calendar fields, decoded segment and average.

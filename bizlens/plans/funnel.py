@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 from bizlens.functions.dates import month_name
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import ordered_join, sum_if
-from bizlens.operators.joins import bounded_broadcast, point_in_interval_join
-from bizlens.operators.ranking import top_k
+from bizlens.operators.joins import point_in_interval_join
+from bizlens.operators.ranking import in_order, top_k
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
 
 
 def _typed(events: DataFrame, event_types: DataFrame) -> DataFrame:
     """Events whose type is known (inner join with the broadcast type table)."""
-    return events.join(bounded_broadcast(event_types), "event_type")
+    return events.join(event_types, "event_type")
 
 
 def user_count(users: DataFrame) -> DataFrame:
@@ -42,13 +42,14 @@ def visits_by_month(users: DataFrame, events: DataFrame) -> DataFrame:
     """Distinct visits per month name. Only events of known cookies count; as
     the count is distinct, a semi join is enough (no row multiplication)."""
     e = events.join(users.select("cookie_id"), "cookie_id", "left_semi")
-    return e.groupBy(month_name("event_time", "upper").alias("month")).agg(
-        F.countDistinct("visit_id").alias("number_of_visits"))
+    months = e.groupBy(month_name("event_time", "upper").alias("month")).agg(
+        F.countDistinct("visit_id").alias("number_of_visits"), F.min("event_time").alias("_first"))
+    return in_order(months, "_first").drop("_first")  # the months as they came
 
 
 def events_by_type(events: DataFrame, event_types: DataFrame) -> DataFrame:
     counts = events.groupBy("event_type").agg(F.count("event_type").alias("_n"))
-    return counts.join(bounded_broadcast(event_types), "event_type").groupBy("event_name").agg(
+    return counts.join(event_types, "event_type").groupBy("event_name").agg(
         F.sum("_n").cast("bigint").alias("number_of_event"))
 
 
@@ -60,7 +61,7 @@ def purchase_visit_pct(events: DataFrame, event_types: DataFrame) -> DataFrame:
     over visits -- rather than two DISTINCT aggregates, which would expand and
     shuffle every event twice.
     """
-    e = events.filter(F.col("visit_id").isNotNull()).join(bounded_broadcast(event_types), "event_type", "left")
+    e = events.filter(F.col("visit_id").isNotNull()).join(event_types, "event_type", "left")
     per_visit = e.groupBy("visit_id").agg(F.max(F.col("event_name") == "Purchase").alias("_bought"))
     agg = per_visit.agg(F.count(F.when(F.col("_bought"), 1)).alias("_p"), F.count(F.lit(1)).alias("_v"))
     return agg.select(rounded(div(F.col("_p") * 100, F.col("_v")), 2).alias("purchase_percent"))
@@ -75,7 +76,7 @@ def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: D
     that viewed the checkout page, the share without a purchase event (one
     aggregate per visit, then one global aggregate).
     """
-    e = _typed(events, event_types).join(bounded_broadcast(pages.select("page_id", "page_name")), "page_id", "left")
+    e = _typed(events, event_types).join(pages.select("page_id", "page_name"), "page_id", "left")
     if restricted:
         per_visit = e.groupBy("visit_id").agg(
             F.max((F.col("event_name") == "Page View") & (F.col("page_name") == checkout_page)).alias("_c"),
@@ -99,7 +100,7 @@ def checkout_no_purchase_pct(events: DataFrame, event_types: DataFrame, pages: D
 def top_pages(events: DataFrame, event_types: DataFrame, pages: DataFrame, n: int = 3) -> DataFrame:
     views = _typed(events.filter(F.col("event_type") == VIEW), event_types)
     counts = views.groupBy("page_id").agg(F.count("page_id").alias("_n"))
-    named = counts.join(bounded_broadcast(pages), "page_id").groupBy("page_name").agg(
+    named = counts.join(pages, "page_id").groupBy("page_name").agg(
         F.sum("_n").cast("bigint").alias("number_of_views"))
     return top_k(named, [F.col("number_of_views").desc(), F.col("page_name").asc()], n)
 
@@ -108,7 +109,7 @@ def category_views_adds(events: DataFrame, event_types: DataFrame, pages: DataFr
     e = _typed(events, event_types)
     counts = e.groupBy("page_id").agg(sum_if(F.col("event_type") == VIEW).alias("_v"),
                                       sum_if(F.col("event_type") == CART_ADD).alias("_a"))
-    named = counts.join(bounded_broadcast(pages), "page_id").filter(F.col("product_category") != "null")
+    named = counts.join(pages, "page_id").filter(F.col("product_category") != "null")
     return named.groupBy("product_category").agg(F.sum("_v").cast("bigint").alias("number_of_views"),
                                                  F.sum("_a").cast("bigint").alias("cart_adds"))
 
@@ -124,7 +125,7 @@ def top_purchased_products(events: DataFrame, event_types: DataFrame, pages: Dat
     adds = _typed(events.filter(F.col("event_type") == CART_ADD), event_types)
     bought = adds.join(purchase_visits(events, event_types).select("visit_id"), "visit_id", "left_semi")
     counts = bought.groupBy("page_id").agg(F.count(F.lit(1)).alias("_n"))
-    prod = bounded_broadcast(pages.filter(F.col("product_id").isNotNull()))
+    prod = pages.filter(F.col("product_id").isNotNull())
     named = counts.join(prod, "page_id").groupBy("page_name", "product_category").agg(
         F.sum("_n").cast("bigint").alias("number_of_purchases"))
     return top_k(named, [F.col("number_of_purchases").desc(), F.col("page_name").asc()], n)
@@ -139,7 +140,7 @@ def _funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame, keys: l
     counts. Keys missing from either the abandoned or the purchased side are
     dropped, like the inner join of the three per-side aggregates.
     """
-    prod = bounded_broadcast(pages.filter(F.col("product_id").isNotNull() & F.col("product_category").isNotNull()))
+    prod = pages.filter(F.col("product_id").isNotNull() & F.col("product_category").isNotNull())
     e = _typed(events.filter(F.col("event_type").isin(VIEW, CART_ADD)), event_types).join(prod, "page_id")
     flagged = e.join(purchase_visits(events, event_types), "visit_id", "left")
     add = F.col("event_type") == CART_ADD
@@ -167,6 +168,13 @@ def category_funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame,
     return f.select("product_category", "number_of_views", "added_to_cart", "abandoned", "purchased")
 
 
+def store_visit_campaigns(*inputs: DataFrame, name: str = "campaign_analysis", **options) -> DataFrame:
+    """``SELECT ... INTO campaign_analysis``: :func:`visit_campaigns`, materialised and read back."""
+    from bizlens.sources import sinks
+
+    return sinks.materialise(visit_campaigns(*inputs, **options), name)
+
+
 def store_product_funnel(events: DataFrame, event_types: DataFrame, pages: DataFrame,
                          name: str = "agg_products") -> DataFrame:
     """``SELECT ... INTO agg_products``: materialise and read back."""
@@ -229,14 +237,18 @@ def visit_campaigns(events: DataFrame, users: DataFrame, event_types: DataFrame,
     time; ``purchase_flag=True`` makes ``purchase`` a 1/0 flag;
     ``name_chars=None`` keeps full names.
 
+    The cart adds of one (user, visit, campaign) meet in one list; of each only
+    the shown name and the order columns are collected. A visit is bounded by
+    what one user adds in a day, which a robot can make large.
+
     ``order_by`` names the columns that order a visit's cart adds. When the
     sequence number is itself defined as the (time, id) order inside a visit,
     passing those columns gives the same lists without materialising the
     per-visit numbering (one shuffle and sort of all events fewer).
     """
     e = (events.join(users, "cookie_id")
-         .join(bounded_broadcast(event_types), "event_type")
-         .join(bounded_broadcast(pages.select("page_id", "page_name")), "page_id"))
+         .join(event_types, "event_type")
+         .join(pages.select("page_id", "page_name"), "page_id"))
     camp = campaigns.select("campaign_name", "start_date", "end_date")
     keys = ["user_id", "visit_id"]
     if not by_visit_start:

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bizlens.operators.joins import bounded_broadcast
 
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = 0, 1, 2, 3, 4
 
@@ -21,7 +20,7 @@ def customer_journey(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     The window runs over distinct (customer, start, plan) rows, so its
     per-customer input is bounded by the calendar, not by raw event volume.
     """
-    names = bounded_broadcast(plans.select("plan_id", "plan_name"))
+    names = plans.select("plan_id", "plan_name")
     subs = subscriptions.select("customer_id", "plan_id", "start_date").distinct()
     w = Window.partitionBy("customer_id").orderBy("start_date", "plan_id")
     steps = subs.select(
@@ -44,7 +43,7 @@ def customer_journey(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     next_names = plans.select(F.col("plan_id").alias("_next"), F.col("plan_name").alias("next_plan"))
     return (
         steps.join(names, "plan_id")
-        .join(bounded_broadcast(next_names), "_next", "left")
+        .join(next_names, "_next", "left")
         .select(
             "customer_id", F.col("step").cast("bigint").alias("step"), "plan_name", "start_date", "next_plan",
             F.datediff("_next_start", "start_date").alias("elapsed_days"), transition.alias("transition"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bizlens.functions.dates import month_name
 from bizlens.functions.numeric import div, rounded
+from bizlens.operators.ranking import in_order
 from bizlens.operators.aggregate import percentile_disc, sum_if
 
 
@@ -105,8 +106,8 @@ def active_customers_by_month(txn: DataFrame, min_deposits: int = 2, with_year:
     per = txn.groupBy("customer_id", *_month_keys(with_year=with_year)).agg(
         sum_if(t == "deposit").alias("d"), sum_if(t == "purchase").alias("p"), sum_if(t == "withdrawal").alias("w"))
     ok = per.filter((F.col("d") >= min_deposits) & ((F.col("p") >= 1) | (F.col("w") >= 1)))
-    return ok.groupBy("month_", "month_name").agg(F.count("customer_id").alias("customer_count")).select(
-        "month_name", "customer_count")
+    months = ok.groupBy("month_", "month_name").agg(F.count("customer_id").alias("customer_count"))
+    return in_order(months, "month_").select("month_name", "customer_count")
 
 
 def monthly_net(txn: DataFrame, with_year: bool = False) -> DataFrame:
@@ -136,10 +137,30 @@ def running_month_balance(txn: DataFrame, with_year: bool = False) -> DataFrame:
                     F.col("balance").cast("double").alias("balance"))
 
 
-def growth_share(txn: DataFrame, threshold: float = 5.0, with_year: bool = False) -> DataFrame:
+def month_calendar_balance(txn: DataFrame) -> DataFrame:
+    """One row per customer and calendar month from the first to the last one with
+    a transaction: the month's net amount (NULL if none), the balance carried
+    on, and the number of months with transactions so far.
+
+    The calendar is made per customer and left-joined with the months that
+    have transactions on (customer, month).
+    """
+    month = F.trunc("txn_date", "month")
+    net = txn.groupBy("customer_id", month.alias("month")).agg(F.sum(_signed(txn)).alias("txn_amount"))
+    span = net.groupBy("customer_id").agg(F.min("month").alias("_a"), F.max("month").alias("_b"))
+    calendar = span.select("customer_id", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    so_far = Window.partitionBy("customer_id").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    return calendar.join(net, ["customer_id", "month"], "left").select(
+        "customer_id", "month", F.col("txn_amount").cast("double").alias("txn_amount"),
+        F.sum("txn_amount").over(so_far).cast("double").alias("balance"),
+        F.count("txn_amount").over(so_far).alias("active_months"))
+
+
+def growth_share(txn: DataFrame, threshold: float = 5.0, with_year: bool = False, as_label: bool = False) -> DataFrame:
     """Share (%) of customers whose last monthly balance grew by more than
     ``threshold`` percent over the previous month (no previous month counts as
-    no growth; a previous balance of 0 gives balance x 100)."""
+    no growth; a previous balance of 0 gives balance x 100). ``as_label`` gives
+    the text with a percent sign."""
     r = _monthly_running(txn, with_year)
     w = Window.partitionBy("customer_id").orderBy("month_")
     prev = F.lag("balance").over(w)
@@ -153,7 +174,8 @@ def growth_share(txn: DataFrame, threshold: float = 5.0, with_year: bool = False
     r = r.withColumn("_g", growth)
     last = r.groupBy("customer_id").agg(F.max_by("_g", "month_").alias("_g"))
     grew = F.sum(F.when(F.col("_g") > threshold, 1).otherwise(0))
-    return last.agg(rounded(div(grew * 100, F.count(F.lit(1))), 2).alias("growth_percentage"))
+    share = rounded(div(grew * 100, F.count(F.lit(1))), 2)
+    return last.agg((F.concat(share.cast("string"), F.lit("%")) if as_label else share).alias("growth_percentage"))
 
 
 def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, per_day: bool = False) -> DataFrame:
@@ -228,53 +250,7 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, p
     best = (F.when(F.col("_a") > F.col("_b"), F.lit(None).cast("double"))
             .when(F.col("_a") - (w_rows - 1) >= F.col("s"), F.greatest(F.col("b").cast("double"), F.lit(0.0)))
             .otherwise(evaluated))
-    per_month = per.select("customer_id", "month", best.alias("_v")).groupBy("customer_id", "month").agg(
-        F.max("_v").alias("_alloc"))
-    return per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation"))
-
-
-def data_allocation_expanded(txn: DataFrame, window_rows: int = 31, min_rows: int = 30,
-                             per_day: bool = False) -> DataFrame:
-    """Monthly data need when each customer gets the mean balance of the last
-    ``window_rows`` ledger rows; no allocation before row ``min_rows`` and
-    negative means clamp to 0. Then the max per customer-month and the sum
-    per month.
-
-    The ledger has one row per calendar day from a customer's first to last
-    transaction day, except that a day with k transactions has k rows; all
-    rows of a day carry the day's closing balance.
-
-    Plan: transactions are reduced to one row per (customer, day) -- count and
-    net amount -- and the running balance and next transaction day come from
-    a window over those days. The calendar is then generated in place
-    (``array_repeat`` for the k rows of a transaction day, ``sequence`` for the
-    empty days up to the next one) *after* the last shuffle, so no calendar
-    row is ever shuffled or joined; the moving mean reuses the same
-    partitioning (customer) and only sorts.
-    """
-    signed = txn.select("customer_id", F.col("txn_date").alias("day"), _signed(txn).alias("amt"))
-    days = signed.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("_k"), F.sum("amt").alias("_net"))
-    w = Window.partitionBy("customer_id").orderBy("day")
-    if per_day:
-        days = days.withColumn("_k", F.lit(1).cast("long"))
-    days = days.select(
-        "customer_id", "day", "_k",
-        F.sum("_net").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("balance"),
-        F.lead("day").over(w).alias("_next"),
-    )
-    gap = F.when(F.datediff("_next", "day") > 1, F.sequence(F.date_add("day", 1), F.date_sub("_next", 1)))
-    rows = F.concat(F.array_repeat(F.col("day"), F.col("_k").cast("int")),
-                    F.coalesce(gap, F.array().cast("array<date>")))
-    ledger = days.select("customer_id", F.col("balance").cast("double").alias("balance"),
-                         F.explode(rows).alias("day"))
-    framed = w.rowsBetween(-(window_rows - 1), 0)
-    scored = ledger.select(
-        "customer_id", "day",
-        F.avg("balance").over(framed).alias("_avg"),
-        F.row_number().over(w).alias("_row"),
-    )
-    storage = (F.when(F.col("_row") < min_rows, F.lit(None).cast("double"))
-               .when(F.col("_avg") < 0, F.lit(0.0)).otherwise(F.col("_avg")))
-    per_month = scored.groupBy("customer_id", F.trunc("day", "month").alias("month")).agg(
-        F.max(storage).alias("_alloc"))
-    return per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation"))
+    # summed as decimals: the sum of doubles would depend on their order
+    per_month = per.select("customer_id", "month", best.cast("decimal(30,6)").alias("_v")).groupBy(
+        "customer_id", "month").agg(F.max("_v").alias("_alloc"))
+    return in_order(per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation")), "month")

@@ -2,25 +2,25 @@
 extras): standard ingredients, most common extra / exclusion, item labels,
 ingredient lists and totals, menu extension.
 
-The membership tests of the original formulation (every topping x every
-item, ``id IN (SELECT UNNEST(...))``) are re-expressed with array functions
-on each item row: no cross product is ever built. Dimension lookups use an
-embedded map when the dimension is proven small (see
-:mod:`bizlens.operators.lookup`).
+What is said about an item depends only on (product, exclusions, extras). So
+the lists are worked out once per distinct combination (explode, join with the
+dimension, aggregate) and the results join back to the items, or are weighted
+by the number of items. No cross product is built, and a dimension of any size
+takes the same way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions.text import id_list
 from bizlens.operators.aggregate import ordered_join
-from bizlens.operators.joins import bounded_broadcast
-from bizlens.operators.lookup import small_map, translate_ids
 from bizlens.operators.ranking import keep_rank_one
 from bizlens.sources.dimensions import literal_table
 
+COMBINATION = ["pizza_id", "exclusions", "extras"]
+
 
 def _ids(c: str) -> Column:
     return F.coalesce(F.array_distinct(id_list(c)), F.array().cast("array<int>"))
@@ -36,7 +36,7 @@ def standard_ingredients(recipes: DataFrame, names: DataFrame, toppings: DataFra
     if orders is not None:
         r = r.join(orders.select("pizza_id").distinct(), "pizza_id", "left_semi")
     ex = r.select("pizza_id", F.explode(id_list("toppings")).alias("topping_id"))
-    j = ex.join(bounded_broadcast(toppings), "topping_id").join(bounded_broadcast(names), "pizza_id")
+    j = ex.join(toppings, "topping_id").join(names, "pizza_id")
     return j.groupBy("pizza_name").agg(ordered_join(F.col("topping_name"), F.col("topping_id")).alias("ingredients"))
 
 
@@ -45,7 +45,7 @@ def top_listed(orders: DataFrame, toppings: DataFrame, column: str, out: str) ->
     (partial aggregation), names attached to the handful of counts after."""
     ids = orders.filter(F.col(column).isNotNull()).select(F.explode(id_list(column)).alias("topping_id"))
     counts = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("_n"))
-    named = counts.join(bounded_broadcast(toppings), "topping_id").groupBy(F.col("topping_name").alias(out)).agg(
+    named = counts.join(toppings, "topping_id").groupBy(F.col("topping_name").alias(out)).agg(
         F.sum("_n").cast("bigint").alias("number_of_pizzas"))
     return keep_rank_one(named, [F.col("number_of_pizzas").desc()])
 
@@ -58,21 +58,46 @@ def top_exclusion(orders: DataFrame, toppings: DataFrame) -> DataFrame:
     return top_listed(orders, toppings, "exclusions", "exclusion_toppings")
 
 
+def _combinations(orders: DataFrame) -> DataFrame:
+    """The distinct (product, exclusions, extras) with the number of items."""
+    return orders.groupBy(*COMBINATION).agg(F.count(F.lit(1)).alias("_items"))
+
+
+def _attached(orders: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """``column`` of the combination's row joined to every item (NULL matches NULL)."""
+    right = labels.select(*[F.col(c).alias(f"_{c}") for c in COMBINATION], column)
+    same = [orders[c].eqNullSafe(F.col(f"_{c}")) for c in COMBINATION]
+    return orders.join(right, same[0] & same[1] & same[2]).select("order_id", "line_number", column)
+
+
+def _listed(combos: DataFrame, lists: dict[str, Column], mark: bool = False) -> DataFrame:
+    """One row per combination and id: (combination, topping_id, one flag per
+    list that says whether it holds the id); with ``mark`` every combination
+    also has a row with a NULL id."""
+    rows = combos.select("*", *[e.alias(f"_{n}") for n, e in lists.items()])
+    every = F.array_distinct(F.concat(*[F.col(f"_{n}") for n in lists]))
+    if mark:
+        every = F.concat(every, F.array(F.lit(None).cast("int")))
+    rows = rows.select("*", F.explode(every).alias("topping_id"))
+    flags = [F.array_contains(f"_{n}", F.col("topping_id")).alias(n) for n in lists]
+    return rows.select(*combos.columns, "topping_id", *flags)
+
+
 def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """``<name> - Exclude a, b - Extra c, d`` per item; NULL parts are skipped,
     so a plain item keeps its trailing blank, as written."""
-    df = orders.join(bounded_broadcast(names), "pizza_id", "left")
-    df = translate_ids(df, F.sort_array(_ids("exclusions")), toppings, "topping_id", "topping_name", "_xn")
-    df = translate_ids(df, F.sort_array(_ids("extras")), toppings, "topping_id", "topping_name", "_en")
-    xn = F.transform("_xn", lambda s: s["name"])
-    en = F.transform("_en", lambda s: s["name"])
-    label = F.concat_ws(
-        "",
-        F.col("pizza_name"), F.lit(" "),
-        F.when(F.size(xn) > 0, F.lit("- Exclude ")).otherwise(F.lit("")), F.array_join(xn, ", "),
-        F.when(F.size(en) > 0, F.lit(" - Extra ")).otherwise(F.lit("")), F.array_join(en, ", "),
-    )
-    return df.select("order_id", "line_number", label.alias("pizza_with_toppings"))
+    combos = _combinations(orders).drop("_items")
+    listed = _listed(combos, {"excluded": _ids("exclusions"), "extra": _ids("extras")}, mark=True)
+    listed = listed.join(toppings, "topping_id", "left")
+
+    def names_where(flag: str) -> Column:
+        return ordered_join(F.when(F.col(flag), F.col("topping_name")), F.col("topping_id"))
+
+    parts = listed.groupBy(*COMBINATION).agg(names_where("excluded").alias("_x"), names_where("extra").alias("_e"))
+    labelled = parts.join(names, "pizza_id", "left")
+    label = F.concat_ws("", F.col("pizza_name"), F.lit(" "), F.concat(F.lit("- Exclude "), F.col("_x")),
+                        F.concat(F.lit(" - Extra "), F.col("_e")))
+    return _attached(orders, labelled.withColumn("pizza_with_toppings", label), "pizza_with_toppings")
 
 
 def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFrame,
@@ -81,82 +106,56 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
 
     ``2x`` marks a topping that is in the recipe (not excluded) *and* an
     extra; an excluded topping that is also an extra appears once, unmarked.
+    Items left with no topping have no row.
     """
-    # recipe lists are parsed once per recipe (dimension side), not per item
-    parsed = recipes.select("pizza_id", _ids("toppings").alias("_r"))
-    df = orders.join(bounded_broadcast(parsed), "pizza_id").join(bounded_broadcast(names), "pizza_id")
-    df = df.withColumns({"_x": _ids("exclusions"), "_e": _ids("extras")})
-    df = df.withColumn("_base", F.array_except("_r", "_x"))
-    df = translate_ids(df, F.array_union("_base", "_e"), toppings, "topping_id", "topping_name", "_n")
-    labels = F.transform("_n", lambda s: F.when(
-        F.array_contains("_base", s["id"]) & F.array_contains("_e", s["id"]),
-        F.concat(F.lit("2x"), s["name"])).otherwise(s["name"]))
-    df = df.withColumn("_l", F.sort_array(labels))
-    # Items left with no topping produce no row. An explode of a 0/1-element
-    # array drops them without a Filter: a Filter would be pushed below the
-    # projection (into the recipe join) and evaluate the list pipeline twice.
-    joined = F.when(F.size("_l") > 0, F.array(F.array_join("_l", ", ")))
-    out = df.select("order_id", "line_number", "pizza_name", F.explode(joined).alias("_j"))
-    return out.select("order_id", "line_number",
-                      F.concat(F.col("pizza_name"), F.lit(": "), F.col("_j")).alias("ingredient_list"))
+    combos = _combinations(orders).drop("_items").join(recipes, "pizza_id").join(names, "pizza_id")
+    kept = F.array_except(_ids("toppings"), _ids("exclusions"))
+    listed = _listed(combos, {"kept": kept, "extra": _ids("extras")}).join(toppings, "topping_id")
+    label = F.when(F.col("kept") & F.col("extra"), F.concat(F.lit("2x"), F.col("topping_name"))).otherwise(
+        F.col("topping_name"))
+    text = F.array_join(F.sort_array(F.collect_list(label)), ", ")
+    out = listed.groupBy(*COMBINATION, "pizza_name").agg(text.alias("_l")).select(
+        *COMBINATION, F.concat(F.col("pizza_name"), F.lit(": "), F.col("_l")).alias("ingredient_list"))
+    return _attached(orders, out, "ingredient_list")
 
 
 def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFrame,
                       toppings: DataFrame) -> DataFrame:
     """Toppings used over delivered items: recipe (minus exclusions) + extras.
 
-    A topping that no delivered item has in its recipe or exclusions totals
-    NULL (the recipe count has no ELSE branch), as written.
-
-    An item's contribution depends only on (product, exclusions, extras), so
-    items are first counted per distinct combination (a partial aggregate);
-    the list arithmetic then runs once per combination, weighted by its count.
+    Every topping has a row (none if nothing was delivered); one that no
+    delivered item has in its recipe or exclusions totals NULL, as written.
     """
     done = deliveries.filter(F.col("pickup_time").isNotNull() & F.col("distance").isNotNull()
                              & F.col("duration").isNotNull()).select("order_id")
-    combos = (orders.join(done, "order_id", "left_semi")
-              .groupBy("pizza_id", "exclusions", "extras").agg(F.count(F.lit(1)).alias("_w"))
-              .join(bounded_broadcast(recipes), "pizza_id"))
-    combos = combos.select("_w", _ids("exclusions").alias("_x"), _ids("extras").alias("_e"),
-                           _ids("toppings").alias("_r"))
-    names = small_map(toppings, "topping_id", "topping_name")
-    if names is not None:
-        # Every combination scores every topping (no rows at all when nothing was delivered).
-        per = F.transform(F.map_keys(names), lambda i: F.struct(
-            i.alias("topping_id"),
-            F.when(F.array_contains("_x", i), 0).when(F.array_contains("_r", i), 1).alias("ct"),
-            F.when(F.array_contains("_e", i), 1).otherwise(0).alias("ce")))
-        ex = combos.select("_w", F.explode(per).alias("c")).select("_w", "c.*")
-        agg = ex.groupBy("topping_id").agg(F.sum(F.col("ct") * F.col("_w")).alias("_ct"),
-                                           F.sum(F.col("ce") * F.col("_w")).alias("_ce"))
-        return agg.join(bounded_broadcast(toppings), "topping_id").select(
-            "topping_name", (F.col("_ct") + F.col("_ce")).cast("bigint").alias("total_ingredients"))
-    contrib = F.concat(
-        F.transform(F.array_union("_r", "_x"), lambda i: F.struct(
-            i.alias("topping_id"), F.when(F.array_contains("_x", i), 0).otherwise(1).alias("ct"),
-            F.lit(0).alias("ce"))),
-        F.transform("_e", lambda i: F.struct(i.alias("topping_id"), F.lit(None).cast("int").alias("ct"),
-                                             F.lit(1).alias("ce"))),
-    )
-    ex = combos.select("_w", F.explode(contrib).alias("c")).select("_w", "c.*")
-    agg = ex.groupBy("topping_id").agg(F.sum(F.col("ct") * F.col("_w")).alias("_ct"),
-                                       F.sum(F.col("ce") * F.col("_w")).alias("_ce"))
-    out = bounded_broadcast(toppings).join(agg, "topping_id", "left")
-    total = F.col("_ct") + F.coalesce(F.col("_ce"), F.lit(0))
-    return out.select("topping_name", total.cast("bigint").alias("total_ingredients"))
+    combos = _combinations(orders.join(done, "order_id", "left_semi")).join(recipes, "pizza_id")
+    lists = {"recipe": _ids("toppings"), "excluded": _ids("exclusions"), "extra": _ids("extras")}
+    listed = _listed(combos, lists, mark=True)
+    known = F.col("recipe") | F.col("excluded")
+    used = F.when(F.col("recipe") & ~F.col("excluded"), F.col("_items")).otherwise(0)
+    per = listed.groupBy("topping_id").agg(
+        F.sum(F.when(known, used)).alias("_kept"), F.sum(F.when(F.col("extra"), F.col("_items"))).alias("_extra"),
+        F.max(F.col("topping_id").isNull()).alias("_any"))
+    # the marks' row says that something was delivered; the window sees a row per topping
+    rows = toppings.join(per, "topping_id", "full").groupBy("topping_name").agg(
+        F.sum("_kept").alias("_kept"), F.sum("_extra").alias("_extra"), F.max("_any").alias("_any"))
+    rows = rows.withColumn("_any", F.max("_any").over(Window.partitionBy()))
+    total = F.col("_kept") + F.coalesce(F.col("_extra"), F.lit(0))
+    return rows.filter(F.col("_any") & F.col("topping_name").isNotNull()).select(
+        "topping_name", total.cast("bigint").alias("total_ingredients"))
 
 
 def extend_menu(names: DataFrame, recipes: DataFrame, orders: DataFrame, new_id: int, new_name: str) -> DataFrame:
     """Add a product whose recipe is every topping used by any ordered item
     (recipe, extra or exclusion), appended to both dimensions, then
-    names LEFT JOIN recipes."""
-    combos = orders.select("pizza_id", "exclusions", "extras").distinct().join(bounded_broadcast(recipes), "pizza_id")
+    names LEFT JOIN recipes. The new recipe is one text, so the distinct ids
+    (as many as there are toppings) meet in one task."""
+    combos = orders.select(*COMBINATION).distinct().join(recipes, "pizza_id")
     used = combos.select(F.explode(F.array_union(F.array_union(_ids("toppings"), _ids("extras")),
                                                  _ids("exclusions"))).alias("t")).distinct()
     recipe = used.agg(F.array_join(F.sort_array(F.collect_list("t")), ", ").alias("toppings")).select(
         F.lit(new_id).cast("int").alias("pizza_id"), "toppings")
-    spark = names.sparkSession
-    added = literal_table(spark, [(new_id, new_name)], [("pizza_id", "INT"), ("pizza_name", "STRING")])
+    added = literal_table(names.sparkSession, [(new_id, new_name)], [("pizza_id", "INT"), ("pizza_name", "STRING")])
     new_names = names.unionByName(added)
     new_recipes = recipes.unionByName(recipe)
     return new_names.join(new_recipes, "pizza_id", "left").select("pizza_id", "pizza_name", "toppings")

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bizlens.functions.dates import day_name, seconds_between, week_label
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
-from bizlens.operators.joins import bounded_broadcast
+from bizlens.operators.ids import check_dense_id, with_dense_id
 from bizlens.operators.ranking import top_k
 from bizlens.sources import sinks
 
@@ -47,7 +48,7 @@ def successful_by_runner(deliveries: DataFrame) -> DataFrame:
 def delivered_by_type(orders: DataFrame, deliveries: DataFrame, names: DataFrame) -> DataFrame:
     ok = orders.join(_delivered(deliveries).select("order_id"), "order_id", "left_semi")
     counts = ok.groupBy("pizza_id").agg(F.count("pizza_id").alias("delivered"))
-    return counts.join(bounded_broadcast(names), "pizza_id").groupBy("pizza_name").agg(
+    return counts.join(names, "pizza_id").groupBy("pizza_name").agg(
         F.sum("delivered").cast("bigint").alias("delivered"))
 
 
@@ -181,7 +182,7 @@ def success_rate(deliveries: DataFrame) -> DataFrame:
         F.count("pickup_time").alias("order_taken"),
         (F.count("pickup_time") * 100).alias("_t"),
     ).select("runner_id", "total_order_sent", "order_taken",
-             F.floor(F.col("_t") / F.col("total_order_sent")).cast("bigint").alias("success_pct"))
+             F.expr("_t div total_order_sent").alias("success_pct"))
 
 
 def _price(pizza_id: Column, prices: dict[int, int]) -> Column:
@@ -212,35 +213,35 @@ def revenue_with_extras(orders: DataFrame, deliveries: DataFrame, prices: dict[i
     return ok.agg(F.sum(charge).cast("bigint").alias("price_extra_charges"))
 
 
-RATING_SCHEMA_DDL = ("id BIGINT, order_id BIGINT, customer_id BIGINT, runner_id INT, rating INT, "
-                     "rating_time TIMESTAMP_NTZ")
+RATING_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("order_id", T.LongType()),
+    T.StructField("customer_id", T.LongType()), T.StructField("runner_id", T.IntegerType()),
+    T.StructField("rating", T.IntegerType()), T.StructField("rating_time", T.TimestampNTZType()),
+])
 
 
-def ratings(deliveries: DataFrame, order_customers: DataFrame) -> DataFrame:
-    """One rating (1-5) per successful delivery, ids 1..n in order_id order."""
-    from bizlens.operators.ids import with_dense_id
-
+def rating_rows(deliveries: DataFrame, order_customers: DataFrame) -> DataFrame:
+    """One rating (1-5) per successful delivery, not numbered yet."""
     d = _delivered(deliveries).join(order_customers, "order_id")
-    rated = d.select(
+    return d.select(
         "order_id", "customer_id", "runner_id",
         ((F.col("order_id") * 7 + F.col("runner_id")) % 5 + 1).cast("int").alias("rating"),
         F.timestamp_add("MINUTE", F.col("duration") + 5 + F.col("order_id") % 30, F.col("pickup_time"))
         .alias("rating_time"),
     )
-    return with_dense_id(rated, ["order_id"]).select(
-        "id", "order_id", "customer_id", "runner_id", "rating", "rating_time")
 
 
 def ratings_table(deliveries: DataFrame, order_customers: DataFrame, name: str = "runner_rating") -> DataFrame:
-    """Create the ratings table with a declared schema, insert, read back."""
-    from pyspark.sql import types as T
-
-    spark = deliveries.sparkSession
-    sinks.create_empty(spark, name, T._parse_datatype_string(RATING_SCHEMA_DDL))
-    return sinks.append(ratings(deliveries, order_customers), name)
+    """Create the ratings table with a declared schema, insert with ids 1..n in
+    order_id order, read back; the stored ids are checked."""
+    numbered = with_dense_id(rating_rows(deliveries, order_customers), ["order_id"])
+    stored = sinks.insert_into_new(deliveries.sparkSession, name, RATING_SCHEMA, [numbered])
+    check_dense_id(stored)
+    return stored
 
 
 def delivery_report(orders: DataFrame, deliveries: DataFrame, rating: DataFrame) -> DataFrame:
+    """``rating`` has order_id and rating; the ids of the stored table are not needed."""
     per_order = orders.groupBy("order_id", "customer_id", "order_time").agg(F.count("order_id").alias("pizzas"))
     j = (per_order.join(deliveries, "order_id")
          .join(rating.select("order_id", "rating"), "order_id"))

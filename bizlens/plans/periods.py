@@ -8,6 +8,7 @@ Every comparison is one filtered aggregate with two conditional sums (the
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from bizlens.functions.dates import day_name, month_name
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
+from bizlens.operators.ranking import in_order
 
 
 def _share(part: str, total: str) -> Column:
@@ -30,17 +32,26 @@ def weekday_used(clean: DataFrame) -> DataFrame:
     return clean.select(day_name("dates_week").alias("wkday"))
 
 
-def missing_weeks(clean: DataFrame, step_days: int = 7) -> DataFrame:
-    """Weekly dates between the first and last observed week that have no rows.
+def missing_weeks(clean: DataFrame, step_days: int = 7, by: Sequence[str] = ()) -> DataFrame:
+    """Weekly dates between the first and last observed week that have no rows;
+    with ``by``, those without rows of each combination of the columns.
 
-    The series comes from a one-row min/max aggregate exploded with
-    ``sequence``; observed dates are removed with a left anti join on
-    distinct dates (NULL-free keys, so NOT IN semantics are kept).
+    The series of each combination is exploded from the first and last week;
+    observed dates are removed with a left anti join on distinct dates
+    (NULL-free dates, so NOT IN semantics are kept; NULL combinations match).
     """
-    seen = clean.select("dates_week").filter(F.col("dates_week").isNotNull()).distinct()
-    bounds = seen.agg(F.min("dates_week").alias("_a"), F.max("dates_week").alias("_b"))
-    series = bounds.select(F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {step_days} DAYS"))).alias("dates_week"))
-    return series.join(seen, "dates_week", "left_anti")
+    seen = clean.select(*by, "dates_week").filter(F.col("dates_week").isNotNull()).distinct()
+    step = F.expr(f"INTERVAL {step_days} DAYS")
+    if by:
+        bounds = clean.select(F.struct(F.min("dates_week").alias("a"), F.max("dates_week").alias("b"))).scalar()
+        series = seen.select(*by).distinct().select(*by, F.explode(F.sequence(bounds["a"], bounds["b"], step)).alias("dates_week"))
+    else:
+        bounds = seen.agg(F.min("dates_week").alias("_a"), F.max("dates_week").alias("_b"))
+        series = bounds.select(F.explode(F.sequence("_a", "_b", step)).alias("dates_week"))
+    cond = series["dates_week"] == seen["dates_week"]
+    for c in by:
+        cond = cond & series[c].eqNullSafe(seen[c])
+    return in_order(series.join(seen, cond, "left_anti"), "dates_week", *by)
 
 
 def transactions_by_year(clean: DataFrame) -> DataFrame:

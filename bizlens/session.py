@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,14 +35,18 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for lineage cuts and stored tables.
+    """The cluster-wide folder for lineage cuts and stored tables, from
+    ``spark.checkpoint.dir`` (or the context's checkpoint dir).
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
-    when neither is set -- a local test run -- create one and register it.
+    Where neither is set, a session that runs in one process (``local[n]``, as
+    in tests) makes a temporary folder; on a cluster, where each executor would
+    write to its own disk, that is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="bizlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)  # so that DataFrame.checkpoint() writes there
@@ -50,4 +54,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), "tables", name)
+    """A new folder for one run of the table ``name``."""
+    return f"{shared_dir(spark)}/tables/{name}/{uuid.uuid4().hex}"

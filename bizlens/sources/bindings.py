@@ -59,15 +59,11 @@ def v_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from bizlens.operators.joins import bounded_broadcast
-
-    # The menu has one row per part type: broadcast it (after a bounded count)
-    # rather than shuffling the part table on its handful of type values.
-    menu = bounded_broadcast(v_menu(spark, sf_dir))
+    """One row per lineitem, with the product's name and price from the menu."""
     part_product = (
         table(spark, sf_dir, "part")
-        .join(menu, F.col("p_type") == F.col("product_name"))
-        .select("p_partkey", "product_id")
+        .join(v_menu(spark, sf_dir), F.col("p_type") == F.col("product_name"))
+        .select("p_partkey", "product_id", "product_name", "price")
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return (
@@ -78,7 +74,7 @@ def v_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
-            "product_id",
+            "product_id", "product_name", "price",
         )
     )
 
@@ -96,26 +92,45 @@ def v_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Case 2 -- orders and deliveries (dirty text on purpose)
 # --------------------------------------------------------------------------
 
-_EXCLUSIONS = [(0, "null"), (1, ""), (2, None), (3, "4"), (4, "2, 6")]
-_EXTRAS = [(0, "null"), (1, ""), (2, None), (3, "1"), (4, "1, 5"), (5, "1, 4"), (6, "")]
+# Largest part size whose brand is in its type's recipe.
+RECIPE_SIZE = 5
+
+
+def _dirty_list(which: Column, one: Column, other: Column) -> Column:
+    """By ``which``: a spelling of the empty list ('null', '' or NULL), or a
+    list of one or two ids."""
+    return (F.when(which == 0, "null").when(which.isin(1, 6), "").when(which == 2, F.lit(None).cast("string"))
+            .when(which == 3, one).otherwise(F.concat(one, F.lit(", "), other)))
+
+
+def v_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem: a pizza line of an order, list columns still dirty;
+    the ids in the lists come from the line's keys."""
+    part, supp = F.col("l_partkey"), F.col("l_suppkey")
+
+    def topping(key: Column) -> Column:
+        return (key % 9 + 1).cast("string")
+
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        part.alias("part_key"),
+        supp.alias("supp_key"),
+        (part % 2 + 1).cast("int").alias("pizza_id"),
+        _dirty_list(supp % 5, topping(part), topping(part + 4)).alias("exclusions"),
+        _dirty_list(part % 7, topping(supp), topping(supp + 2)).alias("extras"),
+    )
 
 
 def v_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem: a pizza line of an order, list columns still dirty."""
+    """The order lines with the customer and time of their order."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        v_order_lines(spark, sf_dir)
+        .join(orders, F.col("order_id") == F.col("o_orderkey"))
         .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("line_number"),
-            F.col("l_partkey").alias("part_key"),
-            F.col("l_suppkey").alias("supp_key"),
-            F.col("o_custkey").alias("customer_id"),
-            (F.col("l_partkey") % 2 + 1).cast("int").alias("pizza_id"),
-            _case(F.col("l_suppkey") % 5, _EXCLUSIONS).alias("exclusions"),
-            _case(F.col("l_partkey") % 7, _EXTRAS).alias("extras"),
+            "order_id", "line_number", "part_key", "supp_key", F.col("o_custkey").alias("customer_id"),
+            "pizza_id", "exclusions", "extras",
             F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate")).alias("order_time"),
         )
     )
@@ -147,7 +162,7 @@ def v_deliveries_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cancelled, null_txt).otherwise(pickup.cast("string")).alias("pickup_time"),
         F.when(cancelled, null_txt).otherwise(dist_txt).alias("distance"),
         F.when(cancelled, null_txt).otherwise(dur_txt).alias("duration"),
-        F.when(cancelled, F.when(k % 2 == 0, F.lit("Restaurant Cancellation")).otherwise(F.lit("Customer Cancellation")))
+        F.when(cancelled, F.when(k % 2 == 0, F.lit("Called off by the kitchen")).otherwise(F.lit("Called off by the guest")))
         .otherwise(_case(k % 3, [(0, None), (1, ""), (2, "null")]))
         .alias("cancellation"),
     )
@@ -161,16 +176,25 @@ def v_runners(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_pizza_names(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    return dims.pizza_names(spark)
+def v_pizza_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One product per part type, numbered by name (order lines use the first two)."""
+    return v_menu(spark, sf_dir).select(F.col("product_id").alias("pizza_id"), F.col("product_name").alias("pizza_name"))
 
 
-def v_pizza_recipes(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    return dims.pizza_recipes(spark)
+def v_toppings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topping per brand, numbered by name; the window sees the distinct brands only."""
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("topping_name")).distinct()
+    number = F.row_number().over(Window.orderBy("topping_name"))
+    return brands.select(number.cast("int").alias("topping_id"), "topping_name")
 
 
-def v_toppings(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    return dims.toppings(spark)
+def v_pizza_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product's recipe: the toppings (brands) that its type has in small parts."""
+    pairs = table(spark, sf_dir, "part").filter(F.col("p_size") <= RECIPE_SIZE).select("p_type", "p_brand").distinct()
+    ids = (pairs.join(v_toppings(spark, sf_dir), F.col("p_brand") == F.col("topping_name"))
+           .join(v_pizza_names(spark, sf_dir), F.col("p_type") == F.col("pizza_name")))
+    return ids.groupBy("pizza_id").agg(
+        F.array_join(F.sort_array(F.collect_list("topping_id")), ", ").alias("toppings"))
 
 
 # --------------------------------------------------------------------------

@@ -1,39 +1,40 @@
-"""Sinks: materialise a DataFrame as a parquet table in the shared folder,
-append rows, read back. Overwrite = replace on rerun."""
+"""Stored tables: every run writes to a folder of its own in the shared folder
+and returns a reader of it, so runs never touch each other's files and a failed
+run leaves nothing that is read. The table's name is a pointer: a session view
+on the newest finished run (replace on rerun)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from bizlens.session import table_path
 
 
-def materialise(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    """Write ``df`` as table ``name`` and return the stored table (lineage cut)."""
-    spark = df.sparkSession
-    path = table_path(spark, name)
-    df.write.mode(mode).parquet(path)
-    return spark.read.parquet(path)
+def _publish(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
+    stored = spark.read.schema(schema).parquet(path)
+    stored.createOrReplaceTempView(name)
+    return stored
 
 
-def create_empty(spark: SparkSession, name: str, schema: T.StructType) -> str:
-    """``CREATE TABLE`` (replacing any previous one) with a declared schema."""
-    path = table_path(spark, name)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-    return path
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``CREATE TABLE ... AS`` / ``SELECT ... INTO``: write ``df``, point the
+    name at it and return the stored table (lineage cut)."""
+    path = table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return _publish(df.sparkSession, path, df.schema, name)
 
 
-def append(df: DataFrame, name: str) -> DataFrame:
-    """``INSERT INTO`` an existing table."""
-    spark = df.sparkSession
+def insert_into_new(spark: SparkSession, name: str, schema: T.StructType, parts: Iterable[DataFrame]) -> DataFrame:
+    """``CREATE TABLE`` with a declared schema, then one ``INSERT INTO`` per
+    part; the name points at the table when all of them are in."""
     path = table_path(spark, name)
-    df.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(spark, name))
+    spark.createDataFrame([], schema).write.parquet(path)
+    for part in parts:
+        part.select(*schema.fieldNames()).to(schema).write.mode("append").parquet(path)
+    return _publish(spark, path, schema, name)
 
 
 def register_views(spark: SparkSession, sf_dir: str, cache: bool = False) -> list[str]:

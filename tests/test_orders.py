@@ -4,13 +4,34 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from bizlens.plans import cleaning, lists, orders
-from bizlens.sources import dimensions as dims
+from bizlens.sources.dimensions import literal_table
 from tests.conftest import rows
 
 T = dt.datetime
 
+TOPPINGS = ["Anchovy", "Basil", "Brisket", "Cheddar", "Chorizo", "Garlic", "Jalapeno", "Olives", "Peppers", "Pineapple",
+            "Spinach", "Tomato"]
+
+
+class dims:
+    """A small menu, its recipes and toppings."""
+
+    @staticmethod
+    def pizza_names(spark):
+        return literal_table(spark, [(1, "Carnivore"), (2, "Garden")], [("pizza_id", "INT"), ("pizza_name", "STRING")])
+
+    @staticmethod
+    def pizza_recipes(spark):
+        return literal_table(spark, [(1, "1, 3, 4, 5, 7, 8, 10, 11"), (2, "2, 4, 6, 9, 11, 12")],
+                             [("pizza_id", "INT"), ("toppings", "STRING")])
+
+    @staticmethod
+    def toppings(spark, more=()):
+        return literal_table(spark, [*enumerate(TOPPINGS, 1), *more], [("topping_id", "INT"), ("topping_name", "STRING")])
+
 
 @pytest.fixture(scope="module")
 def data(spark):
@@ -109,3 +130,13 @@ def test_ingredient_totals_nothing_delivered(data, spark):
     o, d = data
     none = d.filter("order_id < 0")
     assert lists.ingredient_totals(o, none, dims.pizza_recipes(spark), dims.toppings(spark)).count() == 0
+
+
+def test_unnamed_topping(data, spark):
+    """A topping without a name shows up nowhere; an id of no topping is skipped."""
+    o, _ = data
+    some = dims.toppings(spark).withColumn("topping_name", F.when(F.col("topping_id") != 5, F.col("topping_name")))
+    got = {(r.order_id, r.line_number): r.pizza_with_toppings
+           for r in lists.order_item_label(o, dims.pizza_names(spark), some.filter("topping_id <> 4")).collect()}
+    assert len(got) == 5
+    assert got[(2, 1)] == "Carnivore  - Extra Anchovy" and got[(3, 1)] == "Garden "

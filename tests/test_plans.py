@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from bizlens import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,14 +13,15 @@ def _plan(df) -> str:
 
 
 def test_registry_complete():
-    q, s = E.queries(), E.oracle_sql()
-    assert len(q) == 91
+    q, s = catalog.queries(), catalog.oracle_sql()
+    assert len(q) == 92
     assert set(q) == set(s)
+    assert set(q) <= set(E.queries()) and set(s) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_product(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     plan = _plan(df)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan, plan
@@ -31,6 +33,42 @@ def test_scan_pruning(spark):
     assert "struct<l_orderkey:bigint,l_partkey:bigint>" in plan
 
 
+LINE_JOBS = ["items_ordered", "unique_orders", "inspect_values", "standard_ingredients", "top_extra", "top_exclusion",
+             "order_item_label", "order_ingredient_list", "extend_menu"]
+DELIVERED_LINE_JOBS = ["revenue", "both_changes", "delivered_by_type", "ingredient_totals"]
+
+
+@pytest.mark.parametrize("name", LINE_JOBS + DELIVERED_LINE_JOBS)
+def test_line_jobs_leave_orders_alone(spark, name):
+    """Jobs that need only columns of the order lines don't read orders; the delivered ones read it once."""
+    plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_orderkey#") == 0 if name in LINE_JOBS else "o_orderkey" in plan
+    scans = [line for line in plan.split("\n") if "Relation" in line and "o_orderkey" in line]
+    assert len(scans) == (0 if name in LINE_JOBS else 1)
+
+
+@pytest.mark.parametrize("name", ["spend_per_customer", "favourite_item", "sales_with_member_flag", "delivery_report",
+                                  "standard_ingredients", "order_item_label", "ingredient_totals"])
+def test_no_job_while_the_plan_is_built(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", "plan only")
+    catalog.queries()[name](spark, SF)
+    assert list(tracker.getJobIdsForGroup(f"build-{name}")) == []
+
+
+def test_result_order(spark):
+    rows = [r.hour_day for r in catalog.queries()["orders_by_hour"](spark, SF).collect()]
+    assert rows == sorted(rows) and len(rows) > 1
+    totals = [r.total_ingredients for r in catalog.queries()["ingredient_totals"](spark, SF).collect()]
+    known = [t for t in totals if t is not None]
+    assert totals == [None] * (len(totals) - len(known)) + sorted(known, reverse=True)  # descending: NULLs first
+    df = spark.createDataFrame([(2,), (None,), (1,)], "v int")
+    from bizlens.operators.ranking import in_order
+
+    assert [r.v for r in in_order(df, "v").collect()] == [1, 2, None]
+    assert [r.v for r in in_order(df, "-v").collect()] == [None, 2, 1]
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["product_name", "number_of_views", "added_to_cart", "abandoned", "purchased"]
@@ -58,10 +96,10 @@ def _single_partition_inputs(plan: str) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_single_partition_only_over_reduced_data(spark, name):
     """Every single-partition step (global aggregate, unpartitioned window,
     global rank) reads rows that were already aggregated -- never raw facts."""
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(catalog.queries()[name](spark, SF))
     for op in _single_partition_inputs(plan):
         assert op.startswith(_BOUNDED), (name, op)
