@@ -1,4 +1,4 @@
-"""Arrays of small integers as compressed bytes, for rows that carry them."""
+"""Arrays of integers and short texts as compressed bytes, for rows that carry them."""
 
 from __future__ import annotations
 
@@ -14,3 +14,19 @@ def packed(values: np.ndarray, dtype: str = "<u4") -> bytes:
 def unpacked(data: bytes, dtype: str = "<u4") -> np.ndarray:
     raw = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
     return np.frombuffer(raw, dtype)
+
+
+def cut(data: bytes, lengths: np.ndarray) -> list[bytes]:
+    """``data`` in pieces of these lengths."""
+    bounds = [0, *np.cumsum(lengths).tolist()]
+    return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def pack_texts(texts: list[bytes]) -> bytes:
+    lengths = packed(np.fromiter(map(len, texts), np.int64, len(texts)))
+    return len(lengths).to_bytes(8, "little") + lengths + packed(np.frombuffer(b"".join(texts), np.uint8), "u1")
+
+
+def unpack_texts(data: bytes) -> list[bytes]:
+    at = 8 + int.from_bytes(data[:8], "little")
+    return cut(unpacked(data[at:], "u1").tobytes(), unpacked(data[8:at]).astype(int))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bizlens.llm import staging
-from bizlens.llm.ints import packed, unpacked
+from bizlens.llm.ints import cut, packed, unpacked
 
 LENGTH = 50
 GRAM = 20
@@ -228,19 +228,22 @@ class _Block:
             self.first, self.size, self.mark = stretches(self.text, self.ends)
         self.owner = self.ids[np.searchsorted(self.ends, self.first, "right")]
 
-    def distinct_marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct marks with their smallest and largest owner."""
-        order = np.argsort(self.mark, kind="stable")
-        mark, owner = self.mark[order], self.owner[order]
-        at = np.flatnonzero(np.append(True, mark[1:] != mark[:-1])) if len(mark) else np.zeros(0, np.int64)
-        if not len(at):
-            return mark, owner, owner
-        return mark[at], np.minimum.reduceat(owner, at), np.maximum.reduceat(owner, at)
+        self.order = np.argsort(self.mark)  # the stretches by mark, and where each mark begins
+        by_mark = self.mark[self.order]
+        self.at = np.flatnonzero(np.append(len(by_mark) > 0, by_mark[1:] != by_mark[:-1]))
+        self.marks = by_mark[self.at]
+
+    def several_owners(self) -> np.ndarray:
+        """For each distinct mark, whether it occurs in several documents."""
+        if not len(self.at):
+            return np.zeros(0, bool)
+        owner = self.owner[self.order]
+        return np.minimum.reduceat(owner, self.at) != np.maximum.reduceat(owner, self.at)
 
     def keep_marks(self, shared: np.ndarray) -> None:
-        """Leaves the stretches whose mark is one of ``shared`` (ascending)."""
-        at = np.searchsorted(shared, self.mark)
-        keep = (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == self.mark) if len(shared) else np.zeros(len(self.mark), bool)
+        """Leaves the stretches of the distinct marks that are flagged."""
+        keep = np.zeros(len(self.mark), bool)
+        keep[self.order] = np.repeat(shared, np.diff(np.append(self.at, len(self.mark))))
         self.first, self.size, self.mark, self.owner = self.first[keep], self.size[keep], self.mark[keep], self.owner[keep]
 
     def distinct_stretches(self) -> tuple[np.ndarray, np.ndarray]:
@@ -278,8 +281,8 @@ def _table(rows: list[tuple], **types: pa.DataType) -> pa.Table:
 
 def _report_marks(rows: pa.Table, groups: int) -> pa.Table:
     block = _Block(rows)
-    marks, least, most = block.distinct_marks()
-    several, high = least != most, (marks >> np.uint64(32)).astype(np.uint32)
+    marks, several = block.marks, block.several_owners()
+    high = (marks >> np.uint64(32)).astype(np.uint32)
     out = [(rows["block"][0].as_py(), g, high[at].tobytes(), np.packbits(several[at]).tobytes())
            for g, at in _by_group(_groups_of(marks, groups))]
     return _table(out, block=pa.int64(), part=pa.int32(), marks=pa.binary(), several=pa.binary())
@@ -301,12 +304,11 @@ def _shared_marks(rows: pa.Table) -> pa.Table:
 def _with_shared(rows: pa.Table, flags: pa.Table, groups: int) -> _Block:
     """The block, left with the stretches of marks that several documents have."""
     block = _Block(rows)
-    marks = block.distinct_marks()[0]
     flag = dict(zip(flags["part"].to_pylist(), flags["shared"].to_pylist()))
-    keep = np.zeros(len(marks), bool)
-    for g, at in _by_group(_groups_of(marks, groups)):
-        keep[at] = np.unpackbits(np.frombuffer(flag[g], np.uint8), count=len(at)) > 0
-    block.keep_marks(marks[keep])
+    shared = np.zeros(len(block.marks), bool)
+    for g, at in _by_group(_groups_of(block.marks, groups)):
+        shared[at] = np.unpackbits(np.frombuffer(flag[g], np.uint8), count=len(at)) > 0
+    block.keep_marks(shared)
     return block
 
 
@@ -331,11 +333,19 @@ def _places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _sort_group(rows: pa.Table) -> pa.Table:
     sizes = [unpacked(s).astype(np.int64) for s in rows["sizes"].to_pylist()]
     owners = np.concatenate([unpacked(o, "<i8") for o in rows["owners"].to_pylist()])
-    text = np.frombuffer(b"".join(rows["bytes"].to_pylist()) + bytes(LENGTH + 8), np.uint8)
-    size = np.concatenate(sizes)
+    # a stretch that several blocks send is sorted once, for its smallest owner
+    numbers: dict[bytes, int] = {}
+    number = np.fromiter((numbers.setdefault(x, len(numbers)) for data, size in zip(rows["bytes"].to_pylist(), sizes)
+                          for x in cut(data, size + LENGTH - 1)), np.int64, len(owners))
+    owner = np.full(len(numbers), _NO_ID, np.int64)
+    np.minimum.at(owner, number, owners)
+    size = np.fromiter(map(len, numbers), np.int64, len(numbers)) - LENGTH + 1
+    text = np.frombuffer(b"".join(numbers) + bytes(LENGTH + 8), np.uint8)
     begin = np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1)
-    found = smallest_owner(text, _places(begin, size), np.repeat(owners, size))
-    parts = np.split(found, np.cumsum([s.sum() for s in sizes])[:-1])
+    found = smallest_owner(text, _places(begin, size), np.repeat(owner, size))
+    of_row = np.split(number, np.cumsum([len(x) for x in sizes])[:-1])
+    at = np.cumsum(size) - size
+    parts = [found[_places(at[k], size[k])] for k in of_row]
     return _table([(b, p, packed(f, "<i8")) for b, p, f in zip(rows["block"].to_pylist(), rows["part"].to_pylist(), parts)],
                   block=pa.int64(), part=pa.int32(), owners=pa.binary())
 
@@ -354,9 +364,8 @@ def _cut(rows: pa.Table, side: pa.Table, groups: int) -> pa.Table:
     owner = np.repeat(block.owner, block.size)
     gone = least[_places(at_number[number], block.size)] < owner
     strings = _places(block.first, block.size)[gone]
-    change = np.zeros(len(block.text) + 1, np.int32)  # strings never leave their text
-    np.add.at(change, strings, 1)
-    np.add.at(change, strings + LENGTH, -1)
+    # strings never leave their text
+    change = np.bincount(strings, minlength=len(block.text) + 1) - np.bincount(strings + LENGTH, minlength=len(block.text) + 1)
     removed = np.cumsum(change)[:-1] > 0
     kept, n_removed, n_spans = [], [], []
     for end, n in zip(block.ends.tolist(), block.lengths.tolist()):
