@@ -1,7 +1,7 @@
 """Line dedup by a tree of log templates.
 
 A line's tokens are what stands between white space; a token with a digit is a
-variable field and reads ``<*>``. The tree has a fixed depth: the number of
+variable field and reads ``<*>`` (unless most tokens of the line do). The tree has a fixed depth: the number of
 tokens, then the first ``LEAD`` tokens. In a leaf, lines of at least
 ``LEAST_TOKENS`` tokens that agree with a template on ``SIMILAR`` of the places
 join it, and where they differ becomes a variable field (lines in the order of
@@ -51,8 +51,10 @@ def _hash(text: str) -> int:
 
 
 def masked(line: str) -> str:
-    """The tokens with variable fields, one space between them."""
-    return " ".join(_with_digit.sub(FIELD, line).split())
+    """The tokens with variable fields, one space between them; a line of mostly
+    variable fields says nothing in common and stays as it is."""
+    tokens = _with_digit.sub(FIELD, line).split()
+    return " ".join(line.split() if 2 * tokens.count(FIELD) > len(tokens) else tokens)
 
 
 def leaf_of(line: str) -> int:
