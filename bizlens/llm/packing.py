@@ -2,7 +2,9 @@
 
 1. Tokenise: white space never survives in this tokenizer, so a text's ids are
    the ids of its white-space separated pieces in a row. Every task encodes a
-   piece it has not seen yet and remembers it (a bounded memory).
+   piece it has not seen yet and remembers it (a bounded memory). A plain word,
+   with or without punctuation after it, is put together from its word in lower
+   case and its punctuation.
 2. Number the pieces of every length 0, 1, ... (:func:`staging.dense_rank_in`).
 3. Plan on the histogram of lengths, which has at most ``capacity`` rows however
    large the input. Martello and Toth's reduction first: for an item, if one set
@@ -21,9 +23,11 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,13 @@ CAPACITY = 2048
 #: Id after every document.
 END_ID = 0
 #: Pieces a task remembers; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+#: A word of Latin-1 letters, which the tokenizer's normalisation only puts in lower case, and punctuation.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)").fullmatch
+#: Byte-level vocabularies write a byte as the character of that number where it prints, and the others (0 to 32,
+#: 127 to 160 and 173, in this order) as those from 256 on. Here: the two bytes of each Latin-1 letter so written.
+_SHIFTED = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
+_LATIN_BYTES = {c: "".join(chr(_SHIFTED.get(b, b)) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 #: Python splits at these, the tokenizer keeps them: texts with them are encoded whole.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -56,7 +66,23 @@ def _tokenizer(path: str):
 
 def _packed(tokenizer, texts: list[str]) -> list[bytes]:
     encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+    return [struct.pack(f"<{len(ids)}I", *ids) for e in encoded for ids in (e.ids,)]
+
+
+def _learn(tokenizer, known: dict[str, bytes], pieces: Iterable[str]) -> None:
+    """Adds the pieces to ``known``, and the plain words they are made of."""
+    plain, whole = [], []
+    for piece in pieces:
+        (plain if (m := _PLAIN(piece)) else whole).append((piece, m))
+    tokenise = tokenizer.model.tokenize
+    for part in {x for _, m in plain for x in (m[1].lower(), m[2]) if x and x not in known}:
+        ids = [t.id for t in tokenise(part if part.isascii() else part.translate(_LATIN_BYTES))]
+        known[part] = struct.pack(f"<{len(ids)}I", *ids)
+    new = [piece for piece, _ in whole]
+    known.update(zip(new, _packed(tokenizer, new)))
+    for piece, m in plain:
+        if piece not in known:
+            known[piece] = known[m[1].lower()] + (known[m[2]] if m[2] else b"")
 
 
 def encode_texts(texts: list[str | None], path: str) -> Iterator[bytes]:
@@ -70,11 +96,11 @@ def encode_texts(texts: list[str | None], path: str) -> Iterator[bytes]:
             yield _packed(tokenizer, [text])[0]
             continue
         words = text.split()
-        if new := list(set(words).difference(known)):
+        if new := set(words).difference(known):
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
-                new = list(set(words))
-            known.update(zip(new, _packed(tokenizer, new)))
+                new = set(words)
+            _learn(tokenizer, known, new)
         yield b"".join(map(known.__getitem__, words))
 
 
