@@ -1,7 +1,9 @@
 """Toxicity scores by the nearest labelled examples.
 
 Fitting. Examples are a bounded sample of the rows that may be learned from, as
-many toxic as not (``EXAMPLES`` of each, equal texts once). Their vocabulary is
+many toxic as not (``EXAMPLES`` of each); of those that share one of ``KEYS``
+smallest hashes of five-word shingles, copies of each other, the first counts,
+else the words of one much-copied text would look telling. The vocabulary is
 the terms whose presence depends on the label (G-test, at least ``MIN_G2``),
 and one term that stands for every other word, so that a single telling word in
 a long text weighs less than several. Inverse document frequencies are counted
@@ -37,12 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.llm import staging
+from bizlens.llm.minhash import _WordHashes, shingle_set, signatures
 
 #: Bound of the labelled sample: examples of either label.
 EXAMPLES = 2000
 #: Evidence that a term must give on the label, and the most terms kept, the strongest first.
 MIN_G2, MAX_TERMS = 20.0, 4000
 NEIGHBOURS, BLOCK = 15, 64
+KEYS = 4
 TOXIC_FROM = 0.7
 
 _words = re.compile(r"\w+").findall
@@ -76,6 +80,24 @@ def sample_examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict
     return docs.select("doc_id", "text").join(picked, "doc_id"), counts
 
 
+def copy_keys(texts: list[str | None]) -> list[list[int]]:
+    """KEYS smallest shingle hashes of each text; texts that share one are mostly alike."""
+    hashes = _WordHashes()
+    return [signatures([s])[0, :KEYS].view(np.int64).tolist() if len(s := shingle_set(t, hashes)) else [0] * KEYS
+            for t in texts]
+
+
+def without_copies(keys: list[tuple[int, list[int]]]) -> list[int]:
+    """The doc_ids, ascending, of the examples that share no key with one before."""
+    seen: set[tuple[int, int]] = set()
+    kept = []
+    for doc_id, own in sorted(keys):
+        if seen.isdisjoint(enumerate(own)):
+            kept.append(doc_id)
+        seen.update(enumerate(own))
+    return kept
+
+
 def choose_terms(examples: DataFrame, size: dict[int, int]) -> dict[str, float]:
     """Term -> G of the terms that tell the labels apart, counted in the tasks."""
     present = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
@@ -234,14 +256,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         for b in batches:
             counted = [Counter(terms(t)) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("toxic"), b.column("same"),
+                [b.column("doc_id"), b.column("toxic"), pa.array(copy_keys(b.column("text").to_pylist()), pa.list_(pa.int64())),
                  pa.array([list(c) for c in counted], pa.list_(pa.string())),
                  pa.array([list(c.values()) for c in counted], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "same", "terms", "counts"])
-
-    read = rows.select("doc_id", "toxic", F.xxhash64("text").alias("same"), "text").mapInArrow(
-        term_counts, "doc_id bigint, toxic int, same bigint, terms array<string>, counts array<int>")
-    examples = staging.staged(read.dropDuplicates(["same"]), "examples")
+                names=["doc_id", "toxic", "keys", "terms", "counts"])
+
+    read = rows.select(F.col("doc_id").cast("bigint"), "toxic", "text").mapInArrow(
+        term_counts, "doc_id bigint, toxic int, keys array<bigint>, terms array<string>, counts array<int>")
+    sample = staging.staged(read, "sample")
+    kept_ids = without_copies([(r["doc_id"], r["keys"]) for r in sample.select("doc_id", "keys").collect()])
+    ids = spark.createDataFrame([(i,) for i in kept_ids], "doc_id bigint")  # at most the sample's
+    examples = staging.staged(sample.drop("keys").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]), "examples")
     size = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not size[0] or not size[1]:
         return Model(None, share)
