@@ -6,10 +6,9 @@ from bizlens.functions.dates import (  # noqa: F401
     parse_short_date,
     seconds_between,
     short_date_text,
-    to_date_col,
     week_label,
     week_of_month,
     week_start,
 )
-from bizlens.functions.numeric import as_bigint, div, money, rounded  # noqa: F401
+from bizlens.functions.numeric import div, money, rounded  # noqa: F401
 from bizlens.functions.text import id_list, null_markers, strip_units  # noqa: F401

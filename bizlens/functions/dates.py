@@ -16,10 +16,6 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_date_col(c: str | Column) -> Column:
-    return _col(c).cast("date")
-
-
 def month_name(c: str | Column, case: str = "title") -> Column:
     """Full month name, unpadded. ``case`` is 'title', 'upper' or 'lower'."""
     name = F.date_format(F.to_date(_col(c)), "MMMM")

@@ -20,10 +20,6 @@ def money(c: str | Column) -> Column:
     return col.cast("decimal(18,2)")
 
 
-def as_bigint(c: Column) -> Column:
-    return c.cast("bigint")
-
-
 def div(num: Column, den: Column) -> Column:
     """Exact decimal quotient with at least 16 fractional digits.
 
