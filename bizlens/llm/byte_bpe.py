@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.llm import staging
-from bizlens.llm.ints import packed, unpacked
+from bizlens.llm.ints import cut, pack_texts, packed, unpack_texts, unpacked
 
 #: Characters of a block, about: bounds the memory of a task, whatever the size of its partition.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 16 << 20
 #: Groups of distinct words per shuffle partition.
 GROUPS = 4
 
@@ -121,15 +121,15 @@ class Block:
         group = np.fromiter((zlib.crc32(w.encode()) % groups for w in words), np.int64, len(words))
         ranked = order[np.argsort(group[order], kind="stable")]  # by group, the commonest words first
         bounds = np.searchsorted(group[ranked], np.arange(groups + 1))
-        rows = [(block, "words", g, None, packed(rank[own]), [words[i] for i in own.tolist()])
+        rows = [(block, "words", g, None, packed(rank[own]), pack_texts([words[i].encode() for i in own.tolist()]))
                 for g in range(groups) if len(own := ranked[bounds[g] : bounds[g + 1]])]
         if rows:
             yield _batch(rows)
 
 
 _ROWS = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("word_group", pa.int32()), ("doc_id", pa.int64()),
-                   ("places", pa.binary()), ("words", pa.list_(pa.string()))])
-_ROWS_DDL = "block bigint, kind string, word_group int, doc_id bigint, places binary, words array<string>"
+                   ("places", pa.binary()), ("words", pa.binary())])
+_ROWS_DDL = "block bigint, kind string, word_group int, doc_id bigint, places binary, words binary"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -162,9 +162,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def merge_words(group: pa.Table) -> pa.Table:
         ranks, known, out = read_ranks(ranks_path), {}, []
         for block, places, words in zip(*(group[c].to_pylist() for c in ("block", "places", "words"))):
+            words = unpack_texts(words)
             for w in words:
                 if w not in known:
-                    known[w] = merge(w.encode(), ranks)
+                    known[w] = merge(w, ranks)
             ids = [known[w] for w in words]
             out.append((block, places, packed([len(x) for x in ids]), packed([i for x in ids for i in x])))
         return pa.table(dict(zip(("block", "places", "lengths", "ids"), zip(*out))),
@@ -176,9 +177,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def put_together(docs: pa.Table, words: pa.Table) -> pa.Table:
         ids_of: dict[int, bytes] = {}
         for places, lengths, ids in zip(*(words[c].to_pylist() for c in ("places", "lengths", "ids"))):
-            ends, raw = 4 * np.cumsum(unpacked(lengths), dtype=np.int64), unpacked(ids).tobytes()
-            starts = [0, *ends.tolist()]
-            ids_of.update(zip(unpacked(places).tolist(), map(raw.__getitem__, map(slice, starts, starts[1:]))))
+            ids_of.update(zip(unpacked(places).tolist(), cut(unpacked(ids).tobytes(), 4 * unpacked(lengths).astype(int))))
         ids = [b"".join(map(ids_of.__getitem__, unpacked(p).tolist())) for p in docs["places"].to_pylist()]
         return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
                          "ids": pa.array(ids, pa.binary())})
