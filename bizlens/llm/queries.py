@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import byte_bpe, exact_dedup, language_id, line_dedup, minhash, packing, sharding, spotsigs, suffix_dedup, toxicity
+from bizlens.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    minhash,
+    packing,
+    sharding,
+    spotsigs,
+    suffix_dedup,
+    toxicity,
+)
 from bizlens.llm.staging import documents
 
 
@@ -63,8 +74,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints, op7_toxicity, op8_line_dedup, op9_best_fit_packing,
-        op10_sharding)}
+        op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints,
+        op7_toxicity, op8_line_dedup, op9_best_fit_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -34,18 +34,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bizlens.llm import staging
+from bizlens.llm.blocks import Carried, text_blocks
 from bizlens.llm.ints import cut, packed, unpacked
 
 LENGTH = 50
 GRAM = 20
-#: Bytes of a block, about: bounds the memory of a task.
-BLOCK_BYTES = 16 << 20
 #: Groups of marks per shuffle partition; strings of a stretch at most; positions hashed at once.
 GROUPS, STRETCH, CHUNK = 4, 1024, 1 << 19
 #: Depth of the multikey sort; blind tries go on from there.
@@ -132,7 +130,8 @@ def _common_bytes(difference: np.ndarray) -> np.ndarray:
     return out
 
 
-def sort_suffixes(text: np.ndarray, starts: np.ndarray, depth: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+def sort_suffixes(text: np.ndarray, starts: np.ndarray, depth: int = LENGTH,
+                  shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Orders the suffixes of ``text`` at ``starts`` by their first ``depth`` bytes.
 
     Returns the order (places in ``starts``) and, for each place of the order,
@@ -204,7 +203,8 @@ def smallest_owner(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> n
         return owner
     order, new = sort_suffixes(text, starts)
     out = np.empty_like(owner)
-    out[order] = np.repeat(np.minimum.reduceat(owner[order], np.flatnonzero(new)), np.diff(np.append(np.flatnonzero(new), len(order))))
+    at = np.flatnonzero(new)
+    out[order] = np.repeat(np.minimum.reduceat(owner[order], at), np.diff(np.append(at, len(order))))
     return out
 
 
@@ -382,32 +382,14 @@ def _cut(rows: pa.Table, side: pa.Table, groups: int) -> pa.Table:
 def remove_repeats(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) and ``rest``, a
     struct of the columns ``carry``, per row."""
-    spark = docs.sparkSession
-    staging.ship_package(spark)
-    partitions = staging.shuffle_partitions(spark)
-    groups = GROUPS * partitions
-    rest = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), rest.alias("rest"))
-
-    def number_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = TaskContext.get().partitionId() << 24, 0
-        for batch in batches:
-            sizes = np.append(0, np.cumsum([len(t) if t else 0 for t in batch.column("text").to_pylist()]))
-            number = block + (held + sizes[:-1]) // BLOCK_BYTES
-            held += int(sizes[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(number), *batch.columns], names=["block", *batch.schema.names])
-
-    schema = T.StructType([T.StructField("block", T.LongType()), *rows.schema.fields])
-    table = staging.staged_buckets(rows.mapInArrow(number_blocks, schema), "text_blocks", "block", partitions)
+    table = text_blocks(docs, carry)
+    groups = GROUPS * staging.shuffle_partitions(docs.sparkSession)
     small = table.select("block", "doc_id", "text")
 
-    def per_block(f, ddl):
-        return lambda side: small.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(
-            lambda a, b: f(a, b, groups), ddl)
-
     marks = small.groupBy("block").applyInArrow(lambda t: _report_marks(t, groups), _MARKS)
     shared = staging.staged(marks.groupBy("part").applyInArrow(_shared_marks, _SHARED), "shared-marks")
-    sent = per_block(_send_stretches, _STRETCHES)(shared)
+    sent = small.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+        lambda a, b: _send_stretches(a, b, groups), _STRETCHES)
     owners = sent.groupBy("part").applyInArrow(_sort_group, _OWNERS)
     side = shared.withColumn("owners", F.lit(None).cast("binary")).unionByName(
         owners.withColumn("shared", F.lit(None).cast("binary")))
@@ -426,23 +408,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated strings cut from ``text``, and ``n_chars`` (if
     there) as it is then. A character that a cut leaves in part goes as well. A
     null text stays null."""
-    names = [f"_c{k}" for k in range(len(docs.columns))]
-    place = {c: n for n, c in zip(names, docs.columns)}
-    rows = docs.toDF(*names)
-    rows = rows.withColumns({"doc_id": F.col(place["doc_id"]), "text": F.col(place["text"]),
-                             "_null": F.col(place["text"]).isNull()})
-    others = [n for c, n in place.items() if c not in ("doc_id", "text")]
-    cut = remove_repeats(rows, [*others, "_null"])
-    text = F.when(~F.col("rest._null"), F.when(F.col("n_removed") > 0, whole_characters(F.col("kept"))).otherwise(
-        F.decode("kept", "UTF-8")))
-    columns = {c: F.col(f"rest.{n}") for c, n in place.items() if n in others}
-    columns |= {"doc_id": F.col("doc_id"), "text": F.col("_text")}
-    if "n_chars" in columns:
-        columns["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
-    return cut.withColumn("_text", text).select(*[columns[c].alias(c) for c in docs.columns])
-
-
-def whole_characters(data):
+    carried = Carried(docs)
+    cut = remove_repeats(carried.rows, carried.carry)
+    text = F.when(F.col("n_removed") > 0, whole_characters(F.col("kept"))).otherwise(F.decode("kept", "UTF-8"))
+    return carried.put_back(cut, text)
+
+
+def whole_characters(data: Column) -> Column:
     """The text of UTF-8 bytes without the characters that are there in part."""
 
     @F.pandas_udf("string")
