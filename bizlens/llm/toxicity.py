@@ -4,7 +4,8 @@ Fitting. Examples are a bounded sample of the rows that may be learned from, as
 many toxic as not (``EXAMPLES`` of each); of those that share one of ``KEYS``
 smallest hashes of five-word shingles, copies of each other, the first counts,
 else the words of one much-copied text would look telling. The vocabulary is
-the terms whose presence depends on the label (G-test, at least ``MIN_G2``),
+the terms whose presence depends on the label (G-test, at least ``MIN_G2``) and
+whose shares among toxic and other examples differ by a factor of ``MIN_RATIO``,
 and one term that stands for every other word, so that a single telling word in
 a long text weighs less than several. Inverse document frequencies are counted
 over all documents. The examples'
@@ -44,7 +45,7 @@ from bizlens.llm.minhash import _WordHashes, shingle_set, signatures
 #: Bound of the labelled sample: examples of either label.
 EXAMPLES = 2000
 #: Evidence that a term must give on the label, and the most terms kept, the strongest first.
-MIN_G2, MAX_TERMS = 20.0, 4000
+MIN_G2, MIN_RATIO, MAX_TERMS = 20.0, 4.0, 4000
 NEIGHBOURS, BLOCK = 15, 64
 KEYS = 4
 TOXIC_FROM = 0.7
@@ -112,7 +113,10 @@ def choose_terms(examples: DataFrame, size: dict[int, int]) -> dict[str, float]:
     rest = F.lit(n) - k
     g = F.lit(2.0) * (cell(F.col("k1"), k, 1) + cell(F.col("k0"), k, 0)
                       + cell(F.lit(size[1]) - F.col("k1"), rest, 1) + cell(F.lit(size[0]) - F.col("k0"), rest, 0))
-    best = present.select("term", g.alias("g")).filter(F.col("g") >= MIN_G2).orderBy(F.desc("g"), "term").limit(MAX_TERMS)
+    # presence also follows the length of texts, which moves common words a little
+    ratio = (F.col("k1") + 0.5) / F.lit(size[1] + 1.0) * F.lit(size[0] + 1.0) / (F.col("k0") + 0.5)
+    telling = (g >= MIN_G2) & ((ratio >= MIN_RATIO) | (ratio <= 1 / MIN_RATIO))
+    best = present.filter(telling).select("term", g.alias("g")).orderBy(F.desc("g"), "term").limit(MAX_TERMS)
     return {r["term"]: r["g"] for r in best.collect()}
 
 
