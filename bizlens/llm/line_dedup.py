@@ -43,7 +43,7 @@ KEYS = 3
 GROUPS = 4
 FIELD = "<*>"
 _NO_ID = np.iinfo(np.int64).max
-_with_digit = re.compile(r"\S*\d\S*")
+_digit = re.compile(r"\d").search
 
 
 def _hash(text: str) -> int:
@@ -53,13 +53,17 @@ def _hash(text: str) -> int:
 def masked(line: str) -> str:
     """The tokens with variable fields, one space between them; a line of mostly
     variable fields says nothing in common and stays as it is."""
-    tokens = _with_digit.sub(FIELD, line).split()
-    return " ".join(line.split() if 2 * tokens.count(FIELD) > len(tokens) else tokens)
+    tokens = line.split()
+    if _digit(line):
+        fields = [FIELD if _digit(t) else t for t in tokens]
+        if 2 * fields.count(FIELD) <= len(fields):
+            tokens = fields
+    return " ".join(tokens)
 
 
 def leaf_of(line: str) -> int:
-    tokens = line.split(" ")
-    return _hash(f"{len(tokens)} " + " ".join(tokens[:LEAD] if len(tokens) >= LEAST_TOKENS else tokens))
+    n = line.count(" ") + 1
+    return _hash(f"{n} " + (" ".join(line.split(" ", LEAD)[:LEAD]) if n >= LEAST_TOKENS else line))
 
 
 def _other_keys(hashes: np.ndarray) -> np.ndarray:
@@ -145,14 +149,13 @@ def _drop(rows: pa.Table, drops: pa.Table) -> pa.Table:
         gone.setdefault(doc_id, set()).add(line)
     kept, n_lines, n_dropped = [], [], []
     for doc_id, text in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()):
-        lines = (text or "").split("\n")
-        own = gone.get(_NO_ID if doc_id is None else doc_id, ())
-        marks = [m for x in lines if (m := masked(x))]
-        left = [x for x in lines if not (own and (m := masked(x)) and _hash(m) in own)]
-        if own and not any(x.strip() for x in left):
-            left = lines
+        left = lines = (text or "").split("\n")
+        if own := gone.get(_NO_ID if doc_id is None else doc_id):
+            left = [x for x in lines if not ((m := masked(x)) and _hash(m) in own)]
+            if not any(map(str.strip, left)):
+                left = lines
         kept.append("\n".join(left))
-        n_lines.append(len(marks))
+        n_lines.append(sum(map(bool, map(str.strip, lines))))
         n_dropped.append(len(lines) - len(left))
     return pa.table({"doc_id": rows["doc_id"], "rest": rows["rest"], "n_lines": pa.array(n_lines, pa.int64()),
                      "n_dropped": pa.array(n_dropped, pa.int64()), "kept": pa.array(kept, pa.string())})
