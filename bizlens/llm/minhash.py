@@ -7,13 +7,14 @@ holds its distinct runs of ``SHINGLE`` words (fewer words: the one run).
    (``a * x + b`` modulo 2**64). ``ROWS`` minima make the key of a band; two
    sets of Jaccard 0.85 miss each other in every band once in a million times.
    Equal sets are one class from here on.
-2. Of the classes that share a key, each is paired with the one that shares
-   most keys with others: as many pairs as members, whatever the size of a group.
+2. Of the classes that share a key, each is paired with the ``CENTRES`` that share
+   most keys with others: pairs in proportion to members, whatever the size of a group.
 3. Pairs are checked on one bit of every minimum (a pair that fails it by more
    than six standard deviations goes), then exactly, on the full sets.
 4. The links' components are found by large-star and small-star. What shares a
    key but is in different components after that is paired and checked as well,
-   so no link is lost to the choice of the centre.
+   so no link is lost to the choice of the centre. Shingles that no other set
+   holds bound what a set can share; pairs that the bound rules out are not made.
 
 Defined results: a document without words has an empty set and is its own
 component; so is a row with a null doc_id, whose component_id is null and which
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.llm import staging
@@ -36,6 +37,7 @@ from bizlens.llm.components import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
+CENTRES = 4
 #: Least Jaccard of a link, in percent.
 PERCENT = 85
 #: Of BANDS * ROWS bits, a pair of Jaccard 0.85 differs in 9 on average, standard deviation 2.9.
@@ -151,6 +153,27 @@ def _plausible(a: str, b: str, percent: int) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ <= MOST_BITS)
 
 
+def _reachable(a: str, b: str, percent: int) -> Column:
+    """Without its own shingles (``own``: those no other set has), the smaller side can still reach the percentage."""
+    shared = F.least(F.col(f"{a}n") - F.col(f"{a}own"), F.col(f"{b}n") - F.col(f"{b}own"))
+    return shared * 100 >= (F.col(f"{a}n") + F.col(f"{b}n") - shared) * percent
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of the set no other set of the table has."""
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node").to_pylist(), batch.column("values").to_pylist()):
+                own = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([node] * len(own), pa.binary()), pa.array(own)],
+                                                 names=["node", "value"])
+
+    once = sets.mapInArrow(values, "node binary, value bigint").groupBy("value").agg(
+        F.first("node").alias("node"), F.count(F.lit(1)).alias("sets")).filter("sets = 1")
+    return once.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
 def _described(nodes: DataFrame, prefix: str) -> DataFrame:
     return nodes.select(*[F.col(c).alias(prefix + c) for c in ("node", "n", "bits_0", "bits_1")])
 
@@ -203,7 +226,8 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
 
     weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
     weighed = shared.select("key", "node").join(weight, "node")
-    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c")).select("key", F.col("c.node").alias("b"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))  # limited before it moves
+    centre = weighed.withColumn("place", place).filter(F.col("place") <= CENTRES).select("key", F.col("node").alias("b"))
     around = shared.select("key", F.col("node").alias("a")).join(staging.staged(centre, "centres"), "key")
     pairs = around.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = (pairs.join(_described(nodes, "a_").withColumnRenamed("a_node", "a"), "a")
@@ -211,12 +235,11 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
              .filter(_plausible("a_", "b_", percent)).select("a", "b"))
     pairs = staging.staged(pairs, "pairs")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = staging.staged(_sets_of(docs, nodes.join(ends, "node").select("doc_id", "node"), size), "sets")
-        return staging.staged(_exact(pairs, sets, percent), "links")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return staging.staged(_sets_of(docs, nodes.join(wanted, "node").select("doc_id", "node"), size), "sets")
 
-    links = verified(pairs)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    links = staging.staged(_exact(pairs, sets_of(ends), percent), "links")
     parts = components(links)
 
     # what shares a key across components and was not paired with a centre
@@ -224,18 +247,23 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     placed = shared.select("key", "node").join(parts.withColumnRenamed("u", "node"), "node", "left").select(
         "key", "node", label.alias("part"))
     open_keys = placed.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y")
-    placed = placed.join(open_keys.select("key"), "key", "left_semi").join(
-        nodes.select("node", "n", "bits_0", "bits_1"), "node")
-    placed = staging.staged(placed, "open")
+    placed = staging.staged(placed.join(open_keys.select("key"), "key", "left_semi"), "open")
+    if placed.isEmpty():
+        return rows, parts
+    sets = sets_of(placed.select("node").distinct())
+    own = staging.staged(_own_shingles(sets), "own")
+    placed = placed.join(nodes.select("node", "n", "bits_0", "bits_1", "bands"), "node").join(own, "node", "left").withColumn(
+        "own", F.coalesce("own", F.lit(0)))
     left = placed.select("key", *[F.col(c).alias(f"a_{c}") for c in placed.columns if c != "key"])
     right = placed.select("key", *[F.col(c).alias(f"b_{c}") for c in placed.columns if c != "key"])
     rest = left.join(right, (left["key"] == right["key"]) & (F.col("a_node") < F.col("b_node"))
-                     & (F.col("a_part") != F.col("b_part")) & _plausible("a_", "b_", percent))
-    rest = rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+                     & (F.col("a_part") != F.col("b_part")) & _plausible("a_", "b_", percent)
+                     & _reachable("a_", "b_", percent)  # and once, under the least key that both have:
+                     & (left["key"] == F.array_min(F.array_intersect("a_bands", "b_bands"))))
+    rest = rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).join(pairs, ["a", "b"], "left_anti")
     rest = staging.staged(rest, "rest")
     if not rest.isEmpty():
-        links = links.union(verified(rest))
-        parts = components(links)
+        parts = components(links.union(_exact(rest, sets, percent)))
     return rows, parts
 
 
