@@ -116,20 +116,24 @@ class Block:
         rank = np.empty(len(words), "<u4")
         rank[order] = np.arange(len(words), dtype="<u4")
         for at in range(0, len(self.docs), 1000):
-            part = self.docs[at : at + 1000]
-            yield _batch([(block, "doc", None, d, packed(rank[p]), None) for d, p in part])
+            ids, places = zip(*self.docs[at : at + 1000])
+            yield _batch([(block, "docs", None, ids, packed(rank[np.concatenate(places)]),
+                           packed([len(p) for p in places]))])
         group = np.fromiter((zlib.crc32(w.encode()) % groups for w in words), np.int64, len(words))
         ranked = order[np.argsort(group[order], kind="stable")]  # by group, the commonest words first
         bounds = np.searchsorted(group[ranked], np.arange(groups + 1))
-        rows = [(block, "words", g, None, packed(rank[own]), pack_texts([words[i].encode() for i in own.tolist()]))
+        rows = [(block, "words", g, None, packed(np.diff(rank[own], prepend=0)),
+                 pack_texts([words[i].encode() for i in own.tolist()]))
                 for g in range(groups) if len(own := ranked[bounds[g] : bounds[g + 1]])]
         if rows:
             yield _batch(rows)
 
 
-_ROWS = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("word_group", pa.int32()), ("doc_id", pa.int64()),
-                   ("places", pa.binary()), ("words", pa.binary())])
-_ROWS_DDL = "block bigint, kind string, word_group int, doc_id bigint, places binary, words binary"
+#: Kind "docs": some documents, the ranks of their words end to end, and how many words each has. Kind "words":
+#: the words of a group, the commonest first, and the steps between their ranks.
+_ROWS = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("word_group", pa.int32()),
+                   ("doc_ids", pa.list_(pa.int64())), ("places", pa.binary()), ("words", pa.binary())])
+_ROWS_DDL = "block bigint, kind string, word_group int, doc_ids array<bigint>, places binary, words binary"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -177,12 +181,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def put_together(docs: pa.Table, words: pa.Table) -> pa.Table:
         ids_of: dict[int, bytes] = {}
         for places, lengths, ids in zip(*(words[c].to_pylist() for c in ("places", "lengths", "ids"))):
-            ids_of.update(zip(unpacked(places).tolist(), cut(unpacked(ids).tobytes(), 4 * unpacked(lengths).astype(int))))
-        ids = [b"".join(map(ids_of.__getitem__, unpacked(p).tolist())) for p in docs["places"].to_pylist()]
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                         "ids": pa.array(ids, pa.binary())})
-
-    return table.filter("kind = 'doc'").groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
+            ranks = np.cumsum(unpacked(places), dtype=np.int64)
+            ids_of.update(zip(ranks.tolist(), cut(unpacked(ids).tobytes(), 4 * unpacked(lengths).astype(int))))
+        doc_ids, ids = [], []
+        for some, places, sizes in zip(*(docs[c].to_pylist() for c in ("doc_ids", "places", "words"))):
+            doc_ids += some
+            ends = np.cumsum(unpacked(sizes), dtype=np.int64)
+            ids += [b"".join(map(ids_of.__getitem__, own.tolist())) for own in np.split(unpacked(places), ends[:-1])]
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()),
+                         "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())})
+
+    return table.filter("kind = 'docs'").groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
         put_together, "doc_id bigint, n_tokens bigint, ids binary")
 
 
