@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Common words of four languages, the anchors of spots.
@@ -73,40 +73,44 @@ def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
     return exact if at_least <= 0 else F.when(bound < at_least, F.lit(0.0)).otherwise(exact)
 
 
-def beside_next(rows: DataFrame) -> tuple[DataFrame, WindowSpec]:
-    """``rows`` (doc_id, _tie, ...) laid out so that ``lead`` over the returned
-    window is the row after, by ascending doc_id (after the last row: the first).
-    Rows with ``_guest`` set are copies, to be dropped after the window.
+def _following_spans(rows: DataFrame) -> DataFrame:
+    """(_span, _after): the next span that has rows (after the last: the first)."""
+    spans = rows.select("_span").distinct().withColumn("_wide", F.floor(F.col("_span") / 4096))
+    wide = spans.groupBy("_wide").agg(F.min("_span").alias("_first"))  # one row per 4096 spans
+    order = Window.orderBy("_wide")
+    ends = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wide = wide.select("_wide", F.coalesce(F.lead("_first").over(order), F.first("_first").over(ends)).alias("_after_wide"))
+    after = F.lead("_span").over(Window.partitionBy("_wide").orderBy("_span"))
+    return spans.withColumn("_after", after).join(wide, "_wide").select(
+        "_span", F.coalesce("_after", "_after_wide").alias("_after"))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """doc_id, _text, _own, _next_text, _next: each text and its signatures, and
+    those of the row after, by ascending doc_id (after the last: the first).
 
-    Rows lie together by spans of ids; the first row of each span is copied to
-    the end of the span before. Spans are small, so no task orders many rows.
+    Rows lie together by spans of ids, moved once. Inside a span the row after
+    comes from a window; the last row of a span, one in some hundred, is joined
+    with the first row of the next span.
     """
-    span = F.coalesce(F.floor(F.col("doc_id") / ID_SPAN), F.lit(-(1 << 60)))
-    rows = rows.withColumn("_span", span)
-    firsts = rows.groupBy("_span").agg(F.min("doc_id").alias("_first"))
-    firsts = firsts.withColumn("_wide", F.floor(F.col("_span") / 4096))
-    wide = firsts.groupBy("_wide").agg(F.max("_span").alias("_last"))
-    order = Window.orderBy("_wide")  # one row per 4096 spans
-    ends = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wide = wide.select("_wide", F.coalesce(F.lag("_last").over(order), F.last("_last").over(ends)).alias("_before_wide"))
-    before = F.lag("_span").over(Window.partitionBy("_wide").orderBy("_span"))
-    firsts = firsts.withColumn("_before", before).join(wide, "_wide").select(
-        F.col("_span"), "_first", F.coalesce("_before", "_before_wide").alias("_before"))
-    guests = (rows.join(firsts.withColumnRenamed("_span", "_own"),
-                        (F.col("_span") == F.col("_own")) & F.col("doc_id").eqNullSafe(F.col("_first")))
-              .withColumn("_span", F.col("_before")).withColumn("_guest", F.lit(True)))
-    both = rows.withColumn("_guest", F.lit(False)).unionByName(guests.drop("_own", "_first", "_before"))
-    return both, Window.partitionBy("_span").orderBy("_guest", "doc_id", "_tie")
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    rows = rows.withColumn("_tie", F.xxhash64("_text")).withColumn(
+        "_span", F.coalesce(F.floor(F.col("doc_id") / ID_SPAN), F.lit(-(1 << 60))))
+    window = Window.partitionBy("_span").orderBy("doc_id", "_tie")
+    together = rows.repartition("_span")
+    inside = with_signatures(together, F.col("_text"), "_own").select(
+        "doc_id", "_text", "_own", F.lead("_text").over(window).alias("_next_text"), F.lead("_own").over(window).alias("_next"))
+    lasts = together.withColumn("_more", F.lead("_tie").over(window)).filter("_more IS NULL")
+    firsts = together.withColumn("_place", F.row_number().over(window)).filter("_place = 1").select(
+        F.col("_span").alias("_after"), F.col("_text").alias("_next_text"))
+    edges = lasts.join(_following_spans(rows), "_span").join(firsts, "_after").select("doc_id", "_text", "_next_text")
+    edges = with_signatures(with_signatures(edges, F.col("_text"), "_own"), F.col("_next_text"), "_next")
+    return inside.filter("_next_text IS NOT NULL").unionByName(edges)
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next per row."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    rows, window = beside_next(rows.withColumn("_tie", F.xxhash64("_text")))
-    rows = with_signatures(rows.repartition("_span"), F.col("_text"), "_own")
-    rows = (rows.withColumn("_next_text", F.lead("_text").over(window))
-            .withColumn("_next", F.lead("_own").over(window)).filter(~F.col("_guest"))
-            .withColumn("n_chars", F.length("_text").cast("bigint")))
+    rows = with_next(docs).withColumn("n_chars", F.length("_text").cast("bigint"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.col("_text").substr(F.lit(1), F.col("n_chars").cast("int") - cut),
                       F.col("_next_text").substr(F.lit(1), cut))
