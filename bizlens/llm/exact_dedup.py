@@ -49,7 +49,8 @@ class DigestIndex:
 
     def add(self, batch: DataFrame) -> None:
         """Appends the digests of ``batch`` (digest, doc_id) that the index lacks."""
-        new = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
+        # written, else the anti-join is pushed below the aggregation and moves every row of a hot digest
+        new = staging.staged(batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), "batch")
         fresh = new.join(self.read().hint("merge").select("digest"), "digest", "left_anti")
         (fresh.select("digest", "keep_id").repartition(self.buckets, "digest").write.mode("append")
          .format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
