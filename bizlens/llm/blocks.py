@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from bizlens.llm import staging
 
 #: Bytes of a block, about: bounds the memory of a task, whatever the size of its partition.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def text_blocks(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,11 +87,9 @@ def stretches(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     texts that lie end to end and end at ``ends``."""
     starts_out, sizes_out, marks_out = [], [], []
     last = len(text) - LENGTH
-    no_start = np.zeros(len(text) + 1, np.int32)  # strings that would cross the end of a text
-    begins = np.concatenate([[0], ends[:-1]])
-    np.add.at(no_start, np.maximum(begins, ends - LENGTH + 1), 1)
-    np.add.at(no_start, ends, -1)
-    valid = np.cumsum(no_start)[:-1] == 0
+    valid = np.ones(len(text), bool)  # not for strings that would cross the end of their text
+    for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        valid[max(begin, end - LENGTH + 1) : end] = False
     for at in range(0, last + 1, CHUNK):
         to = min(at + CHUNK, last + 1)  # strings at .. to - 1
         marks = _sliding_min(_gram_hashes(text[at : to + LENGTH - 1]), LENGTH - GRAM + 1)
@@ -350,7 +348,7 @@ def _sort_group(rows: pa.Table) -> pa.Table:
                   block=pa.int64(), part=pa.int32(), owners=pa.binary())
 
 
-def _cut(rows: pa.Table, side: pa.Table, groups: int) -> pa.Table:
+def _cut(rows: pa.Table, side: pa.Table, groups: int, as_text: bool) -> pa.Table:
     is_flag = pc.is_valid(side["shared"])
     block = _with_shared(rows, side.filter(is_flag), groups)
     number, first = block.distinct_stretches()
@@ -364,24 +362,29 @@ def _cut(rows: pa.Table, side: pa.Table, groups: int) -> pa.Table:
     owner = np.repeat(block.owner, block.size)
     gone = least[_places(at_number[number], block.size)] < owner
     strings = _places(block.first, block.size)[gone]
-    # strings never leave their text
-    change = np.bincount(strings, minlength=len(block.text) + 1) - np.bincount(strings + LENGTH, minlength=len(block.text) + 1)
-    removed = np.cumsum(change)[:-1] > 0
+    # a byte is covered if one of the LENGTH strings up to it goes; strings never leave their text
+    going = np.zeros(len(block.text), bool)
+    going[strings] = True
+    so_far = np.cumsum(going, dtype=np.int32)
+    removed = so_far > 0
+    removed[LENGTH:] = so_far[LENGTH:] > so_far[:-LENGTH]
     kept, n_removed, n_spans = [], [], []
     for end, n in zip(block.ends.tolist(), block.lengths.tolist()):
         own = removed[end - n : end]
-        kept.append(block.text[end - n : end][~own].tobytes())
-        n_removed.append(n - len(kept[-1]))
+        left = block.text[end - n : end][~own].tobytes()
+        kept.append(left.decode("utf-8", "ignore") if as_text else left)
+        n_removed.append(n - len(left))
         n_spans.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()))
     rows = rows.combine_chunks()
     return pa.table({"doc_id": rows["doc_id"], "rest": rows["rest"], "n_bytes": pa.array(block.lengths),
                      "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()),
-                     "kept": pa.array(kept, pa.binary())})
+                     "kept": pa.array(kept, pa.string() if as_text else pa.binary())})
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) and ``rest``, a
-    struct of the columns ``carry``, per row."""
+def remove_repeats(docs: DataFrame, carry: list[str] = (), as_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left; ``as_text``: their
+    text, without characters that are there in part) and ``rest``, a struct of
+    the columns ``carry``, per row."""
     table = text_blocks(docs, carry)
     groups = GROUPS * staging.shuffle_partitions(docs.sparkSession)
     small = table.select("block", "doc_id", "text")
@@ -395,8 +398,9 @@ def remove_repeats(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
         owners.withColumn("shared", F.lit(None).cast("binary")))
     out = T.StructType([T.StructField("doc_id", T.LongType()), table.schema["rest"],
                         *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
-                        T.StructField("kept", T.BinaryType())])
-    return table.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(lambda a, b: _cut(a, b, groups), out)
+                        T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
+    return table.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(
+        lambda a, b: _cut(a, b, groups, as_text), out)
 
 
 def repeats_of_documents(docs: DataFrame) -> DataFrame:
@@ -409,16 +413,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     there) as it is then. A character that a cut leaves in part goes as well. A
     null text stays null."""
     carried = Carried(docs)
-    cut = remove_repeats(carried.rows, carried.carry)
-    text = F.when(F.col("n_removed") > 0, whole_characters(F.col("kept"))).otherwise(F.decode("kept", "UTF-8"))
-    return carried.put_back(cut, text)
-
-
-def whole_characters(data: Column) -> Column:
-    """The text of UTF-8 bytes without the characters that are there in part."""
-
-    @F.pandas_udf("string")
-    def read(kept):
-        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return read(data)
+    return carried.put_back(remove_repeats(carried.rows, carried.carry, as_text=True), F.col("kept"))
