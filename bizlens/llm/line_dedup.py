@@ -6,8 +6,10 @@ tokens, then the first ``LEAD`` tokens. In a leaf, lines of at least
 ``LEAST_TOKENS`` tokens that agree with a template on ``SIMILAR`` of the places
 join it, and where they differ becomes a variable field (lines in the order of
 their text, best template first); shorter lines are templates as they are. A
-leaf with more than ``LEAF_LINES`` different lines is one template whose places
-after the leading tokens vary.
+leaf with more than ``LEAF_LINES`` different lines is taken apart first, which
+changes no template: lines that agree on ``SIMILAR`` of the places agree on all
+places of one of a few segments, so what no chain of equal segments connects is
+worked on apart, and a line without such a partner is a template as it is.
 
 A template recurs if it occurs in at least ``MIN_DOCS`` unlike documents. Copies
 of one document are not unlike: documents whose other lines have the same
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,7 @@ from pyspark.sql import types as T
 
 from bizlens.llm import staging
 from bizlens.llm.blocks import Carried, text_blocks
+from bizlens.llm.components import components
 
 MIN_DOCS = 10
 LEAD, LEAST_TOKENS, SIMILAR, LEAF_LINES = 4, 6, 0.8, 5000
@@ -111,6 +115,26 @@ def _long_lines(rows: pa.Table, groups: int) -> pa.Table:
                      "text": pa.array(list(lines), pa.string())})
 
 
+def segments(n: int) -> list[slice]:
+    """The places after the leading tokens in one part more than lines of ``n`` tokens
+    may differ in, so that two lines of a template agree on all of one part."""
+    parts = int(n * (1 - SIMILAR) + 1e-9) + 1
+    ends = [LEAD + (n - LEAD) * k // parts for k in range(parts + 1)]
+    return [slice(a, b) for a, b in zip(ends, ends[1:])]
+
+
+def _segment_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(line, key): a row per segment of a line."""
+    for batch in batches:
+        lines, keys = [], []
+        for leaf, text in zip(batch.column("leaf").to_pylist(), batch.column("text").to_pylist()):
+            tokens = text.split(" ")
+            own = [_hash(f"{leaf} {k} " + " ".join(tokens[at])) for k, at in enumerate(segments(len(tokens)))]
+            lines += [_hash(text)] * len(own)
+            keys += own
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(keys, pa.int64())], names=["line", "key"])
+
+
 def templates_of(lines: list[str]) -> list[tuple[str, str]]:
     """(line, template) for the lines of a leaf that share a template with another line."""
     lines = sorted(set(lines))
@@ -119,15 +143,20 @@ def templates_of(lines: list[str]) -> list[tuple[str, str]]:
     table = np.array([[codes.setdefault(t, len(codes)) for t in x] for x in tokens], np.int64)
     kinds = np.empty_like(table)  # the templates; -1: a variable field
     members: list[list[int]] = []
+    parts = segments(table.shape[1])
+    founded: dict[tuple[int, bytes], list[int]] = {}  # segment -> the templates whose first line has it
     for k, line in enumerate(table):
-        n = len(members)
-        like = (kinds[:n] == line).mean(1) if n else np.zeros(0)
-        if n and like.max() >= SIMILAR:
-            best = int(like.argmax())
+        keys = [(i, line[at].tobytes()) for i, at in enumerate(parts)]
+        near = sorted({t for key in keys for t in founded.get(key, ())})
+        like = (kinds[near] == line).mean(1) if near else np.zeros(0)
+        if near and like.max() >= SIMILAR:
+            best = near[int(like.argmax())]
             kinds[best][kinds[best] != line] = -1
             members[best].append(k)
         else:
-            kinds[n] = line
+            for key in keys:
+                founded.setdefault(key, []).append(len(members))
+            kinds[len(members)] = line
             members.append([k])
     words = [*codes, FIELD]
     return [(lines[k], " ".join(words[c] for c in kinds[t])) for t, own in enumerate(members) if len(own) > 1 for k in own]
@@ -161,19 +190,40 @@ def _drop(rows: pa.Table, drops: pa.Table) -> pa.Table:
                      "n_dropped": pa.array(n_dropped, pa.int64()), "kept": pa.array(kept, pa.string())})
 
 
+def _taken_apart(lines: DataFrame, groups: int) -> DataFrame:
+    """The lines of full leaves that have a segment in common with another line; their
+    ``leaf`` is now what a chain of common segments connects."""
+    keys = staging.staged(lines.mapInArrow(_segment_keys, "line bigint, key bigint").distinct(), "segments")
+    first = keys.groupBy("key").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    edges = keys.join(first, "key").filter("line <> first").select(F.col("line").alias("a"), F.col("first").alias("b"))
+    parts = components(staging.staged(edges.distinct(), "alike"))
+    parts = parts.select(F.col("u").alias("line"), "v").unionByName(
+        parts.select(F.col("v").alias("line"), "v").distinct())
+    named = lines.select("text").distinct().mapInArrow(_with_hash, "line bigint, text string").join(parts, "line")
+    return named.select(F.pmod("v", F.lit(groups)).cast("int").alias("part"), F.col("v").alias("leaf"), "text")
+
+
+def _with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text")
+        yield pa.RecordBatch.from_arrays([pa.array([_hash(t) for t in texts.to_pylist()], pa.int64()), texts],
+                                         names=["line", "text"])
+
+
 def line_templates(table: DataFrame, uses: DataFrame) -> DataFrame:
-    """line, template, pattern (null in a leaf that is one template) for lines
-    whose template is not the line itself."""
+    """line, template, pattern for lines whose template is not the line itself."""
     groups = GROUPS * staging.shuffle_partitions(table.sparkSession)
     full = uses.select("leaf", "line").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("n") > LEAF_LINES).select("leaf")
     full = staging.staged(full, "full-leaves")
     lines = table.select("block", "text").groupBy("block").applyInArrow(
         lambda t: _long_lines(t, groups), "part int, leaf bigint, text string")
-    grown = lines.join(full, "leaf", "left_anti").groupBy("part").applyInArrow(
-        _grow, "line bigint, template bigint, pattern string")
-    whole = uses.join(full, "leaf").select("line", F.col("leaf").alias("template"), F.lit(None).cast("string").alias("pattern"))
-    return staging.staged(grown.unionByName(whole.distinct()), "templates")
+    if not full.isEmpty():
+        lines = staging.staged(lines, "long-lines")
+        apart = _taken_apart(lines.join(full, "leaf", "left_semi").select("part", "leaf", "text"), groups)
+        lines = lines.join(full, "leaf", "left_anti").select("part", "leaf", "text").unionByName(apart)
+    grown = lines.groupBy("part").applyInArrow(_grow, "line bigint, template bigint, pattern string")
+    return staging.staged(grown, "templates")
 
 
 def drop_recurring(docs: DataFrame, carry: list[str] = (), min_docs: int = MIN_DOCS) -> DataFrame:

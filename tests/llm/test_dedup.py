@@ -238,6 +238,41 @@ def test_a_full_leaf_is_one_template(spark, monkeypatch):
     assert got == {i: int(i > 0) for i in range(60)}
 
 
+def test_a_full_leaf_takes_alike_lines_only(spark, monkeypatch):
+    """Lines of one lead and length: some are alike, most have no line alike; at any size of a leaf the same goes."""
+    rnd = random.Random(9)
+    rows = []
+    for i in range(60):
+        asked = "what is the capital of " + " ".join(f"{words(rnd, 1, 10 ** 6)}" for _ in range(4))
+        said = f"what is the capital of trade in {words(rnd, 1, 10 ** 6)} today"
+        other = " ".join(words(rnd, 1, 10 ** 6) for _ in range(9))
+        rows.append((i, "\n".join([other, asked, said] if i % 2 else [other, asked])))
+    want = {i: int(i % 2 and i > 1) for i in range(60)}
+    for full in (line_dedup.LEAF_LINES, 20):
+        monkeypatch.setattr(line_dedup, "LEAF_LINES", full)
+        got = {r.doc_id: r.n_dropped for r in line_dedup.lines_of_documents(table(spark, rows)).collect()}
+        assert got == want
+
+
+def test_templates_by_segments_are_those_of_all_lines():
+    """The search by segments finds what a comparison with every template finds."""
+    rnd = random.Random(10)
+    for n in (6, 9, 10, 15):
+        lines = sorted({"a b c d " + " ".join(rnd.choice("xyz") for _ in range(n - 4)) for _ in range(200)})
+        kinds, members = [], []
+        for line in lines:
+            like = [sum(x == y for x, y in zip(t, line.split(" "))) / n for t in kinds]
+            if like and max(like) >= line_dedup.SIMILAR:
+                best = like.index(max(like))
+                kinds[best] = [x if x == y else None for x, y in zip(kinds[best], line.split(" "))]
+                members[best].append(line)
+            else:
+                kinds.append(line.split(" "))
+                members.append([line])
+        want = {x: " ".join(t or line_dedup.FIELD for t in kind) for kind, own in zip(kinds, members) if len(own) > 1 for x in own}
+        assert dict(line_dedup.templates_of(lines)) == want and len(want) > 5
+
+
 def test_lines_messy(messy, empty):
     out = line_dedup.without_recurring(messy, min_docs=2)
     assert out.dtypes == messy.dtypes
