@@ -11,9 +11,9 @@ changes no template: lines that agree on ``SIMILAR`` of the places agree on all
 places of one of a few segments, so what no chain of equal segments connects is
 worked on apart, and a line without such a partner is a template as it is.
 
-A template recurs if it occurs in at least ``MIN_DOCS`` unlike documents. Copies
-of one document are not unlike: documents whose other lines have the same
-smallest hash count once (of ``KEYS`` hashes, the one that tells most apart). A
+A template recurs if it occurs in at least ``MIN_DOCS`` unlike documents. Documents
+with the same set of lines, copies of one, count once (by a digest of the set);
+documents that differ in a line count each, however many lines they share. A
 recurring line stays in the document with the smallest doc_id that has it and
 is dropped from all others.
 
@@ -42,7 +42,6 @@ from bizlens.llm.components import components
 
 MIN_DOCS = 10
 LEAD, LEAST_TOKENS, SIMILAR, LEAF_LINES = 4, 6, 0.8, 5000
-KEYS = 3
 #: Groups of leaves per shuffle partition.
 GROUPS = 4
 FIELD = "<*>"
@@ -70,19 +69,13 @@ def leaf_of(line: str) -> int:
     return _hash(f"{n} " + (" ".join(line.split(" ", LEAD)[:LEAD]) if n >= LEAST_TOKENS else line))
 
 
-def _other_keys(hashes: np.ndarray) -> np.ndarray:
-    """[line, key]: the smallest hash, under KEYS orders, among the other lines of the document."""
-    out = np.zeros((len(hashes), KEYS), np.int64)
-    for k in range(KEYS if len(hashes) > 1 else 0):
-        x = hashes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
-        x = (x ^ (x >> np.uint64(31 + k))) * np.uint64(0xBF58476D1CE4E5B9)
-        first, second = np.partition(x, 1)[:2]
-        out[:, k] = np.where(x == first, second, first).view(np.int64)
-    return out
+def _digest(hashes: np.ndarray) -> int:
+    """Of the set of a document's lines."""
+    return int.from_bytes(hashlib.blake2b(np.sort(hashes).tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 _USES = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int64()), ("leaf", pa.int64()),
-                   *[(f"key_{k}", pa.int64()) for k in range(KEYS)]])
+                   ("lines", pa.int64())])
 
 
 def _uses(rows: pa.Table) -> pa.Table:
@@ -101,8 +94,7 @@ def _uses(rows: pa.Table) -> pa.Table:
         columns["doc_id"] += [_NO_ID if doc_id is None else doc_id] * len(lines)
         columns["line"] += own.tolist()
         columns["leaf"] += [leaves[m][1] for m in lines]
-        for k, key in enumerate(_other_keys(own).T):
-            columns[f"key_{k}"] += key.tolist()
+        columns["lines"] += [_digest(own)] * len(lines)
     return pa.table(columns, schema=_USES)
 
 
@@ -238,12 +230,9 @@ def drop_recurring(docs: DataFrame, carry: list[str] = (), min_docs: int = MIN_D
     often = named.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     often = staging.staged(often.filter(F.col("n") >= min_docs).select("template", "first"), "often")
     candidates = staging.staged(named.join(often, "template"), "candidates")
-    unlike = None
-    for k in range(KEYS):  # the pairs first, so that a template in most documents is counted in many tasks
-        n = candidates.select("template", f"key_{k}").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"))
-        unlike = n if unlike is None else unlike.unionByName(n)
-    recurring = staging.staged(unlike.groupBy("template").agg(F.max("n").alias("n")).filter(
-        F.col("n") >= min_docs).select("template"), "recurring")
+    # the pairs first, so that a template in most documents is counted in many tasks
+    unlike = candidates.select("template", "lines").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"))
+    recurring = staging.staged(unlike.filter(F.col("n") >= min_docs).select("template"), "recurring")
     drops = candidates.filter(F.col("doc_id") > F.col("first")).join(recurring, "template").select("block", "doc_id", "line")
     out = T.StructType([T.StructField("doc_id", T.LongType()), table.schema["rest"],
                         *[T.StructField(c, T.LongType()) for c in ("n_lines", "n_dropped")],

@@ -273,6 +273,16 @@ def test_templates_by_segments_are_those_of_all_lines():
         assert dict(line_dedup.templates_of(lines)) == want and len(want) > 5
 
 
+@pytest.mark.parametrize("docs, shared, own", [(12, 20, 1), (30, 20, 2), (12, 5, 3)])
+def test_a_block_of_shared_lines_recurs(spark, docs, shared, own):
+    """Navigation beside a document's own paragraphs goes from all documents but the first."""
+    rnd = random.Random(12)
+    block = [words(rnd, 4, 10 ** 6) for _ in range(shared)]
+    rows = [(i, "\n".join(block + [words(rnd, 80, 10 ** 6) for _ in range(own)])) for i in range(docs)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.lines_of_documents(table(spark, rows)).collect()}
+    assert got == {i: shared if i else 0 for i in range(docs)}
+
+
 def test_lines_messy(messy, empty):
     out = line_dedup.without_recurring(messy, min_docs=2)
     assert out.dtypes == messy.dtypes
