@@ -4,19 +4,21 @@ Fitting. Examples are a bounded sample of the rows that may be learned from, as
 many toxic as not (``EXAMPLES`` of each); of those that share one of ``KEYS``
 smallest hashes of five-word shingles, copies of each other, the first counts,
 else the words of one much-copied text would look telling. The vocabulary is
-the terms whose presence depends on the label (G-test, at least ``MIN_G2``) and
-whose shares among toxic and other examples differ by a factor of ``MIN_RATIO``,
-and one term that stands for every other word, so that a single telling word in
-a long text weighs less than several. Inverse document frequencies are counted
-over all documents. The examples'
+all terms of the examples, and one term that stands for the words no example
+has. Terms whose presence depends on the label (G-test, at least ``MIN_G2``) and
+whose shares among toxic and other examples differ by a factor of ``MIN_RATIO``
+are telling; all others weigh ``QUIET`` of their TF-IDF, so that telling terms
+decide where a text has some, and the rest of the words where it has none.
+Inverse document frequencies are counted over all documents. The examples'
 TF-IDF vectors of unit length go to an inverted index in blocks of ``BLOCK``
 examples; of each term and block it keeps the largest weight.
 
 Scoring. A text's vector and the block maxima bound its cosine with any example
 of a block; blocks are searched by falling bound until no bound reaches the
 ``NEIGHBOURS``-th best cosine, so the nearest examples are exact (ties go to the
-smaller doc_id). Their labels vote, weighted by the squared cosine. A text with
-no telling term is judged by the share of toxic ones among the examples alike.
+smaller doc_id). Their labels vote, weighted by the squared cosine. Only a text
+that shares no term with any example is judged without a search, by the share of
+toxic ones among the examples that have no telling term either.
 Votes become probabilities by isotonic regression on leave-one-out votes of the
 examples, weighted back to the shares of the labels among all learned rows.
 
@@ -31,8 +33,9 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +47,12 @@ from bizlens.llm.minhash import _WordHashes, shingle_set, signatures
 
 #: Bound of the labelled sample: examples of either label.
 EXAMPLES = 2000
-#: Evidence that a term must give on the label, and the most terms kept, the strongest first.
+#: Evidence that a telling term must give on the label, and the most telling terms, the strongest first.
 MIN_G2, MIN_RATIO, MAX_TERMS = 20.0, 4.0, 4000
-NEIGHBOURS, BLOCK = 15, 64
+#: Weight of the terms that are not telling.
+QUIET = 0.1
+#: ``SEARCHED``: blocks that are searched at once, at first.
+NEIGHBOURS, BLOCK, SEARCHED = 15, 64, 4
 KEYS = 4
 TOXIC_FROM = 0.7
 
@@ -134,41 +140,51 @@ def document_frequencies(docs: DataFrame, vocabulary: set[str]) -> tuple[dict[st
                                          names=["term", "n"])
 
     parts = docs.select("text").mapInArrow(count, "term string, n bigint")
-    n = {r["term"]: r["n"] for r in parts.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    counted = parts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most the vocabulary
+    n = dict(zip(counted["term"].to_pylist(), counted["n"].to_pylist()))
     return n, n.pop("", 0)
 
 
+def _ranges(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges [first, end), one after the other, and how many each has."""
+    n = end - first
+    return np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n), n
+
+
 class Examples:
     """Labelled unit vectors behind a block-max inverted index."""
 
-    #: Stands for all words outside the vocabulary; every document may hold it.
+    #: Stands for all words outside the vocabulary; a document may hold it.
     OTHER = ""
 
-    def __init__(self, idf: dict[str, float], rows: list[tuple[int, int, dict[str, int]]]):
-        """rows: doc_id, toxic and the counts of terms, ``OTHER`` included."""
+    def __init__(self, idf: dict[str, float], rows: list[tuple[int, int, dict[str, int]]],
+                 telling: Iterable[str] | None = None):
+        """rows: doc_id, toxic and the counts of terms, ``OTHER`` included; telling: all terms by default."""
         self.number = {t: k for k, t in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
         rows = sorted(rows, key=lambda r: r[0])
         bare = [r for r in rows if not set(r[2]) - {self.OTHER}]
-        self.bare = [r[1] for r in bare]
-        # those without a telling term have one vector, so the nearest of them are the first by doc_id
+        telling = set(idf if telling is None else telling) - {self.OTHER}
+        self.bare = [r[1] for r in rows if telling.isdisjoint(r[2])]
+        # those without a term have one vector, so the nearest of them are the first by doc_id
         chosen = {r[0] for r in bare[: NEIGHBOURS + 1]} | {r[0] for r in rows if set(r[2]) - {self.OTHER}}
         vectors = [(r, *self.vector(r[2])) for r in rows if r[0] in chosen]
         # alike examples share blocks, so that a block's bound is tight; ties are settled by doc_id below
         self.kept = kept = sorted((v for v in vectors if len(v[1])), key=lambda v: (int(v[1][v[2].argmax()]), v[0][0]))
         self.ids = np.array([r[0] for r, *_ in kept], np.int64)
         self.toxic = np.array([r[1] for r, *_ in kept], np.float64)
-        blocks = -(-len(kept) // BLOCK)
-        self.postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(blocks)]
-        self.maxima = np.zeros((len(self.idf), blocks))
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for k, (_, at, weight) in enumerate(kept):
-            for t, w in zip(at.tolist(), weight.tolist()):
-                lists.setdefault((k // BLOCK, t), []).append((k % BLOCK, w))
-        for (b, t), posting in lists.items():
-            places, weights = map(np.array, zip(*posting))
-            self.postings[b][t] = (places, weights)
-            self.maxima[t, b] = weights.max()
+        # postings by term and place; entries: the postings of a term in a block
+        at = np.concatenate([v[1] for v in kept] or [np.zeros(0, np.int64)])
+        place = np.repeat(np.arange(len(kept)), [len(v[1]) for v in kept])
+        order = np.lexsort((place, at))
+        at, self.place = at[order], place[order]
+        self.weight = np.concatenate([v[2] for v in kept] or [np.zeros(0)])[order]
+        block = self.place // BLOCK
+        new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.zeros(0, np.int64)
+        self.block, self.first = block[new], np.append(new, len(at))
+        self.maxima = np.maximum.reduceat(self.weight, new) if len(at) else np.zeros(0)
+        self.entries = np.searchsorted(at[new], np.arange(len(self.idf) + 1))
+        self.blocks = -(-len(kept) // BLOCK)
 
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights of unit length."""
@@ -180,23 +196,26 @@ class Examples:
     def nearest(self, at: np.ndarray, weight: np.ndarray, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The places and cosines of the ``NEIGHBOURS`` nearest examples that share a
         term, nearest first. ``without``: a doc_id that doesn't count."""
-        bound = weight @ self.maxima[at]
-        places, cosines, least = [], [], 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(places) >= NEIGHBOURS and bound[b] < least - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(at.tolist(), weight.tolist()):
-                if t in self.postings[b]:
-                    inside, weights = self.postings[b][t]
-                    scores[inside] += w * weights
+        entries, n = _ranges(self.entries[at], self.entries[at + 1])
+        block, w = self.block[entries], np.repeat(weight, n)
+        bound = np.bincount(block, w * self.maxima[entries], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        rank = np.empty(self.blocks, np.int64)
+        rank[order] = np.arange(self.blocks)
+        places, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
+        done, step = 0, SEARCHED
+        while done < self.blocks and bound[order[done]] > 0 and (len(places) < NEIGHBOURS or bound[order[done]] >= least - 1e-9):
+            now = (rank[block] >= done) & (rank[block] < done + step)
+            inside, n = _ranges(self.first[entries[now]], self.first[entries[now] + 1])
+            scores = np.bincount(self.place[inside], np.repeat(w[now], n) * self.weight[inside], len(self.ids))
             found = np.flatnonzero(scores > 0)
-            places += [p for p in (found + b * BLOCK).tolist() if self.ids[p] != without]
-            cosines += [s for p, s in zip((found + b * BLOCK).tolist(), scores[found].tolist()) if self.ids[p] != without]
+            found = found[self.ids[found] != without] if without is not None else found
+            places, cosines = np.append(places, found), np.append(cosines, scores[found])
             if len(places) >= NEIGHBOURS:
                 least = np.partition(cosines, -NEIGHBOURS)[-NEIGHBOURS]
-        order = np.lexsort((self.ids[places] if places else [], -np.round(cosines, 12)))[:NEIGHBOURS]
-        return np.array(places, np.int64)[order], np.array(cosines)[order]
+            done, step = done + step, 2 * step
+        order = np.lexsort((self.ids[places], -np.round(cosines, 12)))[:NEIGHBOURS]
+        return places[order], cosines[order]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         return float((cosines ** 2 * self.toxic[places]).sum() / (cosines ** 2).sum())
@@ -275,24 +294,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not size[0] or not size[1]:
         return Model(None, share)
     chosen = choose_terms(examples, size)
-    if not chosen:
-        return Model(None, share)
-    found, all_docs = document_frequencies(docs, set(chosen))
-    idf = {t: math.log((1 + all_docs) / (1 + found.get(t, 0))) + 1 for t in chosen} | {Examples.OTHER: 1.0}
-    kept = F.filter(F.arrays_zip("terms", "counts"), lambda x: x["terms"].isin(list(chosen)))
-    total = F.aggregate("counts", F.lit(0), lambda a, x: a + x)
     vectors = []  # of about 2 * EXAMPLES rows
-    for r in examples.select("doc_id", "toxic", kept.alias("kept"), total.alias("total")).collect():
-        counts_of = {x["terms"]: x["counts"] for x in r["kept"]}
-        others = r["total"] - sum(counts_of.values())
-        vectors.append((r["doc_id"], r["toxic"], counts_of | ({Examples.OTHER: others} if others else {})))
+    for batch in examples.select("doc_id", "toxic", "terms", "counts").toArrow().to_batches(max_chunksize=64):
+        for doc_id, toxic, own, n in zip(*(c.to_pylist() for c in batch.columns)):
+            vectors.append((doc_id, toxic, dict(zip(map(sys.intern, own), n))))
+    vocabulary = set().union(*(c for _, _, c in vectors))
+    found, all_docs = document_frequencies(docs, vocabulary)
+    idf = {t: (math.log((1 + all_docs) / (1 + found.get(t, 0))) + 1) * (1.0 if t in chosen else QUIET) for t in vocabulary}
+    idf[Examples.OTHER] = QUIET
     weights = {k: counts[k] / size[k] / sum(counts.values()) * (size[0] + size[1]) for k in (0, 1)}
-    return Model(Examples(idf, vectors), share, weights)
+    return Model(Examples(idf, vectors, chosen), share, weights)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence per row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES and MAX_TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of EXAMPLES
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         struct = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])

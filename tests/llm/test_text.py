@@ -161,6 +161,23 @@ def test_toxicity_held_out(spark, empty):
     assert toxicity.toxicity_of_documents(empty, labels_df).count() == 0
 
 
+def test_texts_without_a_telling_term_are_searched(spark):
+    """A near copy of a labelled toxic example whose words are too rare to be telling."""
+    docs, labels = labelled(600, 3)
+    rnd = random.Random(13)
+    rare = [" ".join(words(rnd, 1, 10 ** 7) for _ in range(40)) for _ in range(5)]
+    learned = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 != 1][:5]
+    docs += list(zip(learned, rare)) + [(2000 + k, t + " and more") for k, t in enumerate(rare)]
+    labels += [(i, 1, 1) for i in learned]
+    labels_df = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity_of_documents(table(spark, docs), labels_df).collect()}
+    plain = np.mean([got[d].score for d, _, y in labels[:600] if not y])
+    for k, i in enumerate(learned):
+        assert got[2000 + k].evidence[0].doc_id == i and got[2000 + k].evidence[0].similarity > 0.9
+        assert got[2000 + k].score > plain
+    assert all(got[d].evidence for d, _ in docs)
+
+
 def test_nearest_is_exact():
     rnd = random.Random(5)
     idf = {f"t{k}": 1 + rnd.random() * 5 for k in range(30)} | {toxicity.Examples.OTHER: 1.0}
