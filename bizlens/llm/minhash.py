@@ -3,9 +3,10 @@
 Words are runs between ASCII white space, A-Z in lower case; a document's set
 holds its distinct runs of ``SHINGLE`` words (fewer words: the one run).
 
-1. A set's signature is the minima of ``BANDS * ROWS`` universal hashes
-   (``a * x + b`` modulo 2**64). ``ROWS`` minima make the key of a band; two
-   sets of Jaccard 0.85 miss each other in every band once in a million times.
+1. A set's signature is the minima of ``HASHES`` universal hashes
+   (``a * x + b`` modulo 2**64). A few minima make the key of a band, as many as
+   let two sets of the least Jaccard miss each other in every band no more than
+   once in a million times (five for 0.85, four for 0.8).
    Equal sets are one class from here on.
 2. Of the classes that share a key, each is paired with the ``CENTRES`` that share
    most keys with others: pairs in proportion to members, whatever the size of a group.
@@ -36,21 +37,35 @@ from bizlens.llm import staging
 from bizlens.llm.components import components
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
+HASHES = 120
 CENTRES = 4
 #: Least Jaccard of a link, in percent.
 PERCENT = 85
-#: Of BANDS * ROWS bits, a pair of Jaccard 0.85 differs in 9 on average, standard deviation 2.9.
-MOST_BITS = 26
+#: The most that a pair of the least Jaccard may be missed, about.
+MISSED = 1e-6
 #: Words whose hashes a task remembers; shingles hashed at once, about.
 REMEMBERED, CHUNK = 500_000, 1 << 16
 
 _random = np.random.Generator(np.random.PCG64(20240229))
-_FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSETS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+_FACTORS = _random.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+_OFFSETS = _random.integers(0, 1 << 63, HASHES, np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows: the most rows with which a pair of this Jaccard is missed at most ``MISSED`` of the time."""
+    rows = 1
+    while rows < HASHES and (1 - (percent / 100) ** (rows + 1)) ** (HASHES // (rows + 1)) <= MISSED:
+        rows += 1
+    return HASHES // rows, rows
+
+
+def most_bits(percent: int) -> int:
+    """Six standard deviations above the bits, of HASHES, in which a pair of this Jaccard differs on average."""
+    p = (1 - percent / 100) / 2
+    return int(HASHES * p + 6 * (HASHES * p * (1 - p)) ** 0.5)
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
@@ -81,17 +96,18 @@ def shingle_set(text: str | None, hashes: _WordHashes, size: int = SHINGLE) -> n
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """[set, hash]: the minima; the sets must not be empty."""
     values, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), BANDS * ROWS), np.uint64)
-    for k in range(BANDS * ROWS):
+    out = np.empty((len(sets), HASHES), np.uint64)
+    for k in range(HASHES):
         out[:, k] = np.minimum.reduceat(values * _FACTORS[k] + _OFFSETS[k], starts)
     return out
 
 
-def band_keys(minima: np.ndarray) -> np.ndarray:
-    out = np.empty((len(minima), BANDS), np.uint64)
-    for b in range(BANDS):
+def band_keys(minima: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    bands, rows = banding(percent)
+    out = np.empty((len(minima), bands), np.uint64)
+    for b in range(bands):
         key = np.full(len(minima), b, np.uint64)
-        for k in range(b * ROWS, (b + 1) * ROWS):
+        for k in range(b * rows, (b + 1) * rows):
             key = _mixed(key * _MIX + minima[:, k])
         out[:, b] = key
     return out.view(np.int64)
@@ -100,7 +116,7 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
 def bits(minima: np.ndarray) -> np.ndarray:
     """[set, 2]: a middle bit of every minimum."""
     bit = (minima >> np.uint64(20)) & np.uint64(1)
-    half = BANDS * ROWS // 2
+    half = HASHES // 2
     weight = np.uint64(1) << np.arange(half, dtype=np.uint64)
     return np.stack([(bit[:, :half] * weight).sum(1), (bit[:, half:] * weight).sum(1)], 1).view(np.int64)
 
@@ -109,7 +125,7 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def sketch(docs: DataFrame, size: int) -> DataFrame:
+def sketch(docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, node (a digest of the set; null if empty), bands, bits_0, bits_1."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("bits_0", pa.int64()), ("bits_1", pa.int64())])
@@ -119,7 +135,7 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
         bands, bit = [None] * len(sets), np.zeros((len(sets), 2), np.int64)
         if some:
             minima = signatures([sets[k] for k in some])
-            for k, b in zip(some, band_keys(minima)):
+            for k, b in zip(some, band_keys(minima, percent)):
                 bands[k] = b
             bit[some] = bits(minima)
         return pa.RecordBatch.from_arrays(
@@ -150,7 +166,7 @@ def _plausible(a: str, b: str, percent: int) -> Column:
     na, nb = F.col(f"{a}n"), F.col(f"{b}n")
     differ = (F.bit_count(F.col(f"{a}bits_0").bitwiseXOR(F.col(f"{b}bits_0")))
               + F.bit_count(F.col(f"{a}bits_1").bitwiseXOR(F.col(f"{b}bits_1"))))
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ <= MOST_BITS)
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ <= most_bits(percent))
 
 
 def _reachable(a: str, b: str, percent: int) -> Column:
@@ -215,7 +231,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 def link_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and (u, v): node u belongs to the component of node v."""
     staging.ship_package(docs.sparkSession)
-    rows = staging.staged(sketch(docs, size), "sketch")
+    rows = staging.staged(sketch(docs, size, percent), "sketch")
     nodes = staging.staged(
         rows.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
             F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"),

@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from bizlens.llm import language_id, line_dedup, minhash, packing, staging, suffix_dedup
 from bizlens.llm.queries import tokenizer_path
 
+#: Least Jaccard of near-duplicates, in percent; op3_minhash has its own.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.drop_undetermined(docs)
@@ -27,7 +30,7 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, NEAR_PERCENT)
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """The corpus pipeline: each stage against what it promises, on its own input."""
 
 import os
+import random
 import subprocess
 import sys
 
 import corpus_pipeline
-from tests.llm.conftest import MESSY
+from bizlens.llm import minhash
+from tests.llm.conftest import MESSY, table, words
 from tests.llm.test_dedup import near_groups
 
 SF = "/root/testdata/sf0.001"
@@ -38,6 +40,26 @@ def test_stages(spark, tmp_path):
             assert max(r.offset + r.length for r in pieces) <= 2048
 
 
+def test_near_duplicates_from_eight_tenths(spark):
+    """Also at lower percentages, keys and bits follow the percentage."""
+    rnd = random.Random(21)
+    rows = []
+    for i in range(40):
+        base = words(rnd, 150, 10 ** 6).split(" ")
+        copy = list(base)
+        for k in range(1 + i % 6):
+            copy[10 + 12 * k] = f"edited{k}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    docs, gone = table(spark, rows), {}
+    for percent in (85, 80, 50):
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF) if percent == 80 else minhash.keep_first(docs, percent)
+        want = {d for d, (_, _, keep) in near_groups(rows, percent).items() if keep}
+        assert {r.doc_id for r in kept.collect()} == want
+        gone[percent] = len(rows) - len(want)
+    assert gone[85] < gone[80] < gone[50]
+    assert minhash.banding(85) == (24, 5) and minhash.most_bits(85) == 26
+
+
 def test_messy(spark, messy, empty):
     for docs, n in ((messy, len(MESSY)), (empty, 0)):
         for name, stage in corpus_pipeline.STAGES:
