@@ -12,9 +12,12 @@ from bizlens.llm import (
     exact_dedup,
     language_id,
     line_dedup,
+    merkle,
     minhash,
     packing,
+    resampling,
     sharding,
+    signature_tree,
     spotsigs,
     suffix_dedup,
     toxicity,
@@ -72,10 +75,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(documents(spark, sf_dir))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.jaccard_components(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_exact_dedup, op5_language_id, op6_spot_fingerprints,
-        op7_toxicity, op8_line_dedup, op9_best_fit_packing, op10_sharding)}
+        op7_toxicity, op8_line_dedup, op9_best_fit_packing, op10_sharding, op11_merkle_manifest, op12_importance_resampling,
+        op13_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
