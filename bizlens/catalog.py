@@ -173,6 +173,10 @@ def _ledger() -> dict[str, Query]:
         "month_calendar_balance": lambda sp, d: ledger.month_calendar_balance(T(sp, d)),
         "growth_share": lambda sp, d: ledger.growth_share(T(sp, d)),
         "data_allocation": lambda sp, d: ledger.data_allocation(T(sp, d)),
+        "running_balance": lambda sp, d: ledger.running_balance(T(sp, d)),
+        "balance_statistics": lambda sp, d: ledger.balance_statistics(T(sp, d)),
+        "allocation_by_month_end": lambda sp, d: ledger.allocation_by_month_end(T(sp, d)),
+        "allocation_in_real_time": lambda sp, d: ledger.allocation_in_real_time(T(sp, d)),
     }
 
 

@@ -3,9 +3,10 @@ the time to it, and the kind of change."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.scan import month_of, scan
 
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = 0, 1, 2, 3, 4
 
@@ -17,18 +18,12 @@ def customer_journey(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     After a trial: basic -> downgraded, pro monthly -> continued, pro annual
     -> upgraded, churn -> cancelled; later moves compare plan ids.
 
-    The window runs over distinct (customer, start, plan) rows, so its
-    per-customer input is bounded by the calendar, not by raw event volume.
+    Works on distinct (customer, start, plan) rows, in slices of a month.
     """
     names = plans.select("plan_id", "plan_name")
     subs = subscriptions.select("customer_id", "plan_id", "start_date").distinct()
-    w = Window.partitionBy("customer_id").orderBy("start_date", "plan_id")
-    steps = subs.select(
-        "customer_id", "plan_id", "start_date",
-        F.row_number().over(w).alias("step"),
-        F.lead("plan_id").over(w).alias("_next"),
-        F.lead("start_date").over(w).alias("_next_start"),
-    )
+    steps = scan(subs.withColumn("_month", month_of("start_date")), ["customer_id"], "_month", ["start_date", "plan_id"],
+                 sums={"step": F.lit(1)}, leads={"_next": "plan_id", "_next_start": "start_date"})
     cur, nxt = F.col("plan_id"), F.col("_next")
     after_trial = (F.when(nxt == BASIC, "downgraded").when(nxt == PRO_MONTHLY, "continued")
                    .when(nxt == PRO_ANNUAL, "upgraded").otherwise("continued"))

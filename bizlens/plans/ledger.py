@@ -5,6 +5,8 @@ Inputs: ``nodes(customer_id, region_id, node_id, start_date)``,
 ``txn(customer_id, txn_date, txn_type, txn_amount decimal)``.
 
 Month names carry no year (months of different years merge), as asked.
+Running balances and looks at the day before or after run in slices of a month
+(:mod:`bizlens.operators.scan`), so a customer may have any number of rows.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from bizlens.functions.dates import month_name
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.ranking import in_order
 from bizlens.operators.aggregate import percentile_disc, sum_if
+from bizlens.operators.scan import block_of, month_of, scan
 
 
 def unique_nodes(nodes: DataFrame) -> DataFrame:
@@ -60,9 +63,9 @@ def _gap_histogram(nodes: DataFrame) -> DataFrame:
     of the same day contribute gap 0.
     """
     days = nodes.groupBy("customer_id", "start_date", "region_id").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("customer_id").orderBy("start_date", "region_id")
-    gap = F.datediff("start_date", F.lag("start_date").over(w))
-    gaps = days.select("region_id", "_c", gap.alias("gap"))
+    days = scan(days.withColumn("_month", month_of("start_date")), ["customer_id"], "_month",
+                ["start_date", "region_id"], lags={"_before": "start_date"})
+    gaps = days.select("region_id", "_c", F.datediff("start_date", "_before").alias("gap"))
     # one pass: each day yields (gap to the previous day, 1) and (0, count - 1)
     parts = F.filter(F.array(F.struct(F.col("gap").alias("gap"), F.lit(1).cast("bigint").alias("w")),
                              F.struct(F.lit(0).alias("gap"), (F.col("_c") - 1).alias("w"))),
@@ -178,6 +181,108 @@ def growth_share(txn: DataFrame, threshold: float = 5.0, with_year: bool = False
     return last.agg((F.concat(share.cast("string"), F.lit("%")) if as_label else share).alias("growth_percentage"))
 
 
+def _balances(txn: DataFrame) -> DataFrame:
+    """(customer_id, month, day, k, balance, next_day, earlier): per customer and day with transactions their
+    number, the balance after them, the next such day, and the balance before them (NULL: none)."""
+    days = txn.groupBy("customer_id", month_of("txn_date").alias("month"), F.col("txn_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("k"), F.sum(_signed(txn)).alias("net"))
+    days = scan(days, ["customer_id"], "month", ["day"], sums={"balance": "net", "nth": F.lit(1)}, leads={"next_day": "day"})
+    return days.withColumn("earlier", F.when(F.col("nth") > 1, F.col("balance") - F.col("net"))).drop("nth", "net")
+
+
+def running_balance(txn: DataFrame) -> DataFrame:
+    """Every transaction with its customer's balance after it; the transactions of a day have no order among
+    them and share the balance after the day."""
+    days = _balances(txn).select("customer_id", F.col("day").alias("txn_date"), "balance")
+    return txn.join(days, ["customer_id", "txn_date"]).select(
+        "customer_id", "txn_date", "txn_type", F.col("txn_amount").cast("double").alias("txn_amount"),
+        F.col("balance").cast("double").alias("balance"))
+
+
+def balance_statistics(txn: DataFrame) -> DataFrame:
+    """Least, mean and largest balance after a transaction, per customer."""
+    mean = F.sum(F.col("k") * F.col("balance")) / F.sum("k")
+    per = _balances(txn).groupBy("customer_id").agg(
+        F.min("balance").cast("double").alias("minimum_balance"), rounded(mean, 2).alias("average_balance"),
+        F.max("balance").cast("double").alias("maximum_balance"))
+    return in_order(per, "customer_id")
+
+
+def _total_by_month(spans: DataFrame) -> DataFrame:
+    """(month, total_allocation) of ``spans`` (first, until, amount): each amount counts in the months from
+    ``first`` to the one before ``until``. A span costs two rows whatever its length: the amount comes in one
+    month and goes in another, and the months' sums are added up along the calendar."""
+    moves = F.explode(F.array(F.struct(F.col("first").alias("month"), F.col("amount").alias("by")),
+                              F.struct(F.col("until").alias("month"), (-F.col("amount")).alias("by"))))
+    moved = spans.select(moves.alias("m")).groupBy("m.month").agg(F.sum("m.by").alias("by"))
+    # from here on a row per month
+    ends = moved.agg(F.min("month").alias("a"), F.add_months(F.max("month"), -1).alias("b"))
+    calendar = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    total = calendar.join(moved, "month", "left").select("month", F.sum("by").over(so_far).alias("total"))
+    return in_order(total.select("month", rounded(F.coalesce("total", F.lit(0)), 1).alias("total_allocation")), "month")
+
+
+def _next_month(date: str) -> Column:
+    return F.add_months(F.trunc(date, "month"), 1)
+
+
+def _month_ends(days: DataFrame) -> DataFrame:
+    """Of ``_balances``, the last day of each month with transactions."""
+    return days.filter(F.col("next_day").isNull() | (F.trunc("next_day", "month") > F.col("month")))
+
+
+def _in_account(balance: Column | str) -> Column:
+    return F.greatest(F.col(balance) if isinstance(balance, str) else balance, F.lit(0))
+
+
+def allocation_by_month_end(txn: DataFrame) -> DataFrame:
+    """Monthly data need when each customer gets the balance at the end of the previous month (none if there is
+    no such month, or the balance is negative), summed per month. A customer counts from the first to the last
+    month with transactions; the balance of a month without any is that of the last one with some."""
+    held = _month_ends(_balances(txn)).select(
+        _next_month("day").alias("first"), F.coalesce(_next_month("next_day"), _next_month("day")).alias("until"),
+        _in_account("balance").alias("amount"))
+    start = txn.agg(F.trunc(F.min("txn_date"), "month").alias("first")).filter("first IS NOT NULL").select(
+        "first", F.add_months("first", 1).alias("until"), F.lit(0).alias("amount"))  # the calendar's first month
+    return _total_by_month(held.unionByName(start))
+
+
+def allocation_in_real_time(txn: DataFrame) -> DataFrame:
+    """Monthly data need when each customer's allocation follows the balance: the largest balance that the
+    customer has during the month (the one carried into it included, negative ones as 0), summed per month,
+    from the customer's first to the last month with transactions."""
+    days = _balances(txn)
+    peaks = days.groupBy("customer_id", "month").agg(
+        _in_account(F.max(F.greatest("balance", "earlier"))).alias("amount"))
+    busy = peaks.select(F.col("month").alias("first"), F.add_months("month", 1).alias("until"), "amount")
+    quiet = _month_ends(days).filter("next_day IS NOT NULL").select(  # the months between two with transactions
+        _next_month("day").alias("first"), F.trunc("next_day", "month").alias("until"), _in_account("balance").alias("amount"))
+    return _total_by_month(busy.unionByName(quiet))
+
+
+#: Ledger positions that one task places at a time.
+POSITIONS = 4096
+
+
+def _ledger_runs(txn: DataFrame, per_day: bool) -> DataFrame:
+    """The ledger as runs of rows with one balance: customer_id, month, day, k (rows of the day itself),
+    s and p (first and last position), b (balance), c (sum of all balances before the run)."""
+    rows_per_day = F.min(F.lit(1)).cast("long") if per_day else F.count(F.lit(1))
+    days = txn.groupBy("customer_id", month_of("txn_date").alias("month"), F.col("txn_date").alias("day")).agg(
+        rows_per_day.alias("k"), F.sum(_signed(txn)).alias("net"))
+    runs = scan(days, ["customer_id"], "month", ["day"], sums={"b": "net", "ks": "k", "nth": F.lit(1)},
+                leads={"next": "day"}, firsts={"first": "day"})
+    # positions before a day: the rows of the days with transactions, and one for each day without
+    s = F.col("ks") - F.col("k") + F.datediff("day", "first") - (F.col("nth") - 1) + 1
+    idle = F.coalesce(F.datediff("next", "day") - 1, F.lit(0))
+    runs = runs.select("customer_id", "month", "day", "k", F.col("b").cast("decimal(30,2)").alias("b"), s.alias("s"),
+                       (s + F.col("k") + idle - 1).alias("p"))
+    area = ((F.col("p") - F.col("s") + 1) * F.col("b")).cast("decimal(38,2)")
+    runs = scan(runs, ["customer_id"], "month", ["day"], sums={"upto": area})
+    return runs.withColumn("c", (F.col("upto") - area).cast("decimal(38,2)")).drop("upto")
+
+
 def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, per_day: bool = False) -> DataFrame:
     """Monthly data need when each customer gets the mean balance of the last
     ``window_rows`` ledger rows; no allocation before row ``min_rows``,
@@ -188,69 +293,61 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, p
     transaction day, except that a day with k transactions has k rows; all
     rows of a day carry the day's closing balance.
 
-    Computed without materialising that ledger. It is a run-length sequence:
-    run j = transaction day d_j with n_j = k_j + (empty days until the next
-    transaction day) rows, all holding balance B_j. For a row position t the
-    moving sum is sum_i overlap(run_i, [t - w + 1, t]) * B_i over the last
-    w + 1 runs (every run has at least one row). Inside one run the moving
-    mean is linear in t between the points where the window's oldest row
-    crosses a run boundary, so its maximum over any range of positions is
-    attained at the range ends or at those boundary points; the clamp at 0
-    is monotone. Per (run, month) only these few candidate positions are
-    evaluated. Work and shuffle grow with transaction days, not calendar
-    days, and every window runs over per-(customer, day) rows.
+    Computed without materialising that ledger. It is a sequence of runs: a
+    transaction day and the empty days after it, all at one balance, so C(t), the
+    sum of the balances up to position t, is linear from the end of a run to the end
+    of the next, and the moving sum is C(t) - C(t - w). The mean is monotone between
+    positions where t or t - w ends a run, or t is w; so is the clamp at 0. A
+    month's maximum therefore lies at a run's first or last position in the month,
+    at w, or w positions after the end of a run. Each of these knows one of C(t) and
+    C(t - w) from its own run; the other is that of the run it falls in, found by
+    carrying the runs forward over the positions. All of it runs in slices (months,
+    blocks of positions): no task has the whole of a customer.
     """
-    w_rows = window_rows
-    signed = txn.select("customer_id", F.col("txn_date").alias("day"), _signed(txn).alias("amt"))
-    rows_per_day = F.min(F.lit(1)).cast("long") if per_day else F.count(F.lit(1))
-    days = signed.groupBy("customer_id", "day").agg(rows_per_day.alias("k"), F.sum("amt").alias("_net"))
-    w = Window.partitionBy("customer_id").orderBy("day")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    runs = days.select(
-        "customer_id", "day", "k",
-        F.sum("_net").over(upto).cast("decimal(30,2)").alias("b"),
-        F.lead("day").over(w).alias("_next"),
-    )
-    runs = runs.withColumn("n", F.col("k") + F.coalesce(F.datediff("_next", "day") - 1, F.lit(0)))
-    runs = runs.withColumn("p", F.sum("n").over(upto))
-    runs = runs.withColumn("s", F.col("p") - F.col("n") + 1)
-    hist = F.collect_list(F.struct((F.col("s") - 1).alias("lo"), F.col("p").alias("hi"), F.col("b").alias("b"))
-                          ).over(w.rowsBetween(-w_rows - 1, 0))
-    runs = runs.withColumn("_h", hist)
-    last_day = F.date_add("day", (F.col("n") - F.col("k")).cast("int"))
-    months = F.sequence(F.trunc("day", "month"), F.trunc(last_day, "month"), F.expr("INTERVAL 1 MONTH"))
-    per = runs.select("customer_id", "day", "k", "n", "p", "s", "b", "_h", last_day.alias("_last"),
-                      F.explode(months).alias("month"))
-
-    def pos_of(date_col):  # first position carrying ``date_col`` (a date inside the run, after day)
-        return F.col("s") + F.col("k") - 1 + F.datediff(date_col, F.col("day"))
-
-    a = F.when(F.col("month") <= F.col("day"), F.col("s")).otherwise(pos_of(F.col("month")))
-    month_end = F.last_day("month")
-    b = F.when(month_end >= F.col("_last"), F.col("p")).otherwise(pos_of(month_end))
-    per = per.withColumn("_a", F.greatest(a, F.lit(min_rows).cast("long"))).withColumn("_b", b)
-    bounds = F.transform("_h", lambda h: h["hi"] + w_rows)
-    bounds2 = F.transform("_h", lambda h: h["hi"] + w_rows + 1)
-    cands = F.concat(F.array(F.col("_a"), F.col("_b"), F.lit(w_rows - 1).cast("long"), F.lit(w_rows).cast("long")),
-                     bounds, bounds2)
-    cands = F.filter(cands, lambda t: (t >= F.col("_a")) & (t <= F.col("_b")))
-
-    def mean_at(t):
-        lo = t - w_rows
-        total = F.aggregate(
-            "_h", F.lit(0).cast("decimal(30,2)"),
-            lambda acc, h: (acc + (F.greatest(F.lit(0).cast("long"), F.least(h["hi"], t) - F.greatest(h["lo"], lo))
-                                   * h["b"])).cast("decimal(30,2)"))
-        return total / F.least(t, F.lit(w_rows).cast("long"))
-
-    # Positions whose whole window lies inside the run all average to the run's
-    # balance; only the first positions of a run need the candidate evaluation
-    # (CASE branches are evaluated lazily).
-    evaluated = F.array_max(F.transform(cands, lambda t: F.greatest(mean_at(t).cast("double"), F.lit(0.0))))
-    best = (F.when(F.col("_a") > F.col("_b"), F.lit(None).cast("double"))
-            .when(F.col("_a") - (w_rows - 1) >= F.col("s"), F.greatest(F.col("b").cast("double"), F.lit(0.0)))
-            .otherwise(evaluated))
+    w = window_rows
+    s, p, b, c, lo, hi = (F.col(x) for x in ("s", "p", "b", "c", "lo", "hi"))
+    runs = _ledger_runs(txn, per_day)
+    last = F.date_add("day", (p - s + 1 - F.col("k")).cast("int"))
+
+    def position(date: Column) -> Column:  # the first position of a date after the run's day
+        return s + F.col("k") - 1 + F.datediff(date, "day")
+
+    months = F.sequence("month", F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))
+    first = F.when(F.col("m") <= F.col("day"), s).otherwise(position(F.col("m")))
+    spans = runs.select("*", F.explode(months).alias("m")).select(
+        "*", F.greatest(first, F.lit(min_rows).cast("bigint")).alias("lo"),
+        F.when(F.last_day("m") >= last, p).otherwise(position(F.last_day("m"))).alias("hi"))
+
+    def sum_to(t: Column) -> Column:  # C at a position of the run
+        return (c + (t - s + 1) * b).cast("decimal(38,2)")
+
+    nothing = F.lit(None).cast("decimal(38,2)")
+    run = F.struct("s", "p", "b", "c", "k", "day")
+
+    def event(at: Column, kind: str, known: Column = nothing) -> Column:
+        return F.struct(at.cast("bigint").alias("at"), F.lit(kind).alias("kind"), F.col("m").alias("month"),
+                        known.alias("known"), F.when(F.lit(kind == "run"), run).alias("run"))
+
+    def here(t: Column) -> Column:  # a position of the run in this month: C(t - w) is to be found
+        return F.when((t >= lo) & (t <= hi), event(t - w, "here", sum_to(t)))
+
+    starts = F.col("m") == F.col("month")
+    events = F.array(F.when(starts, event(s, "run")), F.when(starts, event(p + w, "ahead", sum_to(p))),
+                     F.coalesce(here(lo), event(F.lit(0), "here")), here(hi), here(F.lit(w).cast("bigint")))
+    events = F.array_distinct(F.filter(events, lambda e: e.isNotNull()))
+    found = spans.select("customer_id", F.explode(events).alias("e")).select("customer_id", "e.*").select(
+        "*", block_of(F.greatest("at", F.lit(0)), POSITIONS).alias("block"), (F.col("kind") != "run").alias("later"))
+    found = scan(found, ["customer_id"], "block", ["at", "later"], lasts={"of": "run"}).filter("kind <> 'run'")
+
+    at, of = F.col("at"), F.col("of")
+    reached = F.when(at > 0, (of["c"] + (at - of["s"] + 1) * of["b"]).cast("decimal(38,2)")).otherwise(0)
+    mean = F.when(F.col("kind") == "here", (F.col("known") - reached).cast("double") / F.least(at + w, F.lit(w)))
+    mean = mean.when((at <= of["p"]) & (at >= min_rows), (reached - F.col("known")).cast("double") / w)
+    date = F.date_add(of["day"], F.greatest(at - of["s"] - of["k"] + 1, F.lit(0)).cast("int"))
+    values = found.select(
+        "customer_id", "kind", F.when(F.col("kind") == "here", F.col("month")).otherwise(F.trunc(date, "month")).alias("month"),
+        mean.alias("mean")).filter("kind = 'here' OR mean IS NOT NULL")
     # summed as decimals: the sum of doubles would depend on their order
-    per_month = per.select("customer_id", "month", best.cast("decimal(30,6)").alias("_v")).groupBy(
-        "customer_id", "month").agg(F.max("_v").alias("_alloc"))
+    best = F.max(F.when(F.col("mean").isNotNull(), F.greatest("mean", F.lit(0.0)).cast("decimal(30,6)")))
+    per_month = values.groupBy("customer_id", "month").agg(best.alias("_alloc"))
     return in_order(per_month.groupBy("month").agg(rounded(F.sum("_alloc"), 1).alias("total_allocation")), "month")

@@ -185,3 +185,46 @@ def test_options(txn, spark):
     months = ledger.running_month_balance(txn, with_year=True)
     assert dict(months.dtypes)["month_"] == "date"
     assert ledger.growth_share(txn, with_year=True).count() == 1
+
+
+def brute_options(txn_rows):
+    """Per option the monthly totals, from every customer's balance on every day; and the balance statistics."""
+    import collections
+    import datetime as dt
+
+    moves = collections.defaultdict(lambda: collections.defaultdict(float))
+    count = collections.defaultdict(collections.Counter)
+    for c, d, kind, amount in txn_rows:
+        moves[c][d] += amount if kind == "deposit" else -amount
+        count[c][d] += 1
+    ends, real, stats = collections.Counter(), collections.Counter(), {}
+    for c, days in moves.items():
+        balance, seen, per_month, closing = 0.0, [], collections.defaultdict(list), 0.0
+        day, last = min(days).replace(day=1), max(days)
+        carried = None
+        while day <= last:
+            if day.day == 1:
+                ends[day] += max(carried or 0.0, 0.0)
+                per_month[day].append(carried or 0.0)
+            if day in days:
+                balance += days[day]
+                carried = balance
+                seen += [balance] * count[c][day]
+            per_month[day.replace(day=1)].append(carried or 0.0)
+            day += dt.timedelta(1)
+        for m, values in per_month.items():
+            real[m] += max(0.0, *values)
+        stats[c] = (min(seen), sum(seen) / len(seen), max(seen))
+    return ends, real, stats
+
+
+def test_allocation_options(spark, txn, txn_rows):
+    ends, real, stats = brute_options([(c, d, k, float(a)) for c, d, k, a in txn_rows])
+    assert dict(rows(ledger.allocation_by_month_end(txn))) == {m: pytest.approx(v, abs=0.051) for m, v in ends.items()}
+    assert dict(rows(ledger.allocation_in_real_time(txn))) == {m: pytest.approx(v, abs=0.051) for m, v in real.items()}
+    got = {r[0]: r[1:] for r in rows(ledger.balance_statistics(txn))}
+    assert got.keys() == stats.keys()
+    assert all(got[c] == tuple(pytest.approx(v, abs=0.006) for v in stats[c]) for c in got)
+    none = txn.filter("customer_id < 0")
+    for job in (ledger.allocation_by_month_end, ledger.allocation_in_real_time, ledger.balance_statistics, ledger.running_balance):
+        assert job(none).count() == 0

@@ -14,7 +14,7 @@ def _plan(df) -> str:
 
 def test_registry_complete():
     q, s = catalog.queries(), catalog.oracle_sql()
-    assert len(q) == 92
+    assert len(q) == 96
     assert set(q) == set(s)
     assert set(q) <= set(E.queries()) and set(s) <= set(E.oracle_sql())
 
