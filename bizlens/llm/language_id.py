@@ -32,8 +32,8 @@ from bizlens.llm import staging
 
 #: The bounds of the labelled sample: rows looked for and characters used, per label, and characters of one row.
 SAMPLE_ROWS, SAMPLE_CHARS, ROW_CHARS = 96, 16_000, 1_000
-#: Letters told apart; rarer ones count as one that no sample has.
-LETTERS = 120
+#: Letters of a label that are told apart; its rarer ones count as letters that it lacks.
+LETTERS = 250
 SEGMENT = 256
 #: Characters parsed at once, about.
 BATCH_CHARS = 4 << 20
@@ -110,13 +110,13 @@ class Model:
     def __init__(self, sample: dict[str, list[str]]):
         self.labels = sorted(sample)
         texts = {k: " ".join(sample[k])[:SAMPLE_CHARS] for k in self.labels}
-        count = Counter(c for t in texts.values() for c in t.lower() if c.isalpha())
-        self.letters = sorted(sorted(count), key=lambda c: -count[c])[:LETTERS]
-        n = len(self.letters) + 2  # class 0: no letter; class 1: an unknown letter
-        self.classes = self._classes()
-        self.tables, self.bits = [], []
+        self.letters, self.classes, self.tables, self.bits = [], [], [], []
         for k in self.labels:
-            codes = [c for c in self.classes[_points(texts[k])].tolist() if c != 1]
+            count = Counter(c for c in texts[k].lower() if c.isalpha())
+            self.letters.append(sorted(sorted(count), key=lambda c: -count[c])[:LETTERS])
+            self.classes.append(self._classes(self.letters[-1]))
+            n = len(self.letters[-1]) + 2  # class 0: no letter; class 1: an unknown letter
+            codes = [c for c in self.classes[-1][_points(texts[k])].tolist() if c != 1]
             steps = suffix_automaton(codes, n)
             unknown = len(steps)  # the state after a character that the sample lacks
             steps = np.vstack([steps, np.zeros((1, n), np.uint16)])
@@ -126,17 +126,18 @@ class Model:
             self.tables.append(table.astype(np.uint16).ravel())
             self.bits.append(math.log2(max(2, len(codes))))
 
-    def _classes(self) -> np.ndarray:
+    @staticmethod
+    def _classes(letters: list[str]) -> np.ndarray:
         """The class of every code point, by its lower case."""
         out = _is_letter().astype(np.uint8)
-        for k, c in enumerate(self.letters):
+        for k, c in enumerate(letters):
             for x in {c, c.upper(), c.title()}:
                 if len(x) == 1:
                     out[ord(x)] = k + 2
         return out
 
-    def phrases(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """[text, label]: phrases of texts that lie end to end in ``codes``."""
+    def phrases(self, points: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """[text, label]: phrases of texts whose code points lie end to end."""
         parts = -(-lengths // SEGMENT)
         text = np.repeat(np.arange(len(lengths)), parts)
         inside = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -145,14 +146,16 @@ class Model:
         order = np.argsort(-size, kind="stable")
         text, start, size = text[order], start[order], size[order]
         active = len(size) - np.searchsorted(size[::-1], np.arange(SEGMENT), "right")
-        n, out = np.int32(len(self.letters) + 2), np.zeros((len(lengths), len(self.tables)), np.int64)
+        out = np.zeros((len(lengths), len(self.tables)), np.int64)
+        labels = [(classes[points], table, np.int32(len(letters) + 2))
+                  for classes, table, letters in zip(self.classes, self.tables, self.letters)]
         states = [np.zeros(len(size), np.int32) for _ in self.tables]
         counts = [np.ones(len(size), np.int32) for _ in self.tables]
         for t in range(int(size[0]) if len(size) else 0):
             k = active[t]
-            c = codes[start[:k] + t].astype(np.int32)
-            for table, state, count in zip(self.tables, states, counts):
-                v = table.take(state[:k] * n + c)
+            at = start[:k] + t
+            for (codes, table, n), state, count in zip(labels, states, counts):
+                v = table.take(state[:k] * n + codes[at])
                 count[:k] += v >> 15
                 state[:k] = v & (self.CUT - 1)
         for k, count in enumerate(counts):
@@ -165,7 +168,7 @@ class Model:
         ends = np.cumsum(lengths)
         seen = np.concatenate([[0], np.cumsum(_is_letter()[points])])
         known = (seen[ends] > seen[ends - lengths]) if len(texts) else np.zeros(0, bool)
-        cost = self.phrases(self.classes[points], lengths) * np.array(self.bits)
+        cost = self.phrases(points, lengths) * np.array(self.bits)
         best = cost.argmin(1)
         share = 1 / np.exp2(np.maximum(cost.min(1, keepdims=True) - cost, -1000)).sum(1)
         return [self.labels[b] if k else UNDETERMINED for b, k in zip(best, known)], np.where(known, share, 0.0)
@@ -223,8 +226,12 @@ def language_of_documents(docs: DataFrame) -> DataFrame:
 
 
 def drop_undetermined(docs: DataFrame) -> DataFrame:
-    """The rows whose text has a language, all columns as they were."""
+    """The rows whose text has a language, all columns as they were. Where nothing is labelled there is no
+    language to tell, and the rows whose text has a letter stay."""
     names = [f"_c{k}" for k in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
-    kept = identify(rows, fit(docs), names).filter(F.col("lang_pred") != UNDETERMINED)
+    if (model := fit(docs)) is None:
+        kept = rows.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    else:
+        kept = identify(rows, model, names).filter(F.col("lang_pred") != UNDETERMINED)
     return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])

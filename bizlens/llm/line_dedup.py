@@ -19,8 +19,9 @@ is dropped from all others.
 
 Defined results: a null text has no lines and stays null; blank lines are never
 templates and stay; a document that would lose all its lines stays as it is; a
-null doc_id counts as larger than all ids; rows with equal ids count as one
-document; an empty table gives an empty result; other columns are carried along
+null doc_id counts as larger than all ids; rows with equal ids count each by its
+own set of lines, and lines that recur stay in all of them if theirs is the
+smallest id; an empty table gives an empty result; other columns are carried along
 or left aside.
 """
 

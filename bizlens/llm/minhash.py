@@ -19,13 +19,15 @@ holds its distinct runs of ``SHINGLE`` words (fewer words: the one run).
 
 Defined results: a document without words has an empty set and is its own
 component; so is a row with a null doc_id, whose component_id is null and which
-is kept; rows that repeat a doc_id are one node if their texts give one set; an
-empty table gives an empty result; other columns are left aside.
+is kept; rows that repeat a doc_id are one node if their texts give one set, and
+else are kept or dropped each by its own text; an empty table gives an empty
+result; other columns are left aside.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,11 +128,11 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, node (a digest of the set; null if empty), bands, bits_0, bits_1."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
+    """doc_id, text_hash, n_shingles, node (a digest of the set; null if empty), bands, bits_0, bits_1."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("bits_0", pa.int64()), ("bits_1", pa.int64())])
 
-    def rows(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+    def rows(ids: list, texts: list, sets: list[np.ndarray]) -> pa.RecordBatch:
         some = [k for k, s in enumerate(sets) if len(s)]
         bands, bit = [None] * len(sets), np.zeros((len(sets), 2), np.int64)
         if some:
@@ -139,26 +141,28 @@ def sketch(docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
                 bands[k] = b
             bit[some] = bits(minima)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+            [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(bit[:, 0]), pa.array(bit[:, 1])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            ids, sets, held = [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, texts, sets, held = [], [], [], 0
+            for doc_id, text, text_hash in zip(*(c.to_pylist() for c in batch.columns)):
                 ids.append(doc_id)
+                texts.append(text_hash)
                 sets.append(shingle_set(text, hashes, size))
                 held += len(sets[-1])
                 if held >= CHUNK:
-                    yield rows(ids, sets)
-                    ids, sets, held = [], [], 0
+                    yield rows(ids, texts, sets)
+                    ids, texts, sets, held = [], [], [], 0
             if ids:
-                yield rows(ids, sets)
+                yield rows(ids, texts, sets)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, bits_0 bigint, bits_1 bigint")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text)).mapInArrow(
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, bands array<bigint>, bits_0 bigint, bits_1 bigint")
 
 
 def _plausible(a: str, b: str, percent: int) -> Column:
@@ -283,19 +287,27 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     return rows, parts
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
+def _decided(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept for every row."""
     rows, parts = link_documents(docs, percent, size)
-    placed = rows.select("doc_id", "n_shingles", "node").join(parts.withColumnRenamed("u", "node"), "node", "left")
-    placed = staging.staged(placed.select("doc_id", "n_shingles", F.coalesce("v", "node").alias("part")), "placed")
+    placed = rows.select("doc_id", "text_hash", "n_shingles", "node").join(parts.withColumnRenamed("u", "node"), "node", "left")
+    placed = staging.staged(placed.select("doc_id", "text_hash", "n_shingles", F.coalesce("v", "node").alias("part")), "placed")
     first = staging.staged(placed.filter("part IS NOT NULL").groupBy("part").agg(F.min("doc_id").alias("first")), "first")
     least = F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id"))
     return placed.join(first, "part", "left").select(
-        "doc_id", "n_shingles", least.alias("component_id"),
+        "doc_id", "text_hash", "n_shingles", least.alias("component_id"),
         F.coalesce(F.col("doc_id") == least, F.lit(True)).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    return _decided(docs, percent, size).drop("text_hash")
+
+
 def keep_first(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs``, unchanged, whose document is the first of its component."""
-    gone = near_duplicates(docs, percent, size).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs["doc_id"] == F.col("_gone"), "left_anti")
+    doc_id, text = (f"{c}_{uuid.uuid4().hex}" for c in ("doc_id", "text"))  # names that no column of docs has
+    gone = _decided(docs, percent, size).filter("NOT kept").select(
+        F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text)).distinct()
+    same = (docs["doc_id"].cast("bigint") == gone[doc_id]) & (F.xxhash64(docs["text"].cast("string")) == gone[text])
+    return docs.join(gone, same, "left_anti")

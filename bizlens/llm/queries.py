@@ -14,6 +14,7 @@ from bizlens.llm import (
     line_dedup,
     merkle,
     minhash,
+    oracle,
     packing,
     resampling,
     sharding,
@@ -95,10 +96,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op4_exact_dedup": """
-            WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
-            SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-                   doc_id = max(doc_id) OVER g AS kept, text_sha256
-            FROM d WINDOW g AS (PARTITION BY text_sha256)""",
-    }
+    return dict(oracle.SQL)

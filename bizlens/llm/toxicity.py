@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from bizlens.llm import staging
 from bizlens.llm.minhash import _WordHashes, shingle_set, signatures
 
-#: Bound of the labelled sample: examples of either label.
-EXAMPLES = 2000
+#: Bounds of the labelled sample: examples of either label, and characters of one.
+EXAMPLES, ROW_CHARS = 2000, 20_000
 #: Evidence that a telling term must give on the label, and the most telling terms, the strongest first.
 MIN_G2, MIN_RATIO, MAX_TERMS = 20.0, 4.0, 4000
 #: Weight of the terms that are not telling.
@@ -76,7 +76,8 @@ def learned_labels(labels: DataFrame) -> DataFrame:
 def sample_examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """About ``EXAMPLES`` learned rows of either label, those with the smallest
     hash of doc_id, and how many rows each label has."""
-    learned = learned_labels(labels)
+    # labels of documents that are not there say nothing about how many there are
+    learned = staging.staged(learned_labels(labels).join(docs.select("doc_id"), "doc_id", "left_semi"), "learned")
     counts = {r["toxic"]: r["n"] for r in learned.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     chance = F.xxhash64(F.lit("toxicity"), F.col("doc_id")).bitwiseAND(F.lit((1 << 32) - 1)) / F.lit(float(1 << 32))
     share = F.lit(0.0)
@@ -84,7 +85,7 @@ def sample_examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict
         if counts.get(label):
             share = F.when(F.col("toxic") == label, F.lit(EXAMPLES / counts[label])).otherwise(share)
     picked = F.broadcast(learned.filter(chance < share))  # about 2 * EXAMPLES ids
-    return docs.select("doc_id", "text").join(picked, "doc_id"), counts
+    return docs.select("doc_id", F.substring("text", 1, ROW_CHARS).alias("text")).join(picked, "doc_id"), counts
 
 
 def copy_keys(texts: list[str | None]) -> list[list[int]]:

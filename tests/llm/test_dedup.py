@@ -26,7 +26,8 @@ def test_exact_messy(messy, empty):
     want = []
     for t, ids in groups.items():
         keep = max((d for d in ids if d is not None), default=None)
-        want += [(d, keep, len(ids), d is not None and d == keep, sha(t.encode())) for d in ids]
+        first = ids.index(None) if keep is None else -1  # one row stays where no row has an id
+        want += [(d, keep, len(ids), k == first or (d is not None and d == keep), sha(t.encode())) for k, d in enumerate(ids)]
     assert got == sorted(want, key=str)
     assert exact_dedup.dedup(empty).count() == 0
 
@@ -53,6 +54,24 @@ def test_index_persists(spark, corpus):
     assert again.read().count() == n + 1
 
 
+def test_index_keeps_its_buckets(spark):
+    """An index written with one number of partitions is found whole with another."""
+    docs = table(spark, [(k, f"text number {k}") for k in range(200)])
+    path = staging.run_path(spark, "index-test")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("8", "4", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert exact_dedup.dedup(docs, path).filter("kept").count() == 200
+            assert exact_dedup.DigestIndex.open(spark, path, 99).read().count() == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    bare = staging.run_path(spark, "index-test")
+    spark.range(1).selectExpr("unhex('00') AS digest", "id AS keep_id").write.parquet(bare)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex.open(spark, bare, 8)
+
+
 # --- minhash ---------------------------------------------------------------
 
 def shingles(t):
@@ -116,6 +135,15 @@ def test_minhash_messy(messy, empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.keep_first(empty).count() == 0
 
 
+def test_keep_first_tells_rows_of_an_id_apart(spark):
+    rnd = random.Random(31)
+    a, b = words(rnd, 30), words(rnd, 30)
+    docs = table(spark, [(1, a), (7, a), (7, b)]).withColumnRenamed("source", "_gone").withColumnRenamed("block", "text_hash")
+    kept = minhash.keep_first(docs)
+    assert kept.dtypes == docs.dtypes
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, a), (7, b)])
+
+
 def test_components(spark):
     rnd = random.Random(3)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(500 + i, 501 + i) for i in range(40)]
@@ -230,14 +258,6 @@ def test_lines_of_copies_are_left_to_other_operators(spark):
     assert got[100] == (3, 0) and all(got[100 + i] == (3, 1) for i in range(1, 12))
 
 
-def test_a_full_leaf_is_one_template(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "LEAF_LINES", 20)
-    rnd = random.Random(8)
-    rows = [(i, f"{words(rnd, 8)}\nuser logged in from {words(rnd, 3)}\n{words(rnd, 8)}") for i in range(60)]
-    got = {r.doc_id: r.n_dropped for r in line_dedup.lines_of_documents(table(spark, rows)).collect()}
-    assert got == {i: int(i > 0) for i in range(60)}
-
-
 def test_a_full_leaf_takes_alike_lines_only(spark, monkeypatch):
     """Lines of one lead and length: some are alike, most have no line alike; at any size of a leaf the same goes."""
     rnd = random.Random(9)

@@ -86,10 +86,11 @@ def test_phrases_brute_force():
               {"x": "abc de", "y": "xyz é"}.items()}
     model = language_id.Model(sample)
     texts = ["".join(rnd.choice("abcxyzéq1 Z") for _ in range(rnd.randint(0, 700))) for _ in range(40)] + ["", "ω"]
-    codes, lengths = model.classes[language_id._points("".join(texts))], np.array([len(t) for t in texts])
-    got = model.phrases(codes, lengths)
+    points, lengths = language_id._points("".join(texts)), np.array([len(t) for t in texts])
+    got = model.phrases(points, lengths)
     for t, row in zip(texts, got.tolist()):
-        want = [brute_phrases(t, " ".join(sample[k])[:language_id.SAMPLE_CHARS], set(model.letters)) for k in model.labels]
+        want = [brute_phrases(t, " ".join(sample[k])[:language_id.SAMPLE_CHARS], set(own))
+                for k, own in zip(model.labels, model.letters)]
         assert row == want
 
 
@@ -128,6 +129,24 @@ def test_language_messy(spark, messy):
         (d, t) for d, t, *_ in MESSY if t and any(c.isalpha() for c in t))
 
 
+def test_letters_are_those_of_each_label(spark):
+    """Labels with alphabets of their own are told apart, whatever the other labels' letters."""
+    rnd = random.Random(17)
+    alphabets = {lang: [chr(0x4E00 + 150 * k + i) for i in range(150)] for k, lang in enumerate(("aa", "bb", "cc"))}
+    alphabets["dd"] = list("etaoinshrdlu")
+    rows = [(k, " ".join("".join(rnd.choices(alphabets[lang], k=4)) for _ in range(25)), lang)
+            for k in range(240) for lang in [list(alphabets)[k % 4]]]
+    got = {r.doc_id: r.lang_pred for r in language_id.language_of_documents(table(spark, rows)).collect()}
+    assert got == {d: lang for d, _, lang in rows}
+
+
+def test_a_corpus_without_labels_keeps_its_documents(spark):
+    rows = [(1, "plain words", None), (2, "été 12", None), (3, "12 34 !", None), (4, None, None), (5, "漢字", None)]
+    docs = table(spark, rows)
+    kept = language_id.drop_undetermined(docs)
+    assert kept.dtypes == docs.dtypes and {r.doc_id for r in kept.collect()} == {1, 2, 5}
+
+
 # --- toxicity --------------------------------------------------------------
 
 def labelled(n, seed):
@@ -369,3 +388,13 @@ def test_movement_is_confined(spark):
             assert 4 <= b < 8  # into the rack
         else:
             assert b == 5  # into the shard
+
+
+def test_labels_without_a_document_count_for_nothing(spark):
+    docs, labels = labelled(300, 4)
+    more = [(10 ** 6 + k, 0, 0) for k in range(20_000)]
+    scores = []
+    for rows in (labels, labels + more):
+        df = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+        scores.append({r.doc_id: r.score for r in toxicity.toxicity_of_documents(table(spark, docs), df).collect()})
+    assert scores[0] == scores[1]
