@@ -5,6 +5,8 @@ never has to be sorted inside one task.
   replaces ``RANK() OVER (PARTITION BY k ORDER BY v)``: the extreme, or the
   ranks of the distinct values, come from a partial aggregate and join back to
   the rows; Spark can split a hot key in that join. No row is ever copied.
+* ``keep_rank_one`` and ``rank_globally`` do the same without a key, where a
+  plain window sorts everything in one task.
 * ``top_k`` is a global ``ORDER BY ... LIMIT`` with a deterministic
   tie-break (TakeOrderedAndProject: per-partition top-k, then a merge).
 * ``in_order`` sorts a result with explicit NULL placement.
@@ -17,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bizlens.operators.scan import range_slices, scan
+
 
 def _attach(df: DataFrame, found: DataFrame, keys: Sequence[str], carry: str) -> DataFrame:
     """Joins ``carry`` of ``found`` (one row per ``keys``) to ``df``; NULL keys match."""
@@ -65,11 +69,33 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def keep_rank_one(df: DataFrame, order: Sequence[Column], dense: bool = False) -> DataFrame:
-    """Global ``RANK() OVER (ORDER BY ...) = 1`` -- use only on aggregated input
-    (one row per product / segment), never on raw facts."""
-    fn = F.dense_rank() if dense else F.rank()
-    return df.withColumn("_r", fn.over(Window.orderBy(*order))).filter("_r = 1").drop("_r")
+def keep_rank_one(df: DataFrame, value: str) -> DataFrame:
+    """Global ``RANK() OVER (ORDER BY value DESC) = 1``, ties kept: the rows that equal the largest value, which
+    is one aggregate (a row per task) and not a sort of everything in one task."""
+    return df.filter(F.col(value).eqNullSafe(df.agg(F.max(value)).scalar()))
+
+
+def global_ranks(df: DataFrame, value: str, out: str = "rank", descending: bool = False, dense: bool = False) -> DataFrame:
+    """(value, out): ``RANK()`` or ``DENSE_RANK() OVER (ORDER BY value)`` of every distinct value.
+
+    Rows are counted per value first, so ties are one row and cannot lie on both sides of a border; the values
+    are dealt by range into stored slices, ranked inside each, and moved on by the counts of the slices before.
+    """
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    slices = range_slices(counts, [], [value], "_slice")
+    upto = scan(slices, [], "_slice", [value], sums={"_rows": "_n", "_values": F.lit(1)})
+    if descending:  # what comes after going up comes before going down
+        total = slices.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("v"))
+        rows, values = total.select("n").scalar(), total.select("v").scalar()
+        rank = values - F.col("_values") + 1 if dense else rows - F.col("_rows") + 1
+    else:
+        rank = F.col("_values") if dense else F.col("_rows") - F.col("_n") + 1
+    return upto.select(value, rank.cast("bigint").alias(out))
+
+
+def rank_globally(df: DataFrame, value: str, out: str = "rank", descending: bool = False, dense: bool = False) -> DataFrame:
+    """:func:`global_ranks` attached to every row."""
+    return _attach(df, global_ranks(df, value, out, descending, dense), [value], out)
 
 
 def in_order(df: DataFrame, *keys: str) -> DataFrame:

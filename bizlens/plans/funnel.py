@@ -12,13 +12,14 @@ Dimensions are literal, bounded tables and are broadcast; facts are reduced
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import month_name
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import ordered_join, sum_if
 from bizlens.operators.joins import point_in_interval_join
+from bizlens.operators.scan import block_of
 from bizlens.operators.ranking import in_order, top_k
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
@@ -187,13 +188,13 @@ def store_product_funnel(events: DataFrame, event_types: DataFrame, pages: DataF
 # are fine here: their input is the aggregated table, not the events.
 
 def funnel_leaders(funnel: DataFrame) -> DataFrame:
-    def first(c: str) -> Column:
-        return F.row_number().over(Window.orderBy(F.col(c).desc(), F.col("product_name").asc()))
-
-    ranked = funnel.select("*", first("number_of_views").alias("_v"), first("added_to_cart").alias("_c"),
-                           first("purchased").alias("_p"))
-    return ranked.filter((F.col("_v") == 1) | (F.col("_c") == 1) | (F.col("_p") == 1)).select(
-        "product_name", "number_of_views", "added_to_cart", "purchased")
+    """The first product by views, by cart adds and by purchases (ties: by name): one aggregate of three rows."""
+    counts = ["number_of_views", "added_to_cart", "purchased"]
+    leaders = [F.min(F.struct((-F.col(c)).alias("o"), F.col("product_name"), *[F.col(x).alias(f"c_{x}") for x in counts]))
+               for c in counts]
+    rows = funnel.agg(F.array(*[F.struct(*[x["product_name"].alias("product_name")], *[x[f"c_{c}"].alias(c) for c in counts])
+                                for x in leaders]).alias("l"))
+    return rows.select(F.explode(F.array_distinct("l")).alias("l")).select("l.*").filter("product_name IS NOT NULL")
 
 
 def most_abandoned(funnel: DataFrame) -> DataFrame:
@@ -237,9 +238,9 @@ def visit_campaigns(events: DataFrame, users: DataFrame, event_types: DataFrame,
     time; ``purchase_flag=True`` makes ``purchase`` a 1/0 flag;
     ``name_chars=None`` keeps full names.
 
-    The cart adds of one (user, visit, campaign) meet in one list; of each only
-    the shown name and the order columns are collected. A visit is bounded by
-    what one user adds in a day, which a robot can make large.
+    A visit is put together from its hours: counts, first time and the cart adds'
+    text of each hour, then those of the visit, so that a robot's visit with
+    millions of adds is many small lists.
 
     ``order_by`` names the columns that order a visit's cart adds. When the
     sequence number is itself defined as the (time, id) order inside a visit,
@@ -259,7 +260,10 @@ def visit_campaigns(events: DataFrame, users: DataFrame, event_types: DataFrame,
     if name_chars is not None:
         cart_name = F.substring(cart_name, 1, name_chars)
     purchase = F.max(F.when(t == PURCHASE, 1).otherwise(0)) if purchase_flag else sum_if(t == PURCHASE)
-    out = e.groupBy(*keys).agg(
+    # the slices run along the first column of the order
+    along = F.col(order_by[0])
+    slice_ = F.date_trunc("hour", along) if order_by[0] == "event_time" else block_of(along, 1024)
+    hours = e.withColumn("_slice", slice_).groupBy(*keys, "_slice").agg(
         F.min("event_time").alias("visit_start_time"),
         sum_if(t == VIEW).cast("bigint").alias("page_views"),
         sum_if(t == CART_ADD).cast("bigint").alias("cart_adds"),
@@ -268,6 +272,11 @@ def visit_campaigns(events: DataFrame, users: DataFrame, event_types: DataFrame,
         sum_if(t == CLICK).cast("bigint").alias("click"),
         ordered_join(cart_name, F.struct(*[F.col(c) for c in order_by])).alias("cart_products"),
     )
+    whole = (F.max if purchase_flag else F.sum)("purchase")
+    out = hours.groupBy(*keys).agg(
+        F.min("visit_start_time").alias("visit_start_time"), whole.alias("purchase"),
+        *[F.sum(c).alias(c) for c in ("page_views", "cart_adds", "impression", "click")],
+        ordered_join(F.col("cart_products"), F.col("_slice")).alias("cart_products"))
     if by_visit_start:
         out = point_in_interval_join(out, "visit_start_time", camp, "start_date", "end_date", "left")
     return out.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase",

@@ -47,7 +47,7 @@ def top_listed(orders: DataFrame, toppings: DataFrame, column: str, out: str) ->
     counts = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("_n"))
     named = counts.join(toppings, "topping_id").groupBy(F.col("topping_name").alias(out)).agg(
         F.sum("_n").cast("bigint").alias("number_of_pizzas"))
-    return keep_rank_one(named, [F.col("number_of_pizzas").desc()])
+    return keep_rank_one(named, "number_of_pizzas")
 
 
 def top_extra(orders: DataFrame, toppings: DataFrame) -> DataFrame:

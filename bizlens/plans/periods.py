@@ -10,13 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.dates import day_name, month_name
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
-from bizlens.operators.ranking import in_order
+from bizlens.operators.joins import not_in
+from bizlens.operators.ranking import in_order, rank_globally
 
 
 def _share(part: str, total: str) -> Column:
@@ -37,10 +38,10 @@ def missing_weeks(clean: DataFrame, step_days: int = 7, by: Sequence[str] = ())
     with ``by``, those without rows of each combination of the columns.
 
     The series of each combination is exploded from the first and last week;
-    observed dates are removed with a left anti join on distinct dates
-    (NULL-free dates, so NOT IN semantics are kept; NULL combinations match).
+    the weeks ``NOT IN`` the observed ones stay, so a combination with a row that
+    has no date has no missing week, as written (NULL combinations match).
     """
-    seen = clean.select(*by, "dates_week").filter(F.col("dates_week").isNotNull()).distinct()
+    seen = clean.select(*by, "dates_week").distinct()
     step = F.expr(f"INTERVAL {step_days} DAYS")
     if by:
         bounds = clean.select(F.struct(F.min("dates_week").alias("a"), F.max("dates_week").alias("b"))).scalar()
@@ -48,10 +49,7 @@ def missing_weeks(clean: DataFrame, step_days: int = 7, by: Sequence[str] = ())
     else:
         bounds = seen.agg(F.min("dates_week").alias("_a"), F.max("dates_week").alias("_b"))
         series = bounds.select(F.explode(F.sequence("_a", "_b", step)).alias("dates_week"))
-    cond = series["dates_week"] == seen["dates_week"]
-    for c in by:
-        cond = cond & series[c].eqNullSafe(seen[c])
-    return in_order(series.join(seen, cond, "left_anti"), "dates_week", *by)
+    return in_order(not_in(series, "dates_week", seen, by=by), "dates_week", *by)
 
 
 def transactions_by_year(clean: DataFrame) -> DataFrame:
@@ -87,11 +85,10 @@ def demographic_share_by_year(clean: DataFrame) -> DataFrame:
 
 def segment_rank(clean: DataFrame, platform: str | None = None) -> DataFrame:
     """Sales per (age band, demographic) and their rank (``cumulative_sales``
-    is a rank, as written). The rank window sees one row per segment."""
+    is a rank, as written)."""
     src = clean if platform is None else clean.filter(F.col("platform") == platform)
     agg = src.groupBy("age_band", "demographic").agg(F.sum("sales").cast("bigint").alias("total_sales"))
-    return agg.withColumn("cumulative_sales",
-                          F.rank().over(Window.orderBy(F.col("total_sales").desc())).cast("bigint"))
+    return rank_globally(agg, "total_sales", "cumulative_sales", descending=True)
 
 
 def avg_txn_correct_vs_naive(clean: DataFrame) -> DataFrame:

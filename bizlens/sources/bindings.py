@@ -46,16 +46,21 @@ def _case(key: Column, mapping: list[tuple[int, object]]) -> Column:
 def v_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product per distinct part type; id = rank of the name; price 100*id.
 
-    The window runs over the *distinct* types only (a handful of rows), never
-    over the part table itself.
+    The types are one aggregate of the part table, a set per task, and their ids
+    the places in the sorted set.
     """
-    types = table(spark, sf_dir, "part").select(F.col("p_type").alias("product_name")).distinct()
-    rn = F.row_number().over(Window.orderBy("product_name"))
-    return types.select(
-        rn.cast("int").alias("product_id"),
-        "product_name",
-        (rn * 100).cast("int").alias("price"),
-    )
+    product_id = F.col("pos") + 1
+    return _numbered_names(table(spark, sf_dir, "part"), "p_type").select(
+        product_id.cast("int").alias("product_id"), F.col("col").alias("product_name"),
+        (product_id * 100).cast("int").alias("price"))
+
+
+def _numbered_names(df: DataFrame, column: str) -> DataFrame:
+    """(pos, col): the sorted distinct names of a column with few, from 0 on; a NULL is one, the first."""
+    names = F.sort_array(F.collect_set(column))
+    some = F.max(F.col(column).isNull().cast("int")) == 1
+    names = F.when(some, F.concat(F.array(F.lit(None).cast("string")), names)).otherwise(names)
+    return df.agg(names.alias("names")).select(F.posexplode("names"))
 
 
 def v_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,10 +191,9 @@ def v_pizza_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_toppings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One topping per brand, numbered by name; the window sees the distinct brands only."""
-    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("topping_name")).distinct()
-    number = F.row_number().over(Window.orderBy("topping_name"))
-    return brands.select(number.cast("int").alias("topping_id"), "topping_name")
+    """One topping per brand, numbered by name."""
+    return _numbered_names(table(spark, sf_dir, "part"), "p_brand").select(
+        (F.col("pos") + 1).cast("int").alias("topping_id"), F.col("col").alias("topping_name"))
 
 
 def v_pizza_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
