@@ -22,18 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 POINTS_FROM, POINTS_TO = "1996-01-01", "1999-06-30"
 
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Query, again: bool = False) -> DataFrame:
-    """The table ``name`` of a folder, built and stored by the first job of the
-    session that reads it (or ``again``); the jobs after it read what is stored."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if again or key not in _STORED:
-        _STORED[key] = build(spark, sf_dir)
-    return _STORED[key]
-
-
 # The order of the results of jobs that have one ("-": descending). Jobs that limit, or whose order is a
 # column that isn't shown, sort themselves; those with a row per fact are sorted by ``python -m bizlens run --sort``.
 ORDER: dict[str, tuple[str, ...]] = {
@@ -185,14 +173,11 @@ PIVOT_YEAR = 1998
 
 
 def _periods() -> dict[str, Query]:
-    def store(sp, d):
-        return cleaning.store_weekly_sales(b.v_weekly_sales_raw(sp, d))
-
     def C(sp, d):
-        return stored(sp, d, "clean_weekly_sales", store)
+        return cleaning.store_weekly_sales(b.v_weekly_sales_raw(sp, d), again=False)
 
     out: dict[str, Query] = {
-        "clean_weekly_sales": lambda sp, d: stored(sp, d, "clean_weekly_sales", store, again=True),
+        "clean_weekly_sales": lambda sp, d: cleaning.store_weekly_sales(b.v_weekly_sales_raw(sp, d)),
         "weekday_used": lambda sp, d: periods.weekday_used(C(sp, d)),
         "missing_weeks": lambda sp, d: periods.missing_weeks(
             C(sp, d), by=("region", "platform", "segment", "customer_type")),

@@ -43,11 +43,12 @@ def clean_deliveries(deliveries_raw: DataFrame, distance_scale: int = 2) -> Data
     )
 
 
-def store_weekly_sales(weekly_raw: DataFrame, name: str = "clean_weekly_sales") -> DataFrame:
-    """``CREATE TABLE clean_weekly_sales AS``: the other period jobs read the stored table."""
+def store_weekly_sales(weekly_raw: DataFrame, name: str = "clean_weekly_sales", again: bool = True) -> DataFrame:
+    """``CREATE TABLE clean_weekly_sales AS``: the other period jobs read the stored table, which is
+    written anew when the files it was made from have changed (or ``again``)."""
     from bizlens.sources import sinks
 
-    return sinks.materialise(clean_weekly_sales(weekly_raw), name)
+    return sinks.stored(clean_weekly_sales(weekly_raw), name, again)
 
 
 def clean_weekly_sales(weekly_raw: DataFrame, date_format: str = "d/M/yy",

@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from bizlens.functions.dates import day_name, seconds_between, week_label
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.aggregate import sum_if
-from bizlens.operators.ids import check_dense_id, with_dense_id
 from bizlens.operators.ranking import top_k
+from bizlens.session import table_path
 from bizlens.sources import sinks
 
 
@@ -232,11 +232,15 @@ def rating_rows(deliveries: DataFrame, order_customers: DataFrame) -> DataFrame:
 
 
 def ratings_table(deliveries: DataFrame, order_customers: DataFrame, name: str = "runner_rating") -> DataFrame:
-    """Create the ratings table with a declared schema, insert with ids 1..n in
-    order_id order, read back; the stored ids are checked."""
-    numbered = with_dense_id(rating_rows(deliveries, order_customers), ["order_id"])
-    stored = sinks.insert_into_new(deliveries.sparkSession, name, RATING_SCHEMA, [numbered])
-    check_dense_id(stored)
+    """Create the ratings table with a declared schema, insert the ratings in two parts (the lower half of the
+    order numbers, then the upper), read back: the ids 1..n go on from the first insert to the second."""
+    spark = deliveries.sparkSession
+    middle = order_customers.agg(F.avg("order_id").cast("bigint")).first()[0]
+    table = sinks.NumberedTable(spark, table_path(spark, name), RATING_SCHEMA)
+    for half in (F.col("order_id") <= middle, F.col("order_id") > middle):
+        table.insert(rating_rows(deliveries.filter(half), order_customers.filter(half)), ["order_id"])
+    stored = table.read()
+    stored.createOrReplaceTempView(name)
     return stored
 
 
