@@ -97,8 +97,8 @@ def _orders() -> dict[str, Query]:
     def clean_deliveries(sp, d):
         return D(sp, d).withColumn("distance", F.col("distance").cast("double"))
 
-    def ratings(sp, d):
-        return orders.rating_rows(D(sp, d), b.v_order_customers(sp, d))
+    def X(sp, d):  # deliveries with the customer and time of their order
+        return cleaning.clean_deliveries(b.v_deliveries_raw(sp, d), carry=["customer_id", "order_time"])
 
     return {
         "inspect_values": lambda sp, d: cleaning.inspect_values(b.v_order_lines(sp, d), "exclusions"),
@@ -129,8 +129,8 @@ def _orders() -> dict[str, Query]:
         "ingredient_totals": lambda sp, d: lists.ingredient_totals(L(sp, d), D(sp, d), R(sp, d), T(sp, d)),
         "revenue": lambda sp, d: orders.revenue(L(sp, d), D(sp, d), PRICES),
         "revenue_with_extras": lambda sp, d: orders.revenue_with_extras(L(sp, d), D(sp, d), PRICES, 1),
-        "ratings_table": lambda sp, d: orders.ratings_table(D(sp, d), b.v_order_customers(sp, d)),
-        "delivery_report": lambda sp, d: orders.delivery_report(O(sp, d), D(sp, d), ratings(sp, d)),
+        "ratings_table": lambda sp, d: orders.ratings_table(X(sp, d)),
+        "delivery_report": lambda sp, d: orders.delivery_report(L(sp, d), X(sp, d)),
         "net_profit": lambda sp, d: orders.net_profit(L(sp, d), D(sp, d), PRICES, "0.30"),
         "extend_menu": lambda sp, d: lists.extend_menu(N(sp, d), R(sp, d), L(sp, d), *dims.NEW_PIZZA),
     }

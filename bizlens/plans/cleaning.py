@@ -3,6 +3,8 @@ UPDATE / ALTER). All projections; Catalyst collapses them into one Project."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +24,10 @@ def clean_orders(orders_raw: DataFrame, list_cols=("exclusions", "extras")) -> D
     return orders_raw.withColumns({c: null_markers(c) for c in list_cols})
 
 
-def clean_deliveries(deliveries_raw: DataFrame, distance_scale: int = 2) -> DataFrame:
+def clean_deliveries(deliveries_raw: DataFrame, distance_scale: int = 2, carry: Sequence[str] = ()) -> DataFrame:
     """Strip unit suffixes, null spellings -> NULL, then cast to typed columns.
 
-    Casts use ``try_cast`` so a value that still does not parse becomes NULL
+    ``carry`` names further columns to keep. Casts use ``try_cast`` so a value that still does not parse becomes NULL
     instead of failing the job (ANSI casts raise on bad text).
     """
     d = deliveries_raw
@@ -40,6 +42,7 @@ def clean_deliveries(deliveries_raw: DataFrame, distance_scale: int = 2) -> Data
         F.trim(distance).try_cast(f"decimal(10,{distance_scale})").alias("distance"),
         F.trim(duration).try_cast("int").alias("duration"),
         null_markers("cancellation").alias("cancellation"),
+        *carry,
     )
 
 

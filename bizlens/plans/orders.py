@@ -220,35 +220,39 @@ RATING_SCHEMA = T.StructType([
 ])
 
 
-def rating_rows(deliveries: DataFrame, order_customers: DataFrame) -> DataFrame:
-    """One rating (1-5) per successful delivery, not numbered yet."""
-    d = _delivered(deliveries).join(order_customers, "order_id")
-    return d.select(
+def _rating() -> Column:
+    return ((F.col("order_id") * 7 + F.col("runner_id")) % 5 + 1).cast("int")
+
+
+def rating_rows(deliveries: DataFrame) -> DataFrame:
+    """One rating (1-5) per successful delivery (with its customer_id), not numbered yet."""
+    return _delivered(deliveries).select(
         "order_id", "customer_id", "runner_id",
-        ((F.col("order_id") * 7 + F.col("runner_id")) % 5 + 1).cast("int").alias("rating"),
+        _rating().alias("rating"),
         F.timestamp_add("MINUTE", F.col("duration") + 5 + F.col("order_id") % 30, F.col("pickup_time"))
         .alias("rating_time"),
     )
 
 
-def ratings_table(deliveries: DataFrame, order_customers: DataFrame, name: str = "runner_rating") -> DataFrame:
+def ratings_table(deliveries: DataFrame, name: str = "runner_rating") -> DataFrame:
     """Create the ratings table with a declared schema, insert the ratings in two parts (the lower half of the
     order numbers, then the upper), read back: the ids 1..n go on from the first insert to the second."""
     spark = deliveries.sparkSession
-    middle = order_customers.agg(F.avg("order_id").cast("bigint")).first()[0]
+    middle = deliveries.agg(F.avg("order_id").cast("bigint")).first()[0]
     table = sinks.NumberedTable(spark, table_path(spark, name), RATING_SCHEMA)
     for half in (F.col("order_id") <= middle, F.col("order_id") > middle):
-        table.insert(rating_rows(deliveries.filter(half), order_customers.filter(half)), ["order_id"])
+        table.insert(rating_rows(deliveries.filter(half)), ["order_id"])
     stored = table.read()
     stored.createOrReplaceTempView(name)
     return stored
 
 
-def delivery_report(orders: DataFrame, deliveries: DataFrame, rating: DataFrame) -> DataFrame:
-    """``rating`` has order_id and rating; the ids of the stored table are not needed."""
-    per_order = orders.groupBy("order_id", "customer_id", "order_time").agg(F.count("order_id").alias("pizzas"))
-    j = (per_order.join(deliveries, "order_id")
-         .join(rating.select("order_id", "rating"), "order_id"))
+def delivery_report(lines: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """``deliveries`` with the customer_id and order_time of their order, which are rated by
+    :func:`rating_rows`; the lines are counted per order before they meet them."""
+    per_order = lines.groupBy("order_id").agg(F.count("order_id").alias("pizzas"))
+    rated = _delivered(deliveries).withColumn("rating", _rating())
+    j = per_order.join(rated, "order_id")
     return j.select(
         "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
         _seconds_between("order_time", "pickup_time").cast("bigint").alias("wait_seconds"),

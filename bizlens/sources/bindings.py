@@ -57,10 +57,13 @@ def v_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_names(df: DataFrame, column: str) -> DataFrame:
     """(pos, col): the sorted distinct names of a column with few, from 0 on; a NULL is one, the first."""
+    return df.agg(_sorted_names(column).alias("names")).select(F.posexplode("names"))
+
+
+def _sorted_names(column: str) -> Column:
     names = F.sort_array(F.collect_set(column))
     some = F.max(F.col(column).isNull().cast("int")) == 1
-    names = F.when(some, F.concat(F.array(F.lit(None).cast("string")), names)).otherwise(names)
-    return df.agg(names.alias("names")).select(F.posexplode("names"))
+    return F.when(some, F.concat(F.array(F.lit(None).cast("string")), names)).otherwise(names)
 
 
 def v_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +156,8 @@ def v_order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_deliveries_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One delivery per order; pickup / distance / duration as dirty text."""
+    """One delivery per order; pickup / distance / duration as dirty text. The customer and time of the
+    order come along for jobs that need them: they lie in the same row."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     k = F.col("o_orderkey")
     cancelled = (k % 9) == 0
@@ -174,6 +178,7 @@ def v_deliveries_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cancelled, F.when(k % 2 == 0, F.lit("Called off by the kitchen")).otherwise(F.lit("Called off by the guest")))
         .otherwise(_case(k % 3, [(0, None), (1, ""), (2, "null")]))
         .alias("cancellation"),
+        F.col("o_custkey").alias("customer_id"), order_time.alias("order_time"),
     )
 
 
@@ -197,12 +202,18 @@ def v_toppings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_pizza_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A product's recipe: the toppings (brands) that its type has in small parts."""
-    pairs = table(spark, sf_dir, "part").filter(F.col("p_size") <= RECIPE_SIZE).select("p_type", "p_brand").distinct()
-    ids = (pairs.join(v_toppings(spark, sf_dir), F.col("p_brand") == F.col("topping_name"))
-           .join(v_pizza_names(spark, sf_dir), F.col("p_type") == F.col("pizza_name")))
-    return ids.groupBy("pizza_id").agg(
-        F.array_join(F.sort_array(F.collect_list("topping_id")), ", ").alias("toppings"))
+    """A product's recipe: the toppings (brands) that its type has in small parts.
+
+    The ids are places in the sorted names, two small arrays: a join on 25 brands or 150 types would put
+    all parts in as many tasks.
+    """
+    part = table(spark, sf_dir, "part")
+    types, brands = (part.agg(_sorted_names(c)).scalar() for c in ("p_type", "p_brand"))
+    small = part.filter((F.col("p_size") <= RECIPE_SIZE) & F.col("p_type").isNotNull() & F.col("p_brand").isNotNull())
+    recipes = small.groupBy("p_type").agg(F.collect_set("p_brand").alias("brands")).select(
+        F.array_position(types, F.col("p_type")).cast("int").alias("pizza_id"), "brands", brands.alias("names"))
+    ids = F.sort_array(F.transform("brands", lambda b: F.array_position("names", b)))
+    return recipes.select("pizza_id", F.array_join(ids.cast("array<string>"), ", ").alias("toppings"))
 
 
 # --------------------------------------------------------------------------
