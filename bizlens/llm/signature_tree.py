@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from bizlens.llm import staging
 from bizlens.llm.blocks import text_blocks
-from bizlens.llm.components import components
+from bizlens.llm.components import components, joined_components
 from bizlens.llm.ints import packed, unpacked
 from bizlens.llm.minhash import _WordHashes, shingle_set
 
@@ -54,8 +54,8 @@ PERCENT = 80
 PAGE_SETS, PAGE_BYTES, FAN = 64, 4 << 20, 16
 #: Groups of shingles per shuffle partition; the most that a count says.
 GROUPS, MOST = 4, 255
-#: Bits of a bitmap per shingle of a family's largest set.
-BITS = 8
+#: Bits of a bitmap per shingle of a family's largest set; tasks that a family's members are dealt to, at least.
+BITS, SPREAD = 8, 32
 
 
 def same_words(text: str | None) -> bytes | None:
@@ -189,12 +189,12 @@ def _pages(members: DataFrame, name: str) -> DataFrame:
         return {"family": family, "lo": min(sizes), "hi": max(sizes),
                 "hidden": max(n - int(np.bitwise_count(m).sum()) for n, m in zip(sizes, maps)),
                 "label": labels.pop() if len(labels) == 1 else None, "bits": np.bitwise_or.reduce(maps).tobytes(),
-                "nodes": [r["node"] for r in rows], "labels": [r["label"] for r in rows],
+                "labels": [r["label"] for r in rows],
                 "sets": [r["values"] for r in rows], "maps": [m.tobytes() for m in maps]}
 
     schema = pa.schema([("family", pa.binary()), ("lo", pa.int64()), ("hi", pa.int64()), ("hidden", pa.int64()),
                         ("label", pa.binary()), ("bits", pa.binary()),
-                        *[(c, pa.list_(pa.binary())) for c in ("nodes", "labels", "sets", "maps")]])
+                        *[(c, pa.list_(pa.binary())) for c in ("labels", "sets", "maps")]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
@@ -212,7 +212,7 @@ def _pages(members: DataFrame, name: str) -> DataFrame:
     order = ["family", "label", "n", "node"]
     dealt = members.repartitionByRange(staging.shuffle_partitions(members.sparkSession), *order).sortWithinPartitions(*order)
     cut_ = dealt.select("family", "largest", "label", "n", "node", "values").mapInArrow(
-        cut, "family binary, lo bigint, hi bigint, hidden bigint, label binary, bits binary, nodes array<binary>, "
+        cut, "family binary, lo bigint, hi bigint, hidden bigint, label binary, bits binary, "
              "labels array<binary>, sets array<binary>, maps array<binary>")
     placed = staging.staged(staging.with_place(cut_), f"{name}-cut")
     return staging.staged(staging.dense_rank_in(placed, ["family"], "k"), name)
@@ -285,7 +285,7 @@ def _page_pairs(pages: DataFrame, percent: int) -> DataFrame:
     return pairs
 
 
-def _first_page_pairs(pages: DataFrame) -> DataFrame:
+def _first_page_pairs(pages: DataFrame, percent: int) -> DataFrame:
     """Each page with itself and the first page below each of its ancestors."""
     top = pages.agg(F.max("k")).first()[0] or 0
     first, span = [F.col("k")], FAN
@@ -296,7 +296,7 @@ def _first_page_pairs(pages: DataFrame) -> DataFrame:
 
 
 def join_pages(x: dict, y: dict, same: bool, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links between sets of two pages, as many as join their components."""
+    """The components of two pages that a link joins, as pairs: as many as it takes to join them."""
     label = {v: v for v in [*x["labels"], *y["labels"]]}
 
     def root(v: bytes) -> bytes:
@@ -318,13 +318,13 @@ def join_pages(x: dict, y: dict, same: bool, percent: int) -> list[tuple[bytes,
             a, b = root(x["labels"][i]), root(y["labels"][j])
             if a != b and linked(own, sets[j], percent):
                 label[max(a, b)] = min(a, b)
-                out.append((x["nodes"][i], y["nodes"][j]))
+                out.append((a, b))
     return out
 
 
 def _joined(pairs: DataFrame, pages: DataFrame, percent: int, name: str) -> DataFrame:
-    """Links (a, b) between sets of the pages that are paired."""
-    content = F.struct("nodes", "labels", "sets", "maps")
+    """(a, b): components that sets of the pages which are paired join."""
+    content = F.struct("labels", "sets", "maps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,15 +339,17 @@ def _joined(pairs: DataFrame, pages: DataFrame, percent: int, name: str) -> Data
     return staging.staged(both.mapInArrow(run, "a binary, b binary"), name)
 
 
-def _open(sets: DataFrame, families: DataFrame, parts: DataFrame) -> DataFrame:
-    """The members of families with several components, with their sets."""
-    label = F.coalesce(F.col("v"), F.col("node"))
-    named = families.join(parts.withColumnRenamed("u", "node"), "node", "left").select("family", "node", label.alias("label"))
-    several = named.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    named = named.join(several.select("family"), "family")
-    rows = named.join(sets.select("node", "n", "values"), "node")
-    largest = rows.groupBy("family").agg(F.max("n").alias("largest"))
-    return rows.join(largest, "family")
+def _open(sets: DataFrame, members: DataFrame, parts: DataFrame) -> DataFrame:
+    """The ``members`` (node, n, family) of families with several components, with their sets."""
+    named = members.join(parts.withColumnRenamed("u", "node"), "node", "left").select(
+        "family", "node", "n", F.coalesce("v", "node").alias("label"))
+    named = staging.staged(named, "named")
+    families = named.groupBy("family").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.max("n").alias("largest")).filter("x <> y")
+    # a family may have most of the rows: its own row is repeated, so that they meet in many tasks
+    families = families.select("family", "largest", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    named = named.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int"))
+    return named.join(families, ["family", "salt"]).join(sets.select("node", "values"), "node")
 
 
 def link_classes(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -371,23 +373,19 @@ def link_classes(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -
         F.count(F.lit(1)).alias("keys"))
     ties = staging.staged(ties, "ties")
     families = components(ties.select(F.col("node").alias("a"), F.col("first").alias("b")))
-    families = staging.staged(families.select(F.col("u").alias("node"), F.col("v").alias("family")).unionByName(
-        families.select(F.col("v").alias("node"), F.col("v").alias("family")).distinct()), "families")
+    families = families.select(F.col("u").alias("node"), F.col("v").alias("family")).unionByName(
+        families.select(F.col("v").alias("node"), F.col("v").alias("family")).distinct())
+    members = staging.staged(families.join(sets.select("node", "n"), "node"), "members")
 
     best = ties.groupBy("node").agg(F.max(F.struct("keys", "first")).alias("m")).select(
         F.col("node").alias("a"), F.col("m.first").alias("b"))
-    links = staging.staged(_links_of(best, sets, percent), "links")
-    parts = components(links)
-    pages = _pages(_open(sets, families, parts), "pages")
-    if pages.isEmpty():
-        return rows, classes, parts
-    links = links.unionByName(_joined(_first_page_pairs(pages), pages, percent, "page-links"))
-    parts = components(links)
-    pages = _pages(_open(sets, families, parts), "pages")
-    if pages.isEmpty():
-        return rows, classes, parts
-    links = links.unionByName(_joined(_page_pairs(pages, percent), pages, percent, "tree-links"))
-    return rows, classes, components(links)
+    parts = components(staging.staged(_links_of(best, sets, percent), "links"))
+    for pairs in (_first_page_pairs, _page_pairs):
+        pages = _pages(_open(sets, members, parts), "pages")
+        if pages.isEmpty():
+            break
+        parts = joined_components(parts, _joined(pairs(pages, percent), pages, percent, "page-links"))
+    return rows, classes, parts
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
