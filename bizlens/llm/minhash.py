@@ -12,10 +12,10 @@ holds its distinct runs of ``SHINGLE`` words (fewer words: the one run).
    most keys with others: pairs in proportion to members, whatever the size of a group.
 3. Pairs are checked on one bit of every minimum (a pair that fails it by more
    than six standard deviations goes), then exactly, on the full sets.
-4. The links' components are found by large-star and small-star. What shares a
-   key but is in different components after that is paired and checked as well,
-   so no link is lost to the choice of the centre. Shingles that no other set
-   holds bound what a set can share; pairs that the bound rules out are not made.
+4. The links' components are found by large-star and small-star. What a chain of
+   shared keys connects but is in different components after that is joined on
+   signature trees (:mod:`bizlens.llm.set_tree`), so no link is lost to the choice
+   of the centre, and no key's members are paired with each other.
 
 Defined results: a document without words has an empty set and is its own
 component; so is a row with a null doc_id, whose component_id is null and which
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from bizlens.llm import staging
 from bizlens.llm.components import components
+from bizlens.llm.set_tree import join_families
 
 SHINGLE = 5
 HASHES = 120
@@ -173,27 +174,6 @@ def _plausible(a: str, b: str, percent: int) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ <= most_bits(percent))
 
 
-def _reachable(a: str, b: str, percent: int) -> Column:
-    """Without its own shingles (``own``: those no other set has), the smaller side can still reach the percentage."""
-    shared = F.least(F.col(f"{a}n") - F.col(f"{a}own"), F.col(f"{b}n") - F.col(f"{b}own"))
-    return shared * 100 >= (F.col(f"{a}n") + F.col(f"{b}n") - shared) * percent
-
-
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """(node, own): how many shingles of the set no other set of the table has."""
-
-    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, data in zip(batch.column("node").to_pylist(), batch.column("values").to_pylist()):
-                own = np.frombuffer(data, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([node] * len(own), pa.binary()), pa.array(own)],
-                                                 names=["node", "value"])
-
-    once = sets.mapInArrow(values, "node binary, value bigint").groupBy("value").agg(
-        F.first("node").alias("node"), F.count(F.lit(1)).alias("sets")).filter("sets = 1")
-    return once.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-
-
 def _described(nodes: DataFrame, prefix: str) -> DataFrame:
     return nodes.select(*[F.col(c).alias(prefix + c) for c in ("node", "n", "bits_0", "bits_1")])
 
@@ -266,25 +246,18 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     label = F.coalesce(F.col("v"), F.col("node"))
     placed = shared.select("key", "node").join(parts.withColumnRenamed("u", "node"), "node", "left").select(
         "key", "node", label.alias("part"))
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y")
-    placed = staging.staged(placed.join(open_keys.select("key"), "key", "left_semi"), "open")
-    if placed.isEmpty():
+    open_keys = placed.groupBy("key").agg(
+        F.min("part").alias("x"), F.max("part").alias("y"), F.min("node").alias("first")).filter("x <> y")
+    ties = shared.select("key", "node").join(open_keys.select("key", "first"), "key").select(
+        F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    ties = staging.staged(ties, "ties")
+    if ties.isEmpty():
         return rows, parts
-    sets = sets_of(placed.select("node").distinct())
-    own = staging.staged(_own_shingles(sets), "own")
-    placed = placed.join(nodes.select("node", "n", "bits_0", "bits_1", "bands"), "node").join(own, "node", "left").withColumn(
-        "own", F.coalesce("own", F.lit(0)))
-    left = placed.select("key", *[F.col(c).alias(f"a_{c}") for c in placed.columns if c != "key"])
-    right = placed.select("key", *[F.col(c).alias(f"b_{c}") for c in placed.columns if c != "key"])
-    rest = left.join(right, (left["key"] == right["key"]) & (F.col("a_node") < F.col("b_node"))
-                     & (F.col("a_part") != F.col("b_part")) & _plausible("a_", "b_", percent)
-                     & _reachable("a_", "b_", percent)  # and once, under the least key that both have:
-                     & (left["key"] == F.array_min(F.array_intersect("a_bands", "b_bands"))))
-    rest = rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).join(pairs, ["a", "b"], "left_anti")
-    rest = staging.staged(rest, "rest")
-    if not rest.isEmpty():
-        parts = components(links.union(_exact(rest, sets, percent)))
-    return rows, parts
+    families = components(ties)
+    members = families.select(F.col("u").alias("node"), F.col("v").alias("family")).unionByName(
+        families.select(F.col("v").alias("node"), F.col("v").alias("family")).distinct())
+    members = staging.staged(members.join(nodes.select("node", "n"), "node"), "members")
+    return rows, join_families(sets_of(members.select("node")), members, parts, percent)
 
 
 def _decided(docs: DataFrame, percent: int, size: int) -> DataFrame:
