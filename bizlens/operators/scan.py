@@ -37,14 +37,18 @@ def range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
                  slices: int | None = None) -> DataFrame:
     """``df`` as a stored table with the column ``out``: about as many slices of equal size as shuffle
     partitions. It is written before it is read, since the bounds come from a sample."""
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settled(df.repartitionByRange(n, *keys, *order).withColumn(out, F.spark_partition_id()), "slices")
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table. :func:`scan` reads its rows twice, for the edges and for the windows; between one
+    scan and the next they are written, else each would be worked out twice as often as the one before."""
     from bizlens.session import table_path
 
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = table_path(spark, "slices")
-    dealt = df.repartitionByRange(n, *keys, *order).withColumn(out, F.spark_partition_id())
-    dealt.write.parquet(path)
-    return spark.read.schema(dealt.schema).parquet(path)
+    path = table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _at_end(value: Column, order: Sequence[str], first: bool) -> Column:

@@ -18,7 +18,7 @@ from bizlens.functions.dates import month_name
 from bizlens.functions.numeric import div, rounded
 from bizlens.operators.ranking import in_order
 from bizlens.operators.aggregate import percentile_disc, sum_if
-from bizlens.operators.scan import block_of, month_of, scan
+from bizlens.operators.scan import block_of, month_of, scan, settled
 
 
 def unique_nodes(nodes: DataFrame) -> DataFrame:
@@ -278,9 +278,10 @@ def _ledger_runs(txn: DataFrame, per_day: bool) -> DataFrame:
     idle = F.coalesce(F.datediff("next", "day") - 1, F.lit(0))
     runs = runs.select("customer_id", "month", "day", "k", F.col("b").cast("decimal(30,2)").alias("b"), s.alias("s"),
                        (s + F.col("k") + idle - 1).alias("p"))
+    runs = settled(runs, "ledger_runs")
     area = ((F.col("p") - F.col("s") + 1) * F.col("b")).cast("decimal(38,2)")
     runs = scan(runs, ["customer_id"], "month", ["day"], sums={"upto": area})
-    return runs.withColumn("c", (F.col("upto") - area).cast("decimal(38,2)")).drop("upto")
+    return settled(runs.withColumn("c", (F.col("upto") - area).cast("decimal(38,2)")).drop("upto"), "ledger_sums")
 
 
 def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, per_day: bool = False) -> DataFrame:
@@ -322,24 +323,26 @@ def data_allocation(txn: DataFrame, window_rows: int = 31, min_rows: int = 30, p
         return (c + (t - s + 1) * b).cast("decimal(38,2)")
 
     nothing = F.lit(None).cast("decimal(38,2)")
-    run = F.struct("s", "p", "b", "c", "k", "day")
+    run = ("s", "p", "b", "c", "k", "day")
 
     def event(at: Column, kind: str, known: Column = nothing) -> Column:
-        return F.struct(at.cast("bigint").alias("at"), F.lit(kind).alias("kind"), F.col("m").alias("month"),
-                        known.alias("known"), F.when(F.lit(kind == "run"), run).alias("run"))
+        # in the order of positions a run comes before what is looked up at its first one
+        return F.struct((at * 2 + F.lit(0 if kind == "run" else 1)).cast("bigint").alias("turn"), F.lit(kind).alias("kind"),
+                        F.col("m").alias("month"), known.alias("known"),
+                        *[F.when(F.lit(kind == "run"), F.col(x)).alias(x) for x in run])
 
     def here(t: Column) -> Column:  # a position of the run in this month: C(t - w) is to be found
         return F.when((t >= lo) & (t <= hi), event(t - w, "here", sum_to(t)))
 
     starts = F.col("m") == F.col("month")
     events = F.array(F.when(starts, event(s, "run")), F.when(starts, event(p + w, "ahead", sum_to(p))),
-                     F.coalesce(here(lo), event(F.lit(0), "here")), here(hi), here(F.lit(w).cast("bigint")))
-    events = F.array_distinct(F.filter(events, lambda e: e.isNotNull()))
-    found = spans.select("customer_id", F.explode(events).alias("e")).select("customer_id", "e.*").select(
-        "*", block_of(F.greatest("at", F.lit(0)), POSITIONS).alias("block"), (F.col("kind") != "run").alias("later"))
-    found = scan(found, ["customer_id"], "block", ["at", "later"], lasts={"of": "run"}).filter("kind <> 'run'")
+                     F.coalesce(here(lo), event(F.lit(0), "here")), F.when(hi > lo, here(hi)),
+                     F.when((lo < w) & (hi > w), here(F.lit(w).cast("bigint"))))
+    found = spans.select("customer_id", F.explode(events).alias("e")).filter("e IS NOT NULL").select("customer_id", "e.*")
+    found = found.withColumn("block", block_of(F.greatest("turn", F.lit(0)), 2 * POSITIONS))
+    found = scan(found, ["customer_id"], "block", ["turn"], lasts={f"of_{x}": x for x in run}).filter("kind <> 'run'")
 
-    at, of = F.col("at"), F.col("of")
+    at, of = F.floor(F.col("turn") / 2).cast("bigint"), {x: F.col(f"of_{x}") for x in run}
     reached = F.when(at > 0, (of["c"] + (at - of["s"] + 1) * of["b"]).cast("decimal(38,2)")).otherwise(0)
     mean = F.when(F.col("kind") == "here", (F.col("known") - reached).cast("double") / F.least(at + w, F.lit(w)))
     mean = mean.when((at <= of["p"]) & (at >= min_rows), (reached - F.col("known")).cast("double") / w)

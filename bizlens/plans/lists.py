@@ -3,10 +3,11 @@ extras): standard ingredients, most common extra / exclusion, item labels,
 ingredient lists and totals, menu extension.
 
 The menu (products, recipes, toppings) is what a kitchen has: each of its tables
-is one row, a map from id to name or recipe, that a job looks up. What is said
-about an item is then said from its own lists: the items are neither shuffled nor
-read twice. Counts are taken per distinct (product, exclusions, extras) first. No
-cross product is built.
+is one row, a map from id to name or recipe, that a job looks up. A short label is
+said from an item's own lists, and the items are neither shuffled nor read twice.
+What takes a whole recipe is worked out once per distinct (product, exclusions,
+extras) and joined back, or weighted by the number of items. No cross product is
+built.
 """
 
 from __future__ import annotations
@@ -111,6 +112,13 @@ def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -
         "order_id", "line_number", label.alias("pizza_with_toppings"))
 
 
+def _attached(orders: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """``column`` of the combination's row joined to every item (NULL matches NULL)."""
+    right = labels.select(*[F.col(c).alias(f"_{c}") for c in COMBINATION], column)
+    same = [orders[c].eqNullSafe(F.col(f"_{c}")) for c in COMBINATION]
+    return orders.join(right, same[0] & same[1] & same[2]).select("order_id", "line_number", column)
+
+
 def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFrame,
                           toppings: DataFrame) -> DataFrame:
     """``<name>: a, 2xb, ...`` per item, labels sorted as strings.
@@ -119,23 +127,15 @@ def order_ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFram
     extra; an excluded topping that is also an extra appears once, unmarked.
     Items left with no topping have no row.
     """
-    rows = orders.select("order_id", "line_number", "exclusions", "extras",
-                         _by_id(toppings, "topping_id", "topping_name").alias("_known"),
-                         _name(_by_id(names, "pizza_id", "pizza_name"), F.col("pizza_id")).alias("name"),
-                         _name(_by_id(recipes, "pizza_id", "toppings"), F.col("pizza_id")).alias("recipe"))
-    rows = rows.filter("name IS NOT NULL AND recipe IS NOT NULL").select(
-        "order_id", "line_number", "name", "_known", F.array_except(_ids("recipe"), _ids("exclusions")).alias("kept"),
-        _ids("extras").alias("extra"))
-
-    def label(i: Column) -> Column:
-        twice = F.array_contains("kept", i) & F.array_contains("extra", i)
-        return F.concat(F.when(twice, F.lit("2x")).otherwise(F.lit("")), _name(F.col("_known"), i))
-
-    labels = F.filter(F.transform(F.array_union("kept", "extra"), label), lambda n: n.isNotNull())
-    # a generator keeps the text from being made again for a filter
-    text = F.explode(F.filter(F.array(_text(F.sort_array(labels))), lambda t: t.isNotNull()))
-    return rows.select("order_id", "line_number", "name", text.alias("listed")).select(
-        "order_id", "line_number", F.concat("name", F.lit(": "), "listed").alias("ingredient_list"))
+    combos = _combinations(orders).drop("_items").join(recipes, "pizza_id").join(names, "pizza_id")
+    kept = F.array_except(_ids("toppings"), _ids("exclusions"))
+    listed = _listed(combos, {"kept": kept, "extra": _ids("extras")}).join(toppings, "topping_id")
+    label = F.when(F.col("kept") & F.col("extra"), F.concat(F.lit("2x"), F.col("topping_name"))).otherwise(
+        F.col("topping_name"))
+    text = F.array_join(F.sort_array(F.collect_list(label)), ", ")
+    out = listed.groupBy(*COMBINATION, "pizza_name").agg(text.alias("_l")).select(
+        *COMBINATION, F.concat(F.col("pizza_name"), F.lit(": "), F.col("_l")).alias("ingredient_list"))
+    return _attached(orders, out, "ingredient_list")
 
 
 def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFrame,

@@ -69,6 +69,49 @@ def test_result_order(spark):
     assert [r.v for r in in_order(df, "-v").collect()] == [None, 2, 1]
 
 
+def _at(value, descending):
+    """Sort key of a column: NULLs last going up, first going down."""
+    if descending:
+        return (0, 0) if value is None else (1, -value if not isinstance(value, str) else tuple(-ord(c) for c in value) + (1,))
+    return (1, 0) if value is None else (0, value)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORDER))
+def test_every_ordered_result_is_in_order(spark, name):
+    keys = catalog.ORDER[name]
+    rows = catalog.queries()[name](spark, SF).collect()
+    got = [tuple(_at(r[k.lstrip("-")], k.startswith("-")) for k in keys) for r in rows]
+    assert got == sorted(got) and rows
+
+
+@pytest.mark.parametrize("name,keys", [
+    ("data_allocation", ["month"]), ("allocation_by_month_end", ["month"]), ("allocation_in_real_time", ["month"]),
+    ("balance_statistics", ["customer_id"]), ("missing_weeks", ["dates_week", "region", "platform", "segment", "customer_type"]),
+    ("top_pages", ["-number_of_views", "page_name"])])
+def test_jobs_that_sort_themselves_are_in_order(spark, name, keys):
+    rows = catalog.queries()[name](spark, SF).collect()
+    got = [tuple(_at(r[k.lstrip("-")], k.startswith("-")) for k in keys) for r in rows]
+    assert got == sorted(got) and rows
+
+
+def test_order_by_a_column_that_is_not_shown(spark):
+    months = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+              "November", "December"]
+    got = [months.index(r.month_name) for r in catalog.queries()["active_customers_by_month"](spark, SF).collect()]
+    assert got == sorted(got) and len(got) > 1
+
+
+def test_items_are_not_shuffled_for_their_labels(spark):
+    plan = _plan(catalog.queries()["order_item_label"](spark, SF)).split("Subquery")[0]
+    assert "hashpartitioning" not in plan and "Join" not in plan, plan
+
+
+@pytest.mark.parametrize("name", ["delivery_report", "ingredient_totals"])
+def test_orders_are_read_once(spark, name):
+    plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.split("\n") if "Relation" in line and "o_orderkey" in line]) == 1
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["product_name", "number_of_views", "added_to_cart", "abandoned", "purchased"]
