@@ -158,7 +158,8 @@ def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipes: DataFra
     # a row per topping, and one without id that says that something was delivered
     totals = per.agg(F.count(F.lit(1)).alias("n"), F.map_from_entries(F.collect_list(F.when(
         F.col("topping_id").isNotNull(), F.struct("topping_id", F.struct("kept", "extra"))))).alias("by_id"))
-    rows = toppings.withColumn("t", totals.select(F.struct("n", "by_id")).scalar()).filter(
+    # a generator keeps the subquery in one place
+    rows = toppings.select("*", F.explode(F.array(totals.select(F.struct("n", "by_id")).scalar())).alias("t")).filter(
         "t.n > 0 AND topping_name IS NOT NULL")
     own = F.try_element_at(F.col("t.by_id"), F.col("topping_id").cast("int"))
     per_name = rows.select("topping_name", own.alias("own")).groupBy("topping_name").agg(
