@@ -10,8 +10,9 @@ Encoding is a distinct-word shuffle:
 3. The ids join back on the block, which lies bucketed and does not move, and
    each document's ids are put together by position.
 
-A word with a third of all occurrences is one entry per block. Decoding joins
-the ids with the table of token bytes, whose size the vocabulary bounds.
+A word with a third of all occurrences is one entry per block. Decoding looks
+the ids up in the table of token bytes, a join that needs no shuffle: the
+vocabulary bounds the table, and every task holds it.
 
 Defined results: a null text is the empty text (no ids); a null doc_id and
 repeated rows are encoded like any other row; an empty table gives an empty

@@ -7,7 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,35 @@ def ship_package(spark: SparkSession) -> None:
 
 def run_path(spark: SparkSession, name: str) -> str:
     """A new folder for one run's table, in the folder that the cluster shares."""
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    for written in _scratch(spark):
+        written.append(path)
+    return path
+
+
+def _scratch(spark: SparkSession) -> list[list[str]]:
+    """The tables and folders written in each open :func:`scratch`."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_bizlens_scratch"):
+        sc._bizlens_scratch = []
+    return sc._bizlens_scratch
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What operators write inside goes at the end: for a result that is stored inside, elsewhere."""
+    _scratch(spark).append(written := [])
+    try:
+        yield
+    finally:
+        _scratch(spark).pop()
+        tables = {t.name for t in spark.catalog.listTables()} if any(not w.startswith(shared_dir(spark)) for w in written) else set()
+        for what in written:
+            if what in tables:
+                spark.sql(f"DROP TABLE {what}")
+            elif what.startswith(shared_dir(spark)):
+                folder = spark._jvm.org.apache.hadoop.fs.Path(what)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -54,6 +83,8 @@ def staged_buckets(df: DataFrame, name: str, key: str, buckets: int,
     read the files as they lie, without moving them again."""
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
+    for written in _scratch(spark):
+        written.append(table)
     writer = df.write.option("compression", "zstd").option("path", run_path(spark, name)).bucketBy(buckets, key)
     (writer.partitionBy(*partition_by) if partition_by else writer).format("parquet").saveAsTable(table)
     return spark.table(table)

@@ -6,7 +6,7 @@ import subprocess
 import sys
 
 import corpus_pipeline
-from bizlens.llm import minhash
+from bizlens.llm import minhash, staging
 from tests.llm.conftest import MESSY, table, words
 from tests.llm.test_dedup import near_groups
 
@@ -60,6 +60,20 @@ def test_near_duplicates_from_eight_tenths(spark):
     assert minhash.banding(85) == (24, 5) and minhash.most_bits(85) == 26
 
 
+def test_a_run_leaves_its_stages_only(spark):
+    def left():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging.shared_dir(spark)}/llm")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+    before, tables = left(), {t.name for t in spark.catalog.listTables()}
+    pieces = corpus_pipeline.run(spark, SF)
+    names = sorted(n.rpartition("-")[0] for n in left() - before)
+    assert names == sorted(f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    assert pieces.agg({"offset": "min"}).first()[0] == 0
+
+
 def test_messy(spark, messy, empty):
     for docs, n in ((messy, len(MESSY)), (empty, 0)):
         for name, stage in corpus_pipeline.STAGES:
