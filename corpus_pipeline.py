@@ -57,6 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = staging.documents(spark, sf_dir)
     for name, stage in STAGES:
         path = staging.run_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staging.scratch(spark):  # what a stage has written on its way goes when its result is stored
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
