@@ -10,8 +10,9 @@ each of its ancestors, in proportion to the pages. The components grow, the tree
 are made anew, and pairs of nodes are followed from the roots down: a pair goes if
 its sizes are too far apart, if both sides are the same component, or if the bits
 in common plus the values that share bits cannot reach the overlap that the sizes
-need. Pages that are left compare bitmaps, then sets; a link between components is
-reported once, so what is reported never grows with the pairs of a family.
+need. Pages that are left meet in cells, ``CELL`` by ``CELL`` pages of a family, and compare
+bitmaps, then sets; a cell reports a link between components once, so what is reported never
+grows with the pairs of a family.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from bizlens.llm.components import joined_components
 
 #: Sets, and bytes of sets and bitmaps, of a page; children of a node.
 PAGE_SETS, PAGE_BYTES, FAN = 64, 4 << 20, 16
+#: Pairs of pages are compared in cells of so many by so many pages.
+CELL = 8
 #: Bits of a bitmap per value of a family's largest set; tasks that a family's members are dealt to, at least.
 BITS, SPREAD = 8, 32
 
@@ -192,21 +195,37 @@ def join_pages(x: dict, y: dict, same: bool, percent: int) -> list[tuple[bytes,
     return out
 
 
+_CELL = ["family", "i", "j"]
+
+
+def _in_cells(pairs: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs by cells of ``CELL`` by ``CELL`` pages, and the pages of every cell: a page moves once to each
+    cell that compares it, and not with each of its pairs."""
+    pairs = pairs.select("family", F.expr(f"a div {CELL}").alias("i"), F.expr(f"b div {CELL}").alias("j"), "a", "b")
+    needed = pairs.select(*_CELL, F.explode(F.array("a", "b")).alias("k")).distinct().toDF(*_CELL, "k")
+    return pairs, needed.join(pages.select("family", "k", "labels", "sets", "maps"), ["family", "k"])
+
+
 def _joined(pairs: DataFrame, pages: DataFrame, percent: int, name: str) -> DataFrame:
     """(a, b): components that sets of the pages which are paired join."""
-    content = F.struct("labels", "sets", "maps")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):  # one pair at a time is unpacked
-                row = batch.slice(k, 1).to_pylist()[0]
-                if out := join_pages(row["x"], row["y"], row["a"] == row["b"], percent):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
+    def run(pairs: pa.Table, content: pa.Table) -> pa.Table:
+        at = {k: i for i, k in enumerate(content["k"].to_pylist())}
+        content = content.select(["labels", "sets", "maps"])
+
+        def page(k: int) -> dict:
+            return content.slice(at[k], 1).to_pylist()[0]
+
+        out, last, x = set(), None, {}
+        for a, b in sorted(zip(pairs["a"].to_pylist(), pairs["b"].to_pylist())):  # two pages at a time are unpacked
+            if a != last:
+                last, x = a, page(a)
+            out.update(join_pages(x, x if a == b else page(b), a == b, percent))
+        return pa.table([pa.array(c, pa.binary()) for c in (zip(*sorted(out)) if out else [[]] * 2)], names=["a", "b"])
 
-    left = pages.select("family", F.col("k").alias("a"), content.alias("x"))
-    right = pages.select("family", F.col("k").alias("b"), content.alias("y"))
-    both = pairs.join(left, ["family", "a"]).join(right, ["family", "b"]).select("a", "b", "x", "y")
-    return staging.staged(both.mapInArrow(run, "a binary, b binary"), name)
+    pairs, content = _in_cells(pairs, pages)
+    both = pairs.groupBy(*_CELL).cogroup(content.groupBy(*_CELL)).applyInArrow(run, "a binary, b binary")
+    return staging.staged(both, name)
 
 
 def _open(sets: DataFrame, members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -225,9 +244,14 @@ def _open(sets: DataFrame, members: DataFrame, parts: DataFrame) -> DataFrame:
 def join_families(sets: DataFrame, members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The components (u, v) that ``parts`` become when all links inside families are added. ``sets`` has node and
     values (sorted 64-bit integers), ``members`` node, n (the set's size) and family."""
-    for pairs in (_first_page_pairs, _page_pairs):
+    pages = _pages(_open(sets, members, parts), "pages")
+    if pages.isEmpty():
+        return parts
+    found = _joined(_first_page_pairs(pages, percent), pages, percent, "page-links")
+    if not found.isEmpty():  # else the components, and so the pages, stay as they are
+        parts = joined_components(parts, found)
         pages = _pages(_open(sets, members, parts), "pages")
         if pages.isEmpty():
-            break
-        parts = joined_components(parts, _joined(pairs(pages, percent), pages, percent, "page-links"))
-    return parts
+            return parts
+    found = _joined(_page_pairs(pages, percent), pages, percent, "page-links")
+    return parts if found.isEmpty() else joined_components(parts, found)

@@ -93,6 +93,28 @@ def test_chains_and_production_pages(spark):
     assert got(table(spark, rows)) == brute(rows)
 
 
+def test_a_page_moves_once_to_each_cell(spark, monkeypatch):
+    """Not with each pair: what moves of a family of unlinked near copies doesn't grow with its pairs of pages."""
+    monkeypatch.setattr(set_tree, "PAGE_SETS", 2)
+    rnd = np.random.default_rng(3)
+    shared = rnd.integers(0, 1 << 63, 60, np.uint64)
+    own = [np.unique(np.append(shared, rnd.integers(0, 1 << 63, 40, np.uint64))) for _ in range(40)]  # Jaccard 0.43
+    own += [np.append(own[0][1:], np.uint64(1 << 63)), np.append(own[39][1:], np.uint64(1 << 63))]  # 0.98
+    node = [bytes([k]) for k in range(len(own))]
+    sets = spark.createDataFrame([(n, bytearray(v.tobytes())) for n, v in zip(node, own)], "node binary, values binary")
+    members = spark.createDataFrame([(n, len(v), b"f") for n, v in zip(node, own)], "node binary, n bigint, family binary")
+    parts = spark.createDataFrame([], "u binary, v binary")
+    pages = set_tree._pages(set_tree._open(sets, members, parts), "pages")
+    n = pages.count()
+    cells = -(-n // set_tree.CELL)
+    pairs = spark.createDataFrame([(b"f", a, b) for b in range(n) for a in range(b + 1)], "family binary, a bigint, b bigint")
+    assert n >= 21 and set_tree._in_cells(pairs, pages)[1].count() <= n * (cells + 1)
+    found = sorted(map(tuple, set_tree._joined(pairs, pages, 80, "links").collect()))
+    assert [(bytes(a), bytes(b)) for a, b in found] == [(node[0], node[40]), (node[39], node[41])]
+    joined = sorted((bytes(u), bytes(v)) for u, v in set_tree.join_families(sets, members, parts, 80).collect())
+    assert joined == [(node[40], node[0]), (node[41], node[39])]
+
+
 def test_bounds_hold():
     """Neither bitmaps nor pages hide a pair that links."""
     rnd = np.random.default_rng(1)
