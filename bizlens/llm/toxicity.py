@@ -10,13 +10,11 @@ whose shares among toxic and other examples differ by a factor of ``MIN_RATIO``
 are telling; all others weigh ``QUIET`` of their TF-IDF, so that telling terms
 decide where a text has some, and the rest of the words where it has none.
 Inverse document frequencies are counted over all documents. The examples'
-TF-IDF vectors of unit length go to an inverted index in blocks of ``BLOCK``
-examples; of each term and block it keeps the largest weight.
+TF-IDF vectors of unit length go to an inverted index.
 
-Scoring. A text's vector and the block maxima bound its cosine with any example
-of a block; blocks are searched by falling bound until no bound reaches the
-``NEIGHBOURS``-th best cosine, so the nearest examples are exact (ties go to the
-smaller doc_id). Their labels vote, weighted by the squared cosine. Only a text
+Scoring. A text's cosines with all examples are summed from the postings of its
+terms, so the nearest examples are exact (ties go to the smaller doc_id). Their
+labels vote, weighted by the squared cosine. Only a text
 that shares no term with any example is judged without a search, by the share of
 toxic ones among the examples that have no telling term either.
 Votes become probabilities by isotonic regression on leave-one-out votes of the
@@ -36,6 +34,7 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +50,7 @@ EXAMPLES, ROW_CHARS = 2000, 20_000
 MIN_G2, MIN_RATIO, MAX_TERMS = 20.0, 4.0, 4000
 #: Weight of the terms that are not telling.
 QUIET = 0.1
-#: ``SEARCHED``: blocks that are searched at once, at first.
-NEIGHBOURS, BLOCK, SEARCHED = 15, 64, 4
+NEIGHBOURS = 15
 KEYS = 4
 TOXIC_FROM = 0.7
 
@@ -153,7 +151,7 @@ def _ranges(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Examples:
-    """Labelled unit vectors behind a block-max inverted index."""
+    """Labelled unit vectors behind an inverted index."""
 
     #: Stands for all words outside the vocabulary; a document may hold it.
     OTHER = ""
@@ -170,52 +168,54 @@ class Examples:
         # those without a term have one vector, so the nearest of them are the first by doc_id
         chosen = {r[0] for r in bare[: NEIGHBOURS + 1]} | {r[0] for r in rows if set(r[2]) - {self.OTHER}}
         vectors = [(r, *self.vector(r[2])) for r in rows if r[0] in chosen]
-        # alike examples share blocks, so that a block's bound is tight; ties are settled by doc_id below
-        self.kept = kept = sorted((v for v in vectors if len(v[1])), key=lambda v: (int(v[1][v[2].argmax()]), v[0][0]))
+        self.kept = kept = [v for v in vectors if len(v[1])]
         self.ids = np.array([r[0] for r, *_ in kept], np.int64)
         self.toxic = np.array([r[1] for r, *_ in kept], np.float64)
-        # postings by term and place; entries: the postings of a term in a block
+        # postings by term and place
         at = np.concatenate([v[1] for v in kept] or [np.zeros(0, np.int64)])
         place = np.repeat(np.arange(len(kept)), [len(v[1]) for v in kept])
         order = np.lexsort((place, at))
-        at, self.place = at[order], place[order]
+        self.place = place[order]
         self.weight = np.concatenate([v[2] for v in kept] or [np.zeros(0)])[order]
-        block = self.place // BLOCK
-        new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.zeros(0, np.int64)
-        self.block, self.first = block[new], np.append(new, len(at))
-        self.maxima = np.maximum.reduceat(self.weight, new) if len(at) else np.zeros(0)
-        self.entries = np.searchsorted(at[new], np.arange(len(self.idf) + 1))
-        self.blocks = -(-len(kept) // BLOCK)
+        self.first = np.searchsorted(at[order], np.arange(len(self.idf) + 1))
 
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights of unit length."""
         found = sorted((self.number[t], n) for t, n in counts.items() if t in self.number)
-        at = np.array([t for t, _ in found], np.int64)
-        weight = (1 + np.log(np.array([n for _, n in found], np.float64))) * self.idf[at] if found else np.zeros(0)
+        return self._unit(np.array([t for t, _ in found], np.int64), np.array([n for _, n in found], np.float64))
+
+    def vector_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of a text's words, with those outside the vocabulary as ``OTHER``; empty if all are outside."""
+        counts = Counter(words)
+        at = np.fromiter(map(self.number.get, counts, repeat(-1)), np.int64, len(counts))
+        n = np.fromiter(counts.values(), np.float64, len(counts))
+        known = at >= 0
+        others, at, n = n[~known].sum(), at[known], n[known]
+        if others and len(at):
+            at, n = np.append(at, self.number[self.OTHER]), np.append(n, others)
+        order = np.argsort(at)
+        return self._unit(at[order], n[order])
+
+    def _unit(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weight = (1 + np.log(n)) * self.idf[at]
         return at, weight / (np.sqrt((weight ** 2).sum()) or 1.0)
 
+    def cosines(self, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """With every example."""
+        inside, n = _ranges(self.first[at], self.first[at + 1])
+        products = np.repeat(weight, n) * self.weight[inside]
+        return np.bincount(self.place[inside], products, len(self.ids)).astype(float, copy=False)
+
     def nearest(self, at: np.ndarray, weight: np.ndarray, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The places and cosines of the ``NEIGHBOURS`` nearest examples that share a
         term, nearest first. ``without``: a doc_id that doesn't count."""
-        entries, n = _ranges(self.entries[at], self.entries[at + 1])
-        block, w = self.block[entries], np.repeat(weight, n)
-        bound = np.bincount(block, w * self.maxima[entries], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        rank = np.empty(self.blocks, np.int64)
-        rank[order] = np.arange(self.blocks)
-        places, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        done, step = 0, SEARCHED
-        while done < self.blocks and bound[order[done]] > 0 and (len(places) < NEIGHBOURS or bound[order[done]] >= least - 1e-9):
-            now = (rank[block] >= done) & (rank[block] < done + step)
-            inside, n = _ranges(self.first[entries[now]], self.first[entries[now] + 1])
-            scores = np.bincount(self.place[inside], np.repeat(w[now], n) * self.weight[inside], len(self.ids))
-            found = np.flatnonzero(scores > 0)
-            found = found[self.ids[found] != without] if without is not None else found
-            places, cosines = np.append(places, found), np.append(cosines, scores[found])
-            if len(places) >= NEIGHBOURS:
-                least = np.partition(cosines, -NEIGHBOURS)[-NEIGHBOURS]
-            done, step = done + step, 2 * step
-        order = np.lexsort((self.ids[places], -np.round(cosines, 12)))[:NEIGHBOURS]
+        cosines = self.cosines(at, weight)
+        if without is not None:
+            cosines[self.ids == without] = 0.0
+        least = np.partition(cosines, -NEIGHBOURS)[-NEIGHBOURS] - 1e-9 if len(cosines) > NEIGHBOURS else 0.0
+        places = np.flatnonzero((cosines > 0) & (cosines >= least))
+        cosines = cosines[places]
+        order = np.argsort(-np.round(cosines, 12), kind="stable")[:NEIGHBOURS]  # places ascend by doc_id
         return places[order], cosines[order]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
@@ -253,19 +253,17 @@ class Model:
         w = np.array([weights[t] for t in index.bare])
         self.bare = float(((np.array(index.bare, float) * w).sum() + share) / (w.sum() + 1))
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
-        """The probability of the label, and (doc_id, cosine, toxic) of the neighbours."""
+    def score(self, text: str | None) -> tuple[float, np.ndarray, np.ndarray]:
+        """The probability of the label, and the places and cosines of the neighbours in the index."""
+        none = np.zeros(0, np.int64), np.zeros(0)
         if self.index is None:
-            return self.share, []
-        words = terms(text)
-        counts = Counter([t for t in words if t in self.index.number])
-        if not counts:
-            return self.bare, []
-        others = len(words) - sum(counts.values())
-        places, cosines = self.index.nearest(*self.index.vector(counts | ({self.index.OTHER: others} if others else {})))
+            return self.share, *none
+        at, weight = self.index.vector_of(terms(text))
+        if not len(at):
+            return self.bare, *none
+        places, cosines = self.index.nearest(at, weight)
         step = np.searchsorted(self.steps, self.index.vote(places, cosines), "right") - 1
-        evidence = [(int(self.index.ids[p]), float(c), int(self.index.toxic[p])) for p, c in zip(places, cosines)]
-        return float(self.values[max(0, step)]), evidence
+        return float(self.values[max(0, step)]), places, cosines
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -312,12 +310,16 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of EXAMPLES
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        struct = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])
+        index = shared.value.index
         for b in batches:
             got = [shared.value.score(t) for t in b.column("text").to_pylist()]
-            evidence = [[{"doc_id": d, "similarity": c, "toxic": y} for d, c, y in e] for _, e in got]
+            places, cosines = (np.concatenate([g[k] for g in got] or [np.zeros(0, np.int64)]) for k in (1, 2))
+            ids, toxic = (index.ids[places], index.toxic[places]) if index else (places, cosines)
+            struct = pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(cosines, pa.float64()),
+                                                 pa.array(toxic.astype(np.int32))], names=["doc_id", "similarity", "toxic"])
+            ends = pa.array(np.cumsum([0, *(len(g[1]) for g in got)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([s for s, _ in got], pa.float64()), pa.array(evidence, pa.list_(struct))],
+                [b.column("doc_id"), pa.array([g[0] for g in got], pa.float64()), pa.ListArray.from_arrays(ends, struct)],
                 names=["doc_id", "score", "evidence"])
 
     scored = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(

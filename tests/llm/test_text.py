@@ -222,6 +222,27 @@ def test_nearest_is_exact():
         assert cosines == pytest.approx([float(v @ table_[j]) for j in want])
 
 
+def test_a_text_is_searched_in_one_pass(monkeypatch):
+    """However many examples there are: going over the text's terms once per block took most of the time."""
+    rnd = random.Random(6)
+    names = [f"t{k}" for k in range(60)]
+    rows = [(i, i % 2, {t: 1 for t in rnd.sample(names, 20)}) for i in range(1500)]
+    index = toxicity.Examples({t: 1 + rnd.random() for t in names} | {toxicity.Examples.OTHER: 0.1}, rows)
+    passes, ranges = [], toxicity._ranges
+    monkeypatch.setattr(toxicity, "_ranges", lambda *a: passes.append(1) or ranges(*a))
+    text = [*rnd.choices(names, k=40), "unknown", "unknown"]
+    at, weight = index.vector(dict(Counter(text[:40])) | {toxicity.Examples.OTHER: 2})
+    places, cosines = index.nearest(at, weight)
+    assert len(passes) == 1
+    own = index.vector_of(text)
+    assert own[0].tolist() == at.tolist() and own[1].tolist() == weight.tolist()
+    every = [float(sum(dict(zip(*(a.tolist() for a in index.vector(c)))).get(t, 0.0) * w for t, w in zip(at.tolist(), weight)))
+             for _, _, c in rows]
+    want = sorted(range(1500), key=lambda j: (-round(every[j], 12), j))[: toxicity.NEIGHBOURS]
+    assert index.ids[places].tolist() == want and cosines == pytest.approx([every[j] for j in want])
+    assert [len(a) for a in index.vector_of(["unknown"])] == [0, 0] == [len(a) for a in index.vector_of([])]
+
+
 def test_copies_are_one_example():
     rnd = random.Random(1)
     base = words(rnd, 60).split(" ")
